@@ -1,12 +1,18 @@
-"""Most frequent word n-grams of a corpus, n = 1..N, in one pass."""
+"""Most frequent word n-grams of a corpus, n = 1..N, in one pass per step."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oreline.functions import text as tx
 from oreline.operators.topk import top_per_group
+from oreline.session import cut_lineage
+
+# Hash buckets per n-gram order, and how many of them are counted exactly first.
+BUCKETS = 1 << 22
+FIRST_BUCKETS = 100
 
 
 def sentence_rows(corpus: DataFrame, text: str = "text") -> DataFrame:
@@ -16,25 +22,66 @@ def sentence_rows(corpus: DataFrame, text: str = "text") -> DataFrame:
 
 def ngram_rows(corpus: DataFrame, text: str = "text", max_n: int = 5) -> DataFrame:
     """One row ``(n, ngram)`` per occurrence; n-grams never cross a sentence."""
-    word_rows = (sentence_rows(corpus, text)
-                 .select(tx.words(F.col("sentence")).alias("w"))
-                 .where(F.size("w") > 0))
-
-    def order(n: int) -> Column:
-        return F.struct(F.lit(n).alias("n"), tx.word_ngrams(F.col("w"), n).alias("grams"))
-
-    return (word_rows
-            .select(F.inline(F.array(*[order(n) for n in range(1, max_n + 1)])))
-            .select("n", F.explode("grams").alias("ngram")))
+    windows = (sentence_rows(corpus, text)
+               .select(tx.words(F.col("sentence")).alias("w"))
+               .select(F.inline(tx.word_windows(F.col("w"), max_n))))
+    grams = F.array(*[F.struct(F.lit(n).alias("n"), tx.window_gram(n).alias("ngram"))
+                      for n in range(1, max_n + 1)])
+    return windows.select(F.inline(grams)).where(F.col("ngram").isNotNull())
 
 
 def ngram_counts(corpus: DataFrame, text: str = "text", max_n: int = 5) -> DataFrame:
-    """``(n, ngram, cnt)``; counted map-side before the shuffle."""
+    """``(n, ngram, cnt)`` of all n-grams; counted map-side before the shuffle."""
     return (ngram_rows(corpus, text, max_n)
             .groupBy("n", "ngram").agg(F.count(F.lit(1)).alias("cnt")))
 
 
-def top_ngrams(corpus: DataFrame, text: str = "text", max_n: int = 5, k: int = 5) -> DataFrame:
-    """The ``k`` most frequent n-grams of each order, ties by n-gram."""
-    return top_per_group(ngram_counts(corpus, text, max_n), ["n"],
-                         [F.desc("cnt"), F.asc("ngram")], k)
+def _top(counts: DataFrame, k: int) -> DataFrame:
+    return top_per_group(counts, ["n"], [F.desc("cnt"), F.asc("ngram")], k)
+
+
+def top_ngrams_direct(corpus: DataFrame, text: str = "text", max_n: int = 5,
+                      k: int = 5) -> DataFrame:
+    """Top-k by counting every n-gram.  Long n-grams hardly repeat inside a task,
+    so the shuffle is many times the corpus; meant for small corpora and tests."""
+    return _top(ngram_counts(corpus, text, max_n), k)
+
+
+def top_ngrams(corpus: DataFrame, text: str = "text", max_n: int = 5, k: int = 5,
+               buckets: int = BUCKETS, first: int = FIRST_BUCKETS) -> DataFrame:
+    """The ``k`` most frequent n-grams of each order, ties by n-gram.  Exact.
+
+    Only hash-bucket counts of all n-grams are shuffled: two integers per
+    bucket and task.  A bucket's count bounds the count of each n-gram in it,
+    so once the n-grams of the heaviest buckets are counted exactly, every
+    bucket lighter than the k-th of them is out.  If a heavy bucket was left
+    over, the n-grams of all buckets that can still matter are counted.
+    """
+    rows = ngram_rows(corpus, text, max_n).withColumn(
+        "b", F.pmod(F.xxhash64("ngram"), F.lit(buckets)))
+    loads = (rows.groupBy("n", "b").agg(F.count(F.lit(1)).alias("load"))
+             .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        heavy = cut_lineage(top_per_group(loads, ["n"], [F.desc("load"), F.asc("b")],
+                                          first + 1, "at"))
+        # At most max_n * first rows, hence broadcast.
+        chosen = F.broadcast(heavy.where(F.col("at") <= first).select("n", "b"))
+        found = cut_lineage(_top(_exact(rows, chosen), k))
+        floor = {r["n"]: r["cnt"] for r in found.where(F.col("rank") == k).collect()}
+        next_load = {r["n"]: r["load"] for r in heavy.where(F.col("at") > first).collect()}
+        open_orders = {n: floor.get(n, 0) for n, load in next_load.items()
+                       if load >= floor.get(n, 0)}
+        if not open_orders:
+            return found
+        bound = F.create_map(*[F.lit(v) for kv in open_orders.items() for v in kv])
+        left = loads.where(F.col("load") >= F.try_element_at(bound, F.col("n"))).select("n", "b")
+        # Their number depends on the data: the join is left to Spark's size check.
+        rest = cut_lineage(_top(_exact(rows, left), k))
+        return found.where(~F.col("n").isin(list(open_orders))).unionByName(rest)
+    finally:
+        loads.unpersist()
+
+
+def _exact(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    return (rows.join(chosen, ["n", "b"], "left_semi")
+            .groupBy("n", "ngram").agg(F.count(F.lit(1)).alias("cnt")))

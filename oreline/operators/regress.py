@@ -85,7 +85,7 @@ def _report(stats: DataFrame, inputs: list[str], targets: list[str], split: str,
         return pd.DataFrame(out, columns=names)
 
     # One group of two rows, one per split.
-    return stats.groupBy(F.lit(1)).applyInPandas(solve, schema)
+    return stats.withColumn("_all", F.lit(1)).groupBy("_all").applyInPandas(solve, schema)
 
 
 def ols_coefficients(df: DataFrame, inputs: list[str], targets: list[str],

@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from oreline.plans import text_queries
+from oreline.plans import model_queries, numeric_queries, text_queries
 
-QUERIES = {**text_queries.QUERIES}
+QUERIES = {**text_queries.QUERIES, **numeric_queries.QUERIES, **model_queries.QUERIES}

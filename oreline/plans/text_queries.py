@@ -9,7 +9,7 @@ from oreline.functions.tokens import (NAMED_PIECES, NUMERIC_PIECES, TOKEN, URL,
                                       explode_tokens, named_entities)
 from oreline.operators import popularity as pop
 from oreline.operators.ngrams import ngram_counts, sentence_rows, top_ngrams
-from oreline.plans.tables import quoted, table
+from oreline.plans.tables import quoted, spread_table, table
 from oreline.session import scratch_path
 from oreline.sources import readers, sinks
 
@@ -28,7 +28,7 @@ c AS (SELECT n, ngram, count(*) AS cnt FROM g GROUP BY n, ngram)"""
 
 
 def ngram_top5(spark, sf):
-    return top_ngrams(table(spark, sf, "documents")).select("n", "rank", "ngram", "cnt")
+    return top_ngrams(spread_table(spark, sf, "documents")).select("n", "rank", "ngram", "cnt")
 
 
 NGRAM_TOP5_SQL = _NGRAMS_SQL + """,
@@ -38,7 +38,7 @@ SELECT CAST(n AS INTEGER) AS n, CAST(rank AS INTEGER) AS rank, ngram, cnt FROM r
 
 def ngram_order_totals(spark, sf):
     """Occurrences and different n-grams per order, over every n-gram."""
-    return (ngram_counts(table(spark, sf, "documents")).groupBy("n")
+    return (ngram_counts(spread_table(spark, sf, "documents")).groupBy("n")
             .agg(F.sum("cnt").alias("occurrences"), F.count(F.lit(1)).alias("different"),
                  F.max("cnt").alias("top_count")))
 
@@ -49,7 +49,7 @@ SELECT CAST(n AS INTEGER) AS n, CAST(sum(cnt) AS BIGINT) AS occurrences,
 
 
 def normalised_sentences(spark, sf):
-    return (sentence_rows(table(spark, sf, "documents"))
+    return (sentence_rows(spread_table(spark, sf, "documents"))
             .select(normalise(F.col("sentence")).alias("s"))
             .groupBy("s").agg(F.count(F.lit(1)).alias("cnt")))
 
@@ -92,7 +92,7 @@ FROM (SELECT c_name AS line FROM customer UNION ALL SELECT url FROM pages) GROUP
 
 def posts_from_json(spark, sf):
     """Turns as JSON lines: user turns are posts, the other roles spoil the line."""
-    turns = table(spark, sf, "conversations")
+    turns = spread_table(spark, sf, "conversations")
     post = F.to_json(F.struct("text", F.struct(F.col("conv_id").cast("string").alias("id_str"))
                               .alias("user")))
     notice = F.to_json(F.struct(F.struct(F.col("turn").alias("track")).alias("limit")))
@@ -157,16 +157,16 @@ tok AS (SELECT user_id, CASE WHEN contains(t, '://') AND regexp_matches(t, {quot
 
 
 def _document_posts(spark, sf):
-    return table(spark, sf, "documents").select(F.col("doc_id").alias("user_id"), "text")
+    return spread_table(spark, sf, "documents").select(F.col("doc_id").alias("user_id"), "text")
 
 
 def _turn_posts(spark, sf):
-    return table(spark, sf, "conversations").select(F.col("conv_id").alias("user_id"), "text")
+    return spread_table(spark, sf, "conversations").select(F.col("conv_id").alias("user_id"), "text")
 
 
 def tokenizer_counts(spark, sf):
-    texts = (table(spark, sf, "documents").select("text")
-             .unionAll(table(spark, sf, "pages").select(F.col("html").alias("text"))))
+    texts = (spread_table(spark, sf, "documents").select("text")
+             .unionAll(spread_table(spark, sf, "pages").select(F.col("html").alias("text"))))
     return explode_tokens(texts).groupBy("token").agg(F.count(F.lit(1)).alias("cnt"))
 
 
@@ -187,7 +187,7 @@ SELECT count(DISTINCT token) AS tokens FROM tok"""
 
 def entity_decode_counts(spark, sf):
     """Decoded text of every page, as a digest."""
-    decoded = table(spark, sf, "pages").select("page_id", decode_html(F.col("html")).alias("d"))
+    decoded = spread_table(spark, sf, "pages").select("page_id", decode_html(F.col("html")).alias("d"))
     return decoded.select("page_id", F.length("d").cast("bigint").alias("chars"),
                           F.md5("d").alias("digest"))
 

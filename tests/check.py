@@ -42,8 +42,10 @@ def canonical(columns, rows):
 
 def compare(spark, con, query, sql, sf_dir):
     """Empty string when equal, else a short description of the difference."""
+    start = time.time()
     df = query(spark, sf_dir)
     got = canonical(df.columns, [tuple(r) for r in df.collect()])
+    compare.spark_secs = time.time() - start
     if sql is None:
         return "" if got[1] else "no rows"
     cur = con.execute(sql)
@@ -67,6 +69,9 @@ def compare(spark, con, query, sql, sf_dir):
     return "" if want[1] else "both empty"
 
 
+compare.spark_secs = 0.0
+
+
 def main():
     import __spark_entry__ as registry
     from oreline.session import local_session
@@ -84,7 +89,7 @@ def main():
             problem = f"{type(e).__name__}: {str(e)[:1500]}"
         failed += bool(problem)
         kind = "sql " if name in sqls else "rows"
-        print(f"{'FAIL' if problem else 'ok  '} {kind} {name:32s} {time.time() - start:6.2f}s "
+        print(f"{'FAIL' if problem else 'ok  '} {kind} {name:32s} {compare.spark_secs:6.2f}s of {time.time() - start:6.2f}s "
               f"{problem}", flush=True)
     print(f"{failed} failed")
     spark.stop()
