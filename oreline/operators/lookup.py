@@ -33,17 +33,15 @@ def _row_bytes(lookup: DataFrame) -> Column:
     return total
 
 
-def fits_broadcast(lookup: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                   max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+def fits_broadcast(lookup: DataFrame) -> bool:
     """Measure a table: true when its rows and payload bytes are in bounds."""
     rows, size = lookup.agg(F.count(F.lit(1)),
                             F.coalesce(F.sum(_row_bytes(lookup)), F.lit(0))).first()
-    return rows <= max_rows and size <= max_bytes
+    return rows <= MAX_BROADCAST_ROWS and size <= MAX_BROADCAST_BYTES
 
 
 def enrich(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner",
-           spread: list[Column] | None = None, salts: int = 16,
-           max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+           spread: list[Column] | None = None, salts: int = 16) -> DataFrame:
     """Join ``facts`` with a ``lookup`` holding at most one row per key.
 
     ``spread`` are columns that differ between rows of one key; they pick the
@@ -51,7 +49,7 @@ def enrich(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner
     sends every row to the same place.
     """
     lookup = lookup.persist(StorageLevel.MEMORY_AND_DISK)
-    if fits_broadcast(lookup, max_bytes=max_bytes):
+    if fits_broadcast(lookup):
         return facts.join(F.broadcast(lookup), on, how)
     if not spread:
         return facts.join(lookup, on, how)

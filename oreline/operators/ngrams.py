@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +10,9 @@ from oreline.operators.topk import top_per_group
 from oreline.session import cut_lineage
 
 # Hash buckets per n-gram order, and how many of them are counted exactly first.
-BUCKETS = 1 << 22
+# More buckets separate light n-grams better: the mean load (words / buckets)
+# should stay below the count of the k-th n-gram.  Fewer only cost time.
+BUCKETS = 1 << 20
 FIRST_BUCKETS = 100
 
 
@@ -59,27 +60,23 @@ def top_ngrams(corpus: DataFrame, text: str = "text", max_n: int = 5, k: int = 5
     """
     rows = ngram_rows(corpus, text, max_n).withColumn(
         "b", F.pmod(F.xxhash64("ngram"), F.lit(buckets)))
-    loads = (rows.groupBy("n", "b").agg(F.count(F.lit(1)).alias("load"))
-             .persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        heavy = cut_lineage(top_per_group(loads, ["n"], [F.desc("load"), F.asc("b")],
-                                          first + 1, "at"))
-        # At most max_n * first rows, hence broadcast.
-        chosen = F.broadcast(heavy.where(F.col("at") <= first).select("n", "b"))
-        found = cut_lineage(_top(_exact(rows, chosen), k))
-        floor = {r["n"]: r["cnt"] for r in found.where(F.col("rank") == k).collect()}
-        next_load = {r["n"]: r["load"] for r in heavy.where(F.col("at") > first).collect()}
-        open_orders = {n: floor.get(n, 0) for n, load in next_load.items()
-                       if load >= floor.get(n, 0)}
-        if not open_orders:
-            return found
-        bound = F.create_map(*[F.lit(v) for kv in open_orders.items() for v in kv])
-        left = loads.where(F.col("load") >= F.try_element_at(bound, F.col("n"))).select("n", "b")
-        # Their number depends on the data: the join is left to Spark's size check.
-        rest = cut_lineage(_top(_exact(rows, left), k))
-        return found.where(~F.col("n").isin(list(open_orders))).unionByName(rest)
-    finally:
-        loads.unpersist()
+    loads = rows.groupBy("n", "b").agg(F.count(F.lit(1)).alias("load"))
+    heavy = cut_lineage(top_per_group(loads, ["n"], [F.desc("load"), F.asc("b")],
+                                      first + 1, "at"))
+    # At most max_n * first rows, hence broadcast.
+    chosen = F.broadcast(heavy.where(F.col("at") <= first).select("n", "b"))
+    found = cut_lineage(_top(_exact(rows, chosen), k))
+    floor = {r["n"]: r["cnt"] for r in found.where(F.col("rank") == k).collect()}
+    next_load = {r["n"]: r["load"] for r in heavy.where(F.col("at") > first).collect()}
+    open_orders = {n: floor.get(n, 0) for n, load in next_load.items()
+                   if load >= floor.get(n, 0)}
+    if not open_orders:
+        return found
+    bound = F.create_map(*[F.lit(v) for kv in open_orders.items() for v in kv])
+    left = loads.where(F.col("load") >= F.try_element_at(bound, F.col("n"))).select("n", "b")
+    # Their number depends on the data: the join is left to Spark's size check.
+    rest = cut_lineage(_top(_exact(rows, left), k))
+    return found.where(~F.col("n").isin(list(open_orders))).unionByName(rest)
 
 
 def _exact(rows: DataFrame, chosen: DataFrame) -> DataFrame:

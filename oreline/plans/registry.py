@@ -3,5 +3,10 @@
 from __future__ import annotations
 
 from oreline.plans import model_queries, numeric_queries, text_queries
+from oreline.plans.tables import rounded_sql
 
-QUERIES = {**text_queries.QUERIES, **numeric_queries.QUERIES, **model_queries.QUERIES}
+QUERIES = {
+    name: (query, sql and rounded_sql(sql))
+    for part in (text_queries, numeric_queries, model_queries)
+    for name, (query, sql) in part.QUERIES.items()
+}

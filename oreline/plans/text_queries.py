@@ -9,7 +9,7 @@ from oreline.functions.tokens import (NAMED_PIECES, NUMERIC_PIECES, TOKEN, URL,
                                       explode_tokens, named_entities)
 from oreline.operators import popularity as pop
 from oreline.operators.ngrams import ngram_counts, sentence_rows, top_ngrams
-from oreline.plans.tables import quoted, spread_table, table
+from oreline.plans.tables import quoted, rounded, spread_table, table
 from oreline.session import scratch_path
 from oreline.sources import readers, sinks
 
@@ -251,7 +251,7 @@ FROM r WHERE rank <= 10"""
 def _popularity(tokens, mapping, min_users):
     out = pop.relative_popularity(tokens, mapping, min_users=min_users)
     return out.select("group_id", "rank", "token", "cnt", "total",
-                      (F.round("score", 6) + F.lit(0.0)).alias("score"))
+                      rounded("score").alias("score"))
 
 
 def relative_popularity_top10(spark, sf):
