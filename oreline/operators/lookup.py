@@ -8,11 +8,12 @@ so a key holding a third of all rows still splits into small tasks.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from oreline.session import cut_lineage
+
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -46,9 +47,10 @@ def enrich(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner
 
     ``spread`` are columns that differ between rows of one key; they pick the
     salt.  A hash of columns, not a random number, so that a retried task
-    sends every row to the same place.
+    sends every row to the same place.  The lookup is checkpointed: it is
+    measured and joined without being computed twice, also after a lost executor.
     """
-    lookup = lookup.persist(StorageLevel.MEMORY_AND_DISK)
+    lookup = cut_lineage(lookup)
     if fits_broadcast(lookup):
         return facts.join(F.broadcast(lookup), on, how)
     if not spread:

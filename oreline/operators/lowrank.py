@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from oreline.functions.arrow import chunks, lists, matrix, stacked
 from oreline.operators.lookup import enrich
 from oreline.operators.topk import top_per_group
+from oreline.session import cut_lineage
 
 
 def panel_vectors(panel: DataFrame, keys: list[str], slot: str, x: str,
@@ -82,8 +83,10 @@ def _gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def covariance(vectors: DataFrame, series: str = "series", vec: str = "vec",
                tasks: int | None = None) -> DataFrame:
-    """Pairwise-complete population covariance: ``(series, i, j, n, cov)``, i <= j.
+    """Pairwise-complete population covariance: ``(series, i, j, n, mean, cov)``, i <= j.
 
+    ``n`` counts the rows with both days and ``mean`` is that of day i over them,
+    so the rows with i = j hold the plain daily means.
     Each task adds up its rows before anything is shuffled, so a series with
     most of the rows costs no more than the others.  ``tasks`` merges input
     splits (default: four per core), since every task emits d*d/2 sums.
@@ -97,7 +100,9 @@ def covariance(vectors: DataFrame, series: str = "series", vec: str = "vec",
         *[F.sum(c).alias(c) for c in ("n", "si", "sj", "sij")])
     cov = F.when(F.col("n") > 0, F.col("sij") / F.col("n")
                  - F.col("si") / F.col("n") * (F.col("sj") / F.col("n"))).otherwise(0.0)
-    return sums.select(F.col("series").alias(series), "i", "j", "n", cov.alias("cov"))
+    mean = F.when(F.col("n") > 0, F.col("si") / F.col("n")).otherwise(F.lit(float("nan")))
+    return sums.select(F.col("series").alias(series), "i", "j", "n",
+                       mean.alias("mean"), cov.alias("cov"))
 
 
 def _solve(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -169,6 +174,16 @@ def basis_of(eig: DataFrame, means: DataFrame, series: str = "series",
     return means.join(leading, series)
 
 
+def fit_basis(vectors: DataFrame, series: str = "series", vec: str = "vec",
+              rank: int = 3) -> DataFrame:
+    """Mean and leading eigenvectors of every series from one pass over the vectors."""
+    cov = cut_lineage(covariance(vectors, series, vec))
+    means = (cov.where(F.col("i") == F.col("j")).groupBy(series)
+             .agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "mean"))),
+                              lambda s: s["mean"]).alias("mean")))
+    return basis_of(eigen(cov, series), means, series, rank)
+
+
 def _rebuild(x: np.ndarray, mean: np.ndarray, basis: np.ndarray) -> np.ndarray:
     """Rank 1..k reconstructions, n x k x d.  NaN in a row spreads over it."""
     weight = np.einsum("nd,nkd->nk", x - mean, basis)

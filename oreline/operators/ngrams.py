@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oreline.functions import text as tx
+from oreline.operators.lookup import fits_broadcast
 from oreline.operators.topk import top_per_group
 from oreline.session import cut_lineage
 
@@ -73,9 +74,14 @@ def top_ngrams(corpus: DataFrame, text: str = "text", max_n: int = 5, k: int = 5
     if not open_orders:
         return found
     bound = F.create_map(*[F.lit(v) for kv in open_orders.items() for v in kv])
-    left = loads.where(F.col("load") >= F.try_element_at(bound, F.col("n"))).select("n", "b")
-    # Their number depends on the data: the join is left to Spark's size check.
-    rest = cut_lineage(_top(_exact(rows, left), k))
+    left = cut_lineage(
+        loads.where(F.col("load") >= F.try_element_at(bound, F.col("n"))).select("n", "b"))
+    if fits_broadcast(left):
+        counts = _exact(rows, F.broadcast(left))
+    else:      # count first, so that no bucket brings more than its different n-grams
+        counts = (rows.groupBy("n", "b", "ngram").agg(F.count(F.lit(1)).alias("cnt"))
+                  .join(left, ["n", "b"], "left_semi").drop("b"))
+    rest = cut_lineage(_top(counts, k))
     return found.where(~F.col("n").isin(list(open_orders))).unionByName(rest)
 
 

@@ -122,8 +122,7 @@ def daily_basis_series(spark, sf):
 def spectral_residuals(spark, sf):
     """Mean residual per series against the series' own leading eigenvectors."""
     vectors = _vectors(spark, sf)
-    basis = lr.basis_of(lr.eigen(lr.covariance(vectors)), lr.mean_vectors(vectors))
-    return (lr.residuals(vectors, basis).groupBy("series")
+    return (lr.residuals(vectors, lr.fit_basis(vectors)).groupBy("series")
             .agg(F.count(F.lit(1)).alias("n"),
                  *[rounded(F.avg(F.get("err", F.lit(r))), 8).alias(f"err{r + 1}")
                    for r in range(3)]))

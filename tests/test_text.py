@@ -63,6 +63,12 @@ def test_top_is_exact_for_any_number_of_buckets(corpus, buckets, first):
     assert got == brute_top(TEXTS, 5)
 
 
+def test_top_is_exact_without_broadcast(corpus, no_broadcast):
+    df = ng.top_ngrams(corpus, k=5, buckets=7, first=1)
+    got = sorted((r["n"], r["rank"], r["ngram"], r["cnt"]) for r in df.collect())
+    assert got == brute_top(TEXTS, 5)
+
+
 def test_direct_agrees(corpus):
     got = sorted((r["n"], r["rank"], r["ngram"], r["cnt"])
                  for r in ng.top_ngrams_direct(corpus, k=3).collect())
