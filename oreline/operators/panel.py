@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oreline.operators.lookup import enrich
-from oreline.operators.ranking import exact_quantiles, quantiles_of, ranked_values
+from oreline.operators.ranking import exact_quantiles, interpolated, order_statistics
 
 # Cut points of a measurement: name and probability.
 CUTS = {"low1000": 0.001, "low100": 0.01, "high100": 0.99, "high1000": 0.999}
@@ -60,18 +60,23 @@ def clipped_histogram(panel: DataFrame, series: str = "series", x: str = "x",
     closed.  A series with a single value gets bins of total width one.
     """
     readings = panel.select(series, present(F.col(x)).alias("_v")).where("_v is not null")
-    # Everything below works on value counts, not on the readings.
-    ranked = ranked_values(readings, [series], "_v")
-    limits = quantiles_of(ranked, [series], "_v",
-                          {c: CUTS[c] for c in ("low100", "high100")})
-    values = clip_range(ranked.select(series, "_v", "n"), limits, series, "_v")
-    span = (values.groupBy(series).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-            .withColumn("_pad", F.when(F.col("_lo") == F.col("_hi"), 0.5).otherwise(0.0))
-            .select(series, (F.col("_lo") - F.col("_pad")).alias("_lo"),
-                    (F.col("_hi") + F.col("_pad")).alias("_hi")))
+    cuts = {c: CUTS[c] for c in ("low100", "high100")}
+    stats = order_statistics(readings, [series], "_v", cuts)
+    low, high = (interpolated(c, p) for c, p in cuts.items())
+    # The smallest and largest clipped reading are neighbours of the cut points.
+    ends = stats.select(
+        series, low.alias("low100"), high.alias("high100"),
+        F.when(F.col("_low100_lo") >= low, F.col("_low100_lo"))
+        .otherwise(F.col("_low100_hi")).alias("_lo"),
+        F.when(F.col("_high100_hi") <= high, F.col("_high100_hi"))
+        .otherwise(F.col("_high100_lo")).alias("_hi"))
+    pad = F.when(F.col("_lo") == F.col("_hi"), 0.5).otherwise(0.0)
+    spans = ends.select(series, "low100", "high100", (F.col("_lo") - pad).alias("_lo"),
+                        (F.col("_hi") + pad).alias("_hi"))
+    placed = enrich(readings, spans, [series], spread=[F.col("_v")])
+    kept = placed.where(F.col("_v").between(F.col("low100"), F.col("high100")))
     width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
     slot = F.least(F.floor((F.col("_v") - F.col("_lo")) / width), F.lit(bins - 1))
-    return (enrich(values, span, [series], spread=[F.col("_v")])
-            .groupBy(series, slot.cast("int").alias("bin"),
-                     (F.col("_lo") + slot * width).alias("bin_start"))
-            .agg(F.sum("n").alias("cnt")))
+    return (kept.groupBy(series, slot.cast("int").alias("bin"),
+                         (F.col("_lo") + slot * width).alias("bin_start"))
+            .agg(F.count(F.lit(1)).alias("cnt")))

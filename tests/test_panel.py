@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from oreline.operators import panel as pn
-from oreline.operators.ranking import exact_quantiles, ranked_values, running_total
+from oreline.operators import ranking
+from oreline.operators.ranking import exact_quantiles, running_total
 
 NAN = float("nan")
 
@@ -69,14 +70,50 @@ def test_running_total_over_many_partitions(spark):
         for o, w in sorted((o, w) for k, o, w in rows if k == g):
             total += w
             want[g, o] = total
-    got = {(r.g, r.o): r.upto for r in running_total(df, ["g"], "o", "w").collect()}
+    got = {(r.g, r.o): r.upto for r in running_total(df, ["g"], ["o"], "w").collect()}
     assert got == want
 
 
-def test_hot_value_is_one_row(panel):
+@pytest.mark.parametrize("accuracy", [3, 20, 10_000])
+@pytest.mark.parametrize("window_rows", [0, 1_000_000])
+def test_quantiles_do_not_depend_on_the_first_guess(panel, readings, accuracy, window_rows,
+                                                    monkeypatch):
+    monkeypatch.setattr(ranking, "WINDOW_ROWS", window_rows)
     clean = panel.where("x is not null and not isnan(x)")
-    row = ranked_values(clean, ["series"], "x").where("series = 'one'").collect()
-    assert [(r.x, r.n, r.upto) for r in row] == [(3.5, 10, 10)]
+    probs = {"a": 0.0, "b": 0.1, "c": 0.105, "d": 0.5, "e": 0.999, "f": 1.0}
+    for r in exact_quantiles(clean, ["series"], "x", probs, accuracy).collect():
+        v = values(readings, r.series)
+        for name, p in probs.items():
+            assert r[name] == pytest.approx(np.quantile(v, p), abs=1e-9), (r.series, name)
+
+
+def test_a_wrong_bracket_is_noticed(panel, readings, monkeypatch):
+    """Brackets that miss their quantile lead to a full count of the group."""
+    def narrow(df, by, x, probs, accuracy):
+        return df.groupBy(*by).agg(
+            F.count(F.lit(1)).alias("_size"), F.max(x).alias("_m_from"), F.max(x).alias("_m_to"))
+
+    monkeypatch.setattr(ranking, "_brackets", narrow)
+    clean = panel.where("x is not null and not isnan(x)")
+    got = {r.series: r.m for r in exact_quantiles(clean, ["series"], "x", {"m": 0.4}).collect()}
+    assert got == {s: pytest.approx(np.quantile(values(readings, s), 0.4)) for s in ("hot", "few", "one")}
+
+
+def test_only_bracketed_values_are_shuffled(spark):
+    df = spark.range(50000).select(F.lit("s").alias("series"), F.rand(1).alias("x"))
+    seen = []
+    original = ranking._order_statistics
+
+    def watch(counts, by, probs):
+        seen.append(counts.count())
+        return original(counts, by, probs)
+
+    ranking._order_statistics = watch
+    try:
+        exact_quantiles(df, ["series"], "x", {"m": 0.5}).collect()
+    finally:
+        ranking._order_statistics = original
+    assert seen[0] < 200
 
 
 def test_clip_is_inclusive(spark):
