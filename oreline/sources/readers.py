@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oreline.sources.schemas import POST, numeric_schema
+from oreline.sources.schemas import (COVER_FIELDS, PARTICLE_FIELDS, POST, expand_names,
+                                     numeric_schema)
 
 PARAGRAPH = "\r\n\r\n"
 
@@ -72,6 +73,16 @@ def read_numeric_csv(spark: SparkSession, path: str | list[str], names: list[str
                      *[F.col(f"`{n}`") for n in names if n != label])
 
 
+def read_cover_types(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Forest cover rows: the class (1..7) comes last in the file."""
+    return read_numeric_csv(spark, path, expand_names(COVER_FIELDS), "Cover_Type")
+
+
+def read_particles(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Particle rows: the label (0 or 1) comes first in the file."""
+    return read_numeric_csv(spark, path, expand_names(PARTICLE_FIELDS), "label")
+
+
 def parse_numeric_lines(lines: DataFrame, names: list[str], label: str,
                         value: str = "value") -> DataFrame:
     """The same from a text frame, so that lines can be sampled before parsing."""

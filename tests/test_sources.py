@@ -1,7 +1,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from oreline.operators.sampling import bernoulli_sample
 from oreline.sources import readers, schemas, sinks
@@ -64,6 +63,17 @@ def test_csv_with_label_last_and_first(spark, tmp_path):
     assert sorted(last.columns) == sorted(["label", "a", "b"])
 
 
+def test_cover_and_particle_files(spark, tmp_path):
+    (tmp_path / "cover").write_text("\n".join(
+        ",".join(str(i + k) for i in range(54)) + f",{k + 1}" for k in range(3)))
+    (tmp_path / "particles").write_text("1.0e+00," + ",".join(f"{i}.5" for i in range(28)) + "\n")
+    cover = readers.read_cover_types(spark, str(tmp_path / "cover"))
+    assert len(cover.columns) == 55 and [r.label for r in cover.collect()] == [1.0, 2.0, 3.0]
+    assert cover.first()["ST_39"] == 53.0 and cover.first()["Elevation"] == 0.0
+    row = readers.read_particles(spark, str(tmp_path / "particles")).first()
+    assert row["label"] == 1.0 and row["lepton pT"] == 0.5 and row["m_wwbb"] == 27.5
+
+
 def test_bad_number_is_an_error(spark, tmp_path):
     path = tmp_path / "bad.csv"
     path.write_text("1,x\n")
@@ -109,4 +119,3 @@ def test_pushed_columns(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     plan = unique_users(df)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<user_id:bigint>" in plan
-    assert F is not None
