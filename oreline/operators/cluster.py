@@ -81,6 +81,12 @@ def center_rows(points: DataFrame, centers: np.ndarray) -> DataFrame:
     return points.sparkSession.createDataFrame(rows, "run int, j int, c array<double>")
 
 
+def _rows(centers: np.ndarray | None, runs: int = 1) -> int:
+    """Points per step, so that the distances of a step take about 8 MB."""
+    many = runs if centers is None else centers.shape[0] * centers.shape[1]
+    return max(16, min(8192, (1 << 20) // many))
+
+
 # --- passes over the points -----------------------------------------------------
 
 def assign(points: DataFrame, centers: np.ndarray, id_: str = "id", v: str = "v") -> DataFrame:
@@ -89,7 +95,7 @@ def assign(points: DataFrame, centers: np.ndarray, id_: str = "id", v: str = "v"
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in chunks(whole):
+            for batch in chunks(whole, _rows(shared.value)):
                 labels, d2 = nearest(matrix(batch.column(1)), shared.value)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), lists(labels), lists(d2)], [id_, "labels", "d2"])
@@ -110,7 +116,7 @@ def cluster_sums(points: DataFrame, centers: np.ndarray, v: str = "v") -> DataFr
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, cost, total = np.zeros(runs * k), np.zeros(runs * k), np.zeros((runs * k, d))
         for whole in batches:
-            for batch in chunks(whole):
+            for batch in chunks(whole, _rows(shared.value)):
                 x = matrix(batch.column(0))
                 labels, d2 = nearest(x, shared.value)
                 slot = labels + np.arange(runs) * k
@@ -164,7 +170,7 @@ def draw(points: DataFrame, chosen: np.ndarray | None, runs: int, round_: int, s
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: list = [None] * runs
         for whole in batches:
-            for batch in chunks(whole):
+            for batch in chunks(whole, _rows(shared.value, runs)):
                 x = matrix(batch.column("v"))
                 h = batch.column("h").to_numpy().astype(np.uint64)
                 near = None if shared.value is None else nearest(x, shared.value)[1]
@@ -175,7 +181,9 @@ def draw(points: DataFrame, chosen: np.ndarray | None, runs: int, round_: int, s
                     # Points already chosen have weight 0: they never ring.
                     if near is not None:
                         wait[near[:, r] <= 0.0] = np.inf
-                    at = int(np.lexsort((h, u, wait))[0])
+                    at = int(wait.argmin())
+                    if np.isinf(wait[at]):       # nothing has weight: draw evenly
+                        at = int(u.argmin())
                     entry = (float(wait[at]), float(u[at]), int(h[at].astype(np.int64)))
                     if best[r] is None or entry < best[r][0]:
                         best[r] = (entry, x[at].copy())

@@ -29,7 +29,7 @@ def panel_vectors(panel: DataFrame, keys: list[str], slot: str, x: str,
     Readings are averaged per slot first, so a key collects at most
     ``length`` entries however many readings it has.
     """
-    cells = (panel.groupBy(*keys, slot).agg(F.avg(x).alias("_x"))
+    cells = (panel.where(F.col(slot).between(0, length - 1)).groupBy(*keys, slot).agg(F.avg(x).alias("_x"))
              .groupBy(*keys)
              .agg(F.map_from_entries(F.collect_list(F.struct(slot, "_x"))).alias("_m")))
     at = F.transform(F.sequence(F.lit(0), F.lit(length - 1)),

@@ -55,6 +55,12 @@ def parse_posts(lines: DataFrame, value: str = "value") -> DataFrame:
             .where("user_id is not null and text is not null"))
 
 
+def rejected_lines(lines: DataFrame, value: str = "value") -> DataFrame:
+    """The lines :func:`parse_posts` drops, for inspection."""
+    post = json_object(F.col(value), POST)
+    return lines.where(post["user"]["id_str"].isNull() | post["text"].isNull())
+
+
 def read_posts(spark: SparkSession, manifest: str) -> DataFrame:
     """Posts from the JSON-lines files named by a manifest."""
     return parse_posts(read_manifest(spark, manifest))

@@ -38,6 +38,8 @@ def test_error_rate(spark):
 @pytest.mark.parametrize("algo,depths", [("gbt", [1, 4]), ("rf", [1, 6])])
 def test_deeper_trees_fit_better(examples, algo, depths):
     rows = cf.depth_sweep(examples, algo, depths, size=5, seed=7).collect()
+    cached = cf.depth_sweep(examples, algo, depths[1:], size=5, seed=7, cache_node_ids=True)
+    assert {r.err for r in cached.collect()} == {r.err for r in rows if r.depth == depths[1]}
     assert len(rows) == 4 and all(r.algo == algo and r.secs > 0 for r in rows)
     err = {(r.depth, r.split): r.err for r in rows}
     assert err[depths[1], "train"] < err[depths[0], "train"]

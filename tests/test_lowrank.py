@@ -162,7 +162,7 @@ def test_profiles(vectors, panel):
 
 
 def test_panel_vectors_fill_gaps_with_nan(spark):
-    df = spark.createDataFrame([("u", 0, 1.0), ("u", 0, 3.0), ("u", 2, 5.0)],
+    df = spark.createDataFrame([("u", 0, 1.0), ("u", 0, 3.0), ("u", 2, 5.0), ("u", 3, 9.0)],
                                "u string, h int, x double")
     vec = lr.panel_vectors(df, ["u"], "h", "x", 3).first().vec
-    assert vec[0] == 2.0 and np.isnan(vec[1]) and vec[2] == 5.0
+    assert len(vec) == 3 and vec[0] == 2.0 and np.isnan(vec[1]) and vec[2] == 5.0

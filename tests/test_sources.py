@@ -25,6 +25,7 @@ def test_only_whole_posts_survive(spark):
     df = spark.createDataFrame([(x,) for x in LINES] + [(None,)], "value string")
     got = sorted((r.user_id, r.text) for r in readers.parse_posts(df).collect())
     assert got == [("1", "hello"), ("1", "é … 😀"), ("2", "tab\there"), ("3", "spaces")]
+    assert readers.rejected_lines(df).count() == len(LINES) + 1 - 4
 
 
 def test_manifest(spark, tmp_path):
