@@ -191,7 +191,7 @@ def _rebuild(x: np.ndarray, mean: np.ndarray, basis: np.ndarray) -> np.ndarray:
 
 
 def _with_basis(vectors: DataFrame, basis: DataFrame, series: str, vec: str) -> DataFrame:
-    spread = [F.col(c) for c in vectors.columns if c not in (series, vec)]
+    spread = [F.col(c) for c in vectors.columns if c != series]
     typed = vectors.withColumn(vec, F.col(vec).cast("array<double>"))
     joined = enrich(typed, basis.select(series, "mean", "basis"), [series], spread=spread)
     return joined.where(F.col(vec).isNotNull())

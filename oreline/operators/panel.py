@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oreline.operators.lookup import enrich
-from oreline.operators.ranking import exact_quantiles, interpolated, order_statistics
+from oreline.operators.ranking import (exact_quantiles, interpolated, order_statistics,
+                                       weighted_enrich)
 
 # Cut points of a measurement: name and probability.
 CUTS = {"low1000": 0.001, "low100": 0.01, "high100": 0.99, "high1000": 0.999}
@@ -47,8 +48,8 @@ def scalar_summary(panel: DataFrame, series: str = "series", x: str = "x",
 def clip_range(panel: DataFrame, limits: DataFrame, series: str = "series", x: str = "x",
                low: str = "low100", high: str = "high100") -> DataFrame:
     """Readings with ``low <= x <= high`` of their series, both ends included."""
-    bounded = enrich(panel, limits.select(series, low, high), [series],
-                     spread=[F.col(x)])
+    spread = [F.col(c) for c in panel.columns if c != series]
+    bounded = enrich(panel, limits.select(series, low, high), [series], spread=spread)
     return bounded.where(F.col(x).between(F.col(low), F.col(high))).drop(low, high)
 
 
@@ -73,10 +74,10 @@ def clipped_histogram(panel: DataFrame, series: str = "series", x: str = "x",
     pad = F.when(F.col("_lo") == F.col("_hi"), 0.5).otherwise(0.0)
     spans = ends.select(series, "low100", "high100", (F.col("_lo") - pad).alias("_lo"),
                         (F.col("_hi") + pad).alias("_hi"))
-    placed = enrich(readings, spans, [series], spread=[F.col("_v")])
+    placed = weighted_enrich(readings, spans, [series], "_v")
     kept = placed.where(F.col("_v").between(F.col("low100"), F.col("high100")))
     width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
     slot = F.least(F.floor((F.col("_v") - F.col("_lo")) / width), F.lit(bins - 1))
     return (kept.groupBy(series, slot.cast("int").alias("bin"),
                          (F.col("_lo") + slot * width).alias("bin_start"))
-            .agg(F.count(F.lit(1)).alias("cnt")))
+            .agg(F.sum("n").alias("cnt")))

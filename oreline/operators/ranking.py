@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from oreline.operators.lookup import enrich
+from oreline.operators.lookup import enrich, fits_broadcast
 from oreline.session import cut_lineage
 
 # Rank error of the first guess is 1 / ACCURACY; brackets are twice as wide.
@@ -63,6 +63,22 @@ def _brackets(df: DataFrame, by: list[str], x: str, probs: dict[str, float],
     return guess.select(*by, "_size", *out)
 
 
+def weighted_enrich(df: DataFrame, lookup: DataFrame, by: list[str], x: str,
+                    weight: str = "n") -> DataFrame:
+    """``(by, x, weight)`` rows joined with a lookup on ``by``.
+
+    With a lookup that can be broadcast every row stands for itself.  For a
+    larger one equal values are counted first, so that neither a hot group nor
+    a hot value inside it reaches a single task of the join.
+    """
+    lookup = cut_lineage(lookup)
+    if fits_broadcast(lookup):
+        rows = df.select(*by, x, F.lit(1).cast("bigint").alias(weight))
+    else:
+        rows = df.groupBy(*by, x).agg(F.count(F.lit(1)).alias(weight))
+    return enrich(rows, lookup, by, spread=[F.col(x)])
+
+
 def _order_statistics(counts: DataFrame, by: list[str], probs: dict[str, float]) -> DataFrame:
     """Values on either side of each target rank, from ``(by, _size, _x, _gap, n)``.
 
@@ -99,7 +115,7 @@ def order_statistics(df: DataFrame, by: list[str], x: str, probs: dict[str, floa
     counted in full.
     """
     data = df.select(*by, x)
-    sized = enrich(data, _brackets(data, by, x, probs, accuracy), by, spread=[F.col(x)])
+    sized = weighted_enrich(data, _brackets(data, by, x, probs, accuracy), by, x)
     value = F.col(x)
     inside, below = F.lit(False), [F.lit(float("-inf"))]
     for name in probs:
@@ -107,7 +123,7 @@ def order_statistics(df: DataFrame, by: list[str], x: str, probs: dict[str, floa
         below.append(F.when(F.col(f"_{name}_to") < value, F.col(f"_{name}_to")))
     snapped = F.when(inside, value).otherwise(F.greatest(*below))
     counts = (sized.groupBy(*by, "_size", snapped.alias("_x"), (~inside).alias("_gap"))
-              .agg(F.count(F.lit(1)).alias("n")))
+              .agg(F.sum("n").alias("n")))
     found = cut_lineage(_order_statistics(counts, by, probs))
     ends = [f"_{name}_{side}" for name in probs for side in ("lo", "hi")]
     unknown = F.lit(False)
@@ -115,9 +131,9 @@ def order_statistics(df: DataFrame, by: list[str], x: str, probs: dict[str, floa
         unknown = unknown | F.col(end).isNull()
     if found.where(unknown).isEmpty():
         return found
-    again = enrich(data, found.where(unknown).select(*by, "_size"), by, spread=[value])
+    again = weighted_enrich(data, found.where(unknown).select(*by, "_size"), by, x)
     full = (again.groupBy(*by, "_size", value.alias("_x"), F.lit(False).alias("_gap"))
-            .agg(F.count(F.lit(1)).alias("n")))
+            .agg(F.sum("n").alias("n")))
     return found.where(~unknown).unionByName(_order_statistics(full, by, probs))
 
 

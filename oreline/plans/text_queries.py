@@ -110,6 +110,27 @@ SELECT CAST(conv_id AS VARCHAR) AS user_id, count(*) AS posts,
 FROM conversations WHERE role = 'user' GROUP BY 1"""
 
 
+def post_files_popularity(spark, sf):
+    """The whole post job: manifest of JSON-lines files to ranked tokens per group.
+
+    Each role is a file; assistant turns are cut short and do not parse.
+    """
+    turns = table(spark, sf, "conversations")
+    post = F.to_json(F.struct("text", F.struct(F.col("conv_id").cast("string").alias("id_str"))
+                              .alias("user")))
+    paths = {role: scratch_path(spark, "posts") for role in ("user", "assistant", "system")}
+    for role, path in paths.items():
+        line = post if role != "assistant" else F.expr("substr(post, 1, length(post) - 1)")
+        sinks.write_lines(turns.where(F.col("role") == role).withColumn("post", post)
+                          .select(line.alias("value")), path)
+    manifest = scratch_path(spark, "manifest")
+    sinks.write_lines(spark.createDataFrame([(p,) for p in paths.values()], "value string"), manifest)
+    mapping = table(spark, sf, "labels").select(
+        F.col("doc_id").cast("string").alias("user_id"), F.col("quality").alias("group_id"))
+    posts = readers.read_posts(spark, manifest)
+    return _popularity(explode_tokens(posts), mapping, 5)
+
+
 def json_field_counts(spark, sf):
     from pyspark.sql import types as T
     schema = T.StructType([T.StructField("k", T.LongType())])
@@ -274,6 +295,9 @@ def conversation_popularity_top10(spark, sf):
 CONVERSATION_POPULARITY_TOP10_SQL = _popularity_sql(
     "conversations", "conv_id", "quality * 2 + toxic", 10)
 
+POST_FILES_POPULARITY_SQL = _popularity_sql(
+    "(SELECT * FROM conversations WHERE role <> 'assistant')", "conv_id", "quality", 5)
+
 QUERIES = {
     "ngram_top5": (ngram_top5, NGRAM_TOP5_SQL),
     "ngram_order_totals": (ngram_order_totals, NGRAM_ORDER_TOTALS_SQL),
@@ -281,6 +305,7 @@ QUERIES = {
     "paragraph_scan": (paragraph_scan, PARAGRAPH_SCAN_SQL),
     "manifest_scan": (manifest_scan, MANIFEST_SCAN_SQL),
     "posts_from_json": (posts_from_json, POSTS_FROM_JSON_SQL),
+    "post_files_popularity": (post_files_popularity, POST_FILES_POPULARITY_SQL),
     "json_field_counts": (json_field_counts, JSON_FIELD_COUNTS_SQL),
     "unique_users": (unique_users, UNIQUE_USERS_SQL),
     "posts_per_group": (posts_per_group, POSTS_PER_GROUP_SQL),

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from oreline.operators import panel as pn
-from oreline.operators import ranking
+from oreline.operators import lookup, ranking
 from oreline.operators.ranking import exact_quantiles, running_total
 
 NAN = float("nan")
@@ -122,6 +122,14 @@ def test_clip_is_inclusive(spark):
     assert sorted(r.x for r in pn.clip_range(panel, limits).collect()) == [1.0, 2.0, 3.0]
 
 
+def test_histogram_with_salted_lookups(panel, no_broadcast):
+    want = {(r.series, r.bin): r.cnt for r in pn.clipped_histogram(panel, bins=7).collect()}
+    assert sum(want.values()) > 3000
+    lookup.MAX_BROADCAST_BYTES = 1 << 20
+    got = {(r.series, r.bin): r.cnt for r in pn.clipped_histogram(panel, bins=7).collect()}
+    assert got == want
+
+
 def test_histogram(panel, readings):
     got = pn.clipped_histogram(panel, bins=10).collect()
     for series in ("hot", "few", "one"):
