@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from oreline.operators.lookup import enrich
 from oreline.operators.ranking import (exact_quantiles, interpolated, order_statistics,
                                        weighted_enrich)
+from oreline.sources.schemas import MEASUREMENTS
 
 # Cut points of a measurement: name and probability.
 CUTS = {"low1000": 0.001, "low100": 0.01, "high100": 0.99, "high1000": 0.999}
@@ -21,8 +22,9 @@ def present(x: Column) -> Column:
     return F.nanvl(x.cast("double"), F.lit(None).cast("double"))
 
 
-def pick_series(panel: DataFrame, kinds: list[str], series: str = "series") -> DataFrame:
-    """Only the named measurements."""
+def pick_series(panel: DataFrame, kinds: list[str] = MEASUREMENTS,
+                series: str = "series") -> DataFrame:
+    """Only the named measurements; by default the six of the weather panels."""
     return panel.where(F.col(series).isin(kinds))
 
 

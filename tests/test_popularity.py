@@ -99,13 +99,13 @@ def test_duplicate_mapping_rows_do_not_multiply(spark):
 
 def test_whole_job(spark):
     posts = spark.createDataFrame(
-        [("u1", "Cruz rocks http://T.co/A"), ("u2", "cruz!"), ("u3", "Bernie &amp; cruz")],
+        [("u1", "Rain again http://T.co/A"), ("u2", "rain!"), ("u3", "Wind &amp; rain")],
         "user_id string, text string")
     mapping = spark.createDataFrame([("u1", 0), ("u3", 1)], "user_id string, group_id int")
     got = ranked(pop.popular_tokens_of_posts(posts, mapping, min_users=3))
-    assert got == {0: ["cruz"], 1: ["cruz"], 7: ["cruz"]}
+    assert got == {0: ["rain"], 1: ["rain"], 7: ["rain"]}
     got = ranked(pop.popular_tokens_of_posts(posts, mapping, min_users=1, decode_entities=True))
-    assert got[1] == ["and", "bernie", "cruz"] and "http://T.co/A" in got[0]
+    assert got[1] == ["and", "wind", "rain"] and "http://T.co/A" in got[0]
 
 
 def test_pairs_are_counted_in_one_pass(data):

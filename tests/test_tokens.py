@@ -13,7 +13,7 @@ EXAMPLES = {
     "HTTPS://A.b/C!": ["HTTPS://A.b/C!"],
     ":) :-( D: <3 ;P": [":)", ":-(", "d:", "<", "3", ";p"],
     "a <b class='X'>bold</b>": ["a", "<b class='x'>", "bold", "</b>"],
-    "RT @User_1: #DemDebate #a ##x-y": ["rt", "@user_1", ":", "#demdebate", "#", "a", "##x-y"],
+    "Re @User_1: #BigSale #a ##x-y": ["re", "@user_1", ":", "#bigsale", "#", "a", "##x-y"],
     "it's a well-known don't": ["it's", "a", "well-known", "don't"],
     "3/4 -1.5 10:30 42": ["3/4", "-1.5", "10:30", "42"],
     "wait... . . . end.": ["wait", "... . . .", "end", "."],
