@@ -4,17 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from oreline.llm import quality_rules
+from oreline.llm import quality_rules, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: a first run of the ledger, joined back to all paths."""
+    versions = secrets.versions_of(_table(spark, sf_dir, "documents"))
+    return secrets.digest(secrets.findings(versions, secrets.scan(versions)))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op2_blob_ledger": (op2_blob_ledger, secrets.digest_sql()),
     "op4_quality_rules": (op4_quality_rules, quality_rules.judge_sql()),
 }
