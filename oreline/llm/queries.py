@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from oreline.llm import quality_rules, secrets
+from oreline.llm import ordinal, quality_rules, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,7 +22,17 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
 
 
+def op10_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and tail probabilities of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    model = ordinal.train(docs, ordinal.graded(_table(spark, sf_dir, "labels")))
+    return ordinal.score(docs, model).select(
+        "doc_id", "expected_grade", F.get("at_least", 0).alias("p_not_toxic"),
+        F.get("at_least", 1).alias("p_good"), ordinal.accepted().alias("kept"))
+
+
 QUERIES = {
+    "op10_ordinal": (op10_ordinal, None),
     "op2_blob_ledger": (op2_blob_ledger, secrets.digest_sql()),
     "op4_quality_rules": (op4_quality_rules, quality_rules.judge_sql()),
 }
