@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BITS = 18
-SAMPLE = 6000
+SAMPLE = 12_000
 EDGE = ".,;:!?\"'()[]%&$#*|<>"
 CACHE = 200_000
 
@@ -46,7 +46,7 @@ def shapes(text: str, words: list[str], distinct: int) -> list[str]:
     lines = [line for line in text.split("\n") if line]
     n = max(1, len(words))
     tenth = lambda part, of: min(10, 10 * part // max(1, of))
-    return [f"\0upper {tenth(upper, len(raw))}", f"\0symbols {tenth(symbols, n)}",
+    return [f"\0upper {tenth(upper, len(raw))}", f"\0symbols {tenth(symbols, n)}", f"\0any {symbols.bit_length()}",
             f"\0bangs {tenth(text.count('!!'), n)}", f"\0different {tenth(distinct, n)} {min(4, len(words) // 20)}",
             f"\0lines {tenth(len(lines) - len(set(lines)), len(lines))}", f"\0size {len(words).bit_length()}"]
 
@@ -72,8 +72,8 @@ class Model:
         return 1.0 / (1.0 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -60, 60)))
 
 
-def fit(rows: list[np.ndarray], grades: np.ndarray, top: int, steps: int = 200, rate: float = 0.05,
-        penalty: float = 2e-4, least: int = 3) -> Model:
+def fit(rows: list[np.ndarray], grades: np.ndarray, top: int, steps: int = 150, rate: float = 0.05,
+        penalty: float = 5e-4, least: int = 3) -> Model:
     """Full-batch Adam on the cumulative-link likelihood, all grades weighing alike in square root.
 
     Hash values seen in fewer than ``least`` rows keep the weight 0.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreline.llm import ordinal, quality_rules, secrets
+from oreline.llm import ordinal, packing, quality_rules, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,7 +31,18 @@ def op10_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.get("at_least", 1).alias("p_good"), ordinal.accepted().alias("kept"))
 
 
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op3_cutting_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 1024 tokens."""
+    return packing.pack(_table(spark, sf_dir, "documents"), vocabulary())
+
+
 QUERIES = {
+    "op3_cutting_stock": (op3_cutting_stock, None),
     "op10_ordinal": (op10_ordinal, None),
     "op2_blob_ledger": (op2_blob_ledger, secrets.digest_sql()),
     "op4_quality_rules": (op4_quality_rules, quality_rules.judge_sql()),
