@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreline.llm import ordinal, packing, quality_rules, secrets
+from oreline.llm import hyperplane, ordinal, packing, quality_rules, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,7 +41,32 @@ def op3_cutting_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op8_hyperplane(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of equal label."""
+    return hyperplane.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+OP8_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+u AS (
+  SELECT *, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS n FROM v
+  WHERE label IS NOT NULL AND v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0),
+e AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.v, b.v) / (a.n * b.n) >= 0.98),
+r AS (
+  SELECT a AS node, a AS seen FROM e UNION SELECT r.node, e.b FROM r JOIN e ON r.seen = e.a),
+c AS (SELECT node, min(seen) AS least FROM r GROUP BY node),
+d AS (SELECT a, count(*) AS n FROM e GROUP BY a)
+SELECT vec_id, coalesce(d.n, 0)::BIGINT AS n_links, coalesce(c.least, vec_id) AS component_id,
+       coalesce(c.least, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN c ON c.node = vec_id LEFT JOIN d ON d.a = vec_id"""
+
+
 QUERIES = {
+    "op8_hyperplane": (op8_hyperplane, OP8_SQL),
     "op3_cutting_stock": (op3_cutting_stock, None),
     "op10_ordinal": (op10_ordinal, None),
     "op2_blob_ledger": (op2_blob_ledger, secrets.digest_sql()),
