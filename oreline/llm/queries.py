@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreline.llm import hyperplane, ordinal, packing, quality_rules, secrets
+from oreline.llm import hamming, hyperplane, ordinal, packing, quality_rules, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,7 +65,13 @@ SELECT vec_id, coalesce(d.n, 0)::BIGINT AS n_links, coalesce(c.least, vec_id) AS
 FROM embeddings LEFT JOIN c ON c.node = vec_id LEFT JOIN d ON d.a = vec_id"""
 
 
+def op9_hamming_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate documents by their 5-word shingles."""
+    return hamming.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op9_hamming_join": (op9_hamming_join, None),
     "op8_hyperplane": (op8_hyperplane, OP8_SQL),
     "op3_cutting_stock": (op3_cutting_stock, None),
     "op10_ordinal": (op10_ordinal, None),
