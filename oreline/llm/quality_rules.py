@@ -18,6 +18,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from oreline.llm.arrays import bound
+
 WORD_GAP = r"[\x20\x09-\x0D]+"
 A_WORD_CHAR = r"[^\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
@@ -74,15 +76,10 @@ RULES = [
 BASE_RULES = RULES[:2]
 
 
-def _bound(value: Column, use) -> Column:
-    """``use(value)`` with ``value`` computed once, also inside nested lambdas."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def _window_hashes(words: Column) -> Column:
     """A 64-bit hash of every window of 8 words, by joining neighbours 1, 2 and 4 apart."""
     def joined(hashes: Column, apart: int) -> Column:
-        return _bound(hashes, lambda h: F.zip_with(
+        return bound(hashes, lambda h: F.zip_with(
             F.slice(h, 1, F.size(h) - apart), F.slice(h, apart + 1, F.size(h) - apart), lambda a, b: F.xxhash64(a, b)))
 
     return joined(joined(joined(F.transform(words, lambda w: F.xxhash64(w)), 1), 2), 4)
@@ -107,12 +104,12 @@ def _repeated_words(words: Column) -> Column:
             return F.coalesce((y["h"] == x["h"])
                               & (F.slice(ws, y["i"] + 1, WINDOW) == F.slice(ws, x["i"] + 1, WINDOW)), F.lit(False))
 
-        return _bound(keyed, lambda s: F.sort_array(F.filter(
+        return bound(keyed, lambda s: F.sort_array(F.filter(
             F.transform(s, lambda x, j: F.when(same(s, x, j - 1) | same(s, x, j + 1), x["i"])), lambda i: i.isNotNull())))
 
-    return F.when(F.size(words) > WINDOW, _bound(words, lambda ws: _bound(
+    return F.when(F.size(words) > WINDOW, bound(words, lambda ws: bound(
         _window_hashes(ws), lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0))
-        .otherwise(_bound(places(ws, h), covered))))).otherwise(F.lit(0))
+        .otherwise(bound(places(ws, h), covered))))).otherwise(F.lit(0))
 
 
 def judge(docs: DataFrame, id_: str = "doc_id", text: str = "text", rules: list[Rule] = RULES) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreline.llm import hamming, hyperplane, ordinal, packing, quality_rules, secrets
+from oreline.llm import deep_shallow, hamming, hyperplane, line_runs, ordinal, packing, quality_rules, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,7 +70,22 @@ def op9_hamming_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document when later copies of repeated line runs are deleted."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = line_runs.dedup(docs.withColumn("n_lines", F.size(F.split("text", "\n")).cast("long")))
+    return cut.select("doc_id", "n_lines", F.col("_op7_removed").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op5_deep_shallow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without strings of 200 bytes that occur elsewhere."""
+    cut = deep_shallow.remove_repeats(_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op5_deep_shallow": (op5_deep_shallow, None),
+    "op7_line_runs": (op7_line_runs, line_runs.DIGEST_SQL),
     "op9_hamming_join": (op9_hamming_join, None),
     "op8_hyperplane": (op8_hyperplane, OP8_SQL),
     "op3_cutting_stock": (op3_cutting_stock, None),
