@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreline.llm import deep_shallow, hamming, hyperplane, line_runs, ordinal, packing, quality_rules, secrets
+from oreline.llm import deep_shallow, hamming, hyperplane, line_runs, ordinal, packing, piece_viterbi, quality_rules, secrets, surrogates
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,7 +38,7 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
 
 def op3_cutting_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
-    return packing.pack(_table(spark, sf_dir, "documents"), vocabulary())
+    return packing.pack(_table(spark, sf_dir, "documents"), vocabulary(), vocabulary("byte_bpe_50k.tiktoken"))
 
 
 def op8_hyperplane(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +83,25 @@ def op5_deep_shallow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_piece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and whether they decode to its text."""
+    docs, model = _table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model")
+    return piece_viterbi.checked(docs, model).select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "score", "ids", "exact")
+
+
+#: The key of the surrogates; a deployment passes its own secret.
+SURROGATE_KEY = b"oreline surrogates"
+
+
+def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with surrogates for personal data."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.pseudonymize(docs, SURROGATE_KEY).withColumnRenamed("_op1_replaced", "n_replaced")
+
+
 QUERIES = {
+    "op1_surrogates": (op1_surrogates, None),
+    "op6_piece_viterbi": (op6_piece_viterbi, None),
     "op5_deep_shallow": (op5_deep_shallow, None),
     "op7_line_runs": (op7_line_runs, line_runs.DIGEST_SQL),
     "op9_hamming_join": (op9_hamming_join, None),
