@@ -30,7 +30,7 @@ MARK = "▁"
 CACHE = 200_000
 LONG = 48
 PENALTY = 10.0
-#: Pieces with scores down here are reserved by their vocabulary and set no standard for the penalty.
+#: Pieces with scores down here are reserved by their vocabulary; they take the lowest ordinary score.
 RESERVED = -1e8
 
 
@@ -41,7 +41,8 @@ class Pieces:
         """``entries``: (piece, score, kind) by id; kind is "piece", "byte" or "other"."""
         import ahocorasick
         self.automaton, self.byte_ids, self.spelled = ahocorasick.Automaton(), {}, []
-        usable, lowest = [], 0.0
+        usable = []
+        lowest = min((score for _, score, kind in entries if kind == "piece" and score > RESERVED), default=0.0)
         for i, (piece, score, kind) in enumerate(entries):
             if kind == "byte":
                 value = int(piece[3:5], 16)
@@ -51,8 +52,7 @@ class Pieces:
                 self.spelled.append(piece.replace(MARK, " ").encode() if kind == "piece" else b"")
             if kind == "piece" and piece:
                 usable.append(piece)
-                self.automaton.add_word(piece, (i, len(piece), score))
-                lowest = min(lowest, score) if score > RESERVED else lowest
+                self.automaton.add_word(piece, (i, len(piece), max(score, lowest)))
         self.automaton.make_automaton()
         self.unknown = lowest - PENALTY
         self.parts = all(MARK not in p.lstrip(MARK) for p in usable)
@@ -90,7 +90,7 @@ class Pieces:
         while at:
             i = back[at]
             if i == -1:
-                char = MARK if text[at - 1] == stand_in else text[at - 1]
+                char = MARK if text[at - 1] == stand_in else " " if text[at - 1] == MARK else text[at - 1]
                 ids.extend(self.byte_ids[b] for b in reversed(char.encode("utf-8", "surrogatepass")))
                 at -= 1
             else:
