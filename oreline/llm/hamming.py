@@ -193,8 +193,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(kernel, "x long, y long")
 
 
-def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
-    """(id, n_shingles, component_id, kept): one row per row of ``docs``.
+def grouped(docs: DataFrame, id_: str = "doc_id", text: str = "text", percent: int = 85) -> tuple[DataFrame, DataFrame]:
+    """(id, name, n_shingles, digest) of every row, and (digest, component) of every class.
 
     ``percent`` is the similarity of linked sets; DISTANCE is made for 85 and more.
     """
@@ -208,7 +208,7 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text", pe
 
     rows = kept(signatures(docs, id_, text), "rows")
     classes = kept(rows.where("n_shingles > 0").groupBy("digest")
-                   .agg(F.first("sig").alias("sig"), F.min("id").alias("least"), F.min("name").alias("name"))
+                   .agg(F.first("sig").alias("sig"), F.min("name").alias("name"))
                    .withColumn("node", F.monotonically_increasing_id()), "classes")
     keys = filed(classes)
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).where("n > 1")
@@ -245,10 +245,33 @@ def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text", pe
         tried = tried.unionAll(more)
 
     told = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
-    named = classes.select("digest", "node", "least").join(told, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    final = named.join(smallest, "component").select("digest", "component_id")
-    out = (rows.join(final, "digest", "left")
+    named = classes.select("digest", "node").join(told, "node", "left")
+    return rows, kept(named.select("digest", F.coalesce("component", "node").alias("component")), "components")
+
+
+def near_duplicates(docs: DataFrame, id_: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
+    """(id, n_shingles, component_id, kept): one row per row of ``docs``."""
+    rows, classes = grouped(docs, id_, text, percent)
+    least = (rows.where("n_shingles > 0").groupBy("digest").agg(F.min("id").alias("least")).join(classes, "digest")
+             .groupBy("component").agg(F.min("least").alias("component_id")))
+    out = (rows.join(classes.join(least, "component").select("digest", "component_id"), "digest", "left")
            .select(F.col("id").alias(id_), "n_shingles",
                    F.when(F.col("n_shingles") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id")))
     return out.withColumn("kept", F.col(id_).eqNullSafe(F.col("component_id")))
+
+
+def survivors(docs: DataFrame, id_: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
+    """One document of each group, with all columns: the one of the smallest id, null last, then text hash.
+
+    Rows with equal id and text are one document.  Texts without words all stay.
+    """
+    rows, classes = grouped(docs, id_, text, percent)
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "name")
+    chosen = (rows.where("n_shingles > 0").groupBy("digest").agg(F.min(order).alias("first")).join(classes, "digest")
+              .groupBy("component").agg(F.min("first").alias("first"))
+              .select(F.col("first.name").alias("_op9_name"), F.col("first.id").alias("_op9_id")))
+    empty = rows.where("n_shingles = 0").select(F.col("name").alias("_op9_name"), F.col("id").alias("_op9_id")).distinct()
+    stays = chosen.unionAll(empty)
+    named = docs.withColumn("_op9_text", _name(text))
+    same = (F.col("_op9_text") == F.col("_op9_name")) & F.col(f"`{id_}`").eqNullSafe(F.col("_op9_id"))
+    return named.join(stays, same, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
