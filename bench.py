@@ -15,7 +15,7 @@ from oreline.plans.registry import QUERIES
 from oreline.session import local_session
 
 HEADLINE = [
-    "ngram_top5", "posts_from_json", "posts_per_group", "distinct_tokens", "tokenizer_counts",
+    "ngram_top5", "post_files_popularity", "posts_from_json", "posts_per_group", "distinct_tokens", "tokenizer_counts",
     "token_mentions_top20", "relative_popularity_top10", "conversation_popularity_top10",
     "entity_decode_counts", "panel_daily_stats", "scalar_summary", "clipped_histogram",
     "covariance_invariants", "reconstruct_residual", "residual_extremes", "ols_coefficients",

@@ -45,8 +45,10 @@ def sentences(text: Column) -> Column:
 
 
 def words(sentence: Column) -> Column:
-    """Array of normalised words (one regex pass: cut at runs of separators)."""
-    return F.array_remove(F.split(F.lower(sentence), _JAVA_SEPARATOR + "+"), "")
+    """Array of normalised words, cut before lower-casing: a letter whose lower
+    case holds a combining mark does not end a word."""
+    cut = F.lower(F.regexp_replace(sentence, _JAVA_SEPARATOR + "+", " "))
+    return F.array_remove(F.split(cut, " "), "")
 
 
 def word_windows(word_array: Column, width: int) -> Column:

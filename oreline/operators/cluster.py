@@ -9,6 +9,7 @@ one: lineage stays flat and a lost executor only repeats its own tasks.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -23,6 +24,7 @@ from pyspark.sql import types as T
 
 from oreline.functions.arrow import chunks, lists, matrix
 
+# Clusters, runs and the move at which a run rests.
 CLUSTERS = 5
 RUNS = 25
 MAX_SHIFT = 0.1
@@ -67,11 +69,24 @@ def nearest(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return labels.astype(np.int32), d2.min(axis=2)
 
 
-def center_array(centers: DataFrame, run: str = "run", j: str = "j", c: str = "c") -> np.ndarray:
-    """Centres as a runs x k x d array; they are bounded by runs * k."""
-    rows = centers.select(run, j, c).orderBy(run, j).collect()
-    runs = len({r[0] for r in rows})
-    return np.array([r[2] for r in rows], dtype=float).reshape(runs, len(rows) // runs, -1)
+def center_array(centers: DataFrame, run: str = "run", j: str = "j", c: str = "c",
+                 previous: np.ndarray | None = None) -> np.ndarray:
+    """Centres as a runs x k x d array; they are bounded by runs * k.
+
+    Each row goes to its (run, j).  A cluster without a row (it was empty)
+    keeps its ``previous`` centre; without any, a missing row is an error.
+    """
+    cells = {(r[0], r[1]): r[2] for r in centers.select(run, j, c).collect()}
+    if previous is None:
+        shape = (1 + max(r for r, _ in cells), 1 + max(k for _, k in cells))
+        missing = [(r, k) for r in range(shape[0]) for k in range(shape[1]) if (r, k) not in cells]
+        if missing:
+            raise ValueError(f"no centre for (run, cluster) {missing[:5]}; pass the previous centres")
+        previous = np.zeros((*shape, len(next(iter(cells.values())))))
+    out = previous.astype(float).copy()
+    for at, value in cells.items():
+        out[at] = value
+    return out
 
 
 def center_rows(points: DataFrame, centers: np.ndarray) -> DataFrame:
@@ -233,17 +248,19 @@ class KMeansRuns:
     centers: np.ndarray
     history: list[np.ndarray]
     shift: float
+    converged: bool = True
 
 
 def lloyd(points: DataFrame, centers: np.ndarray, max_move: float = MAX_SHIFT,
-          max_iter: int = 200, v: str = "v",
+          max_iter: int | None = None, v: str = "v",
           watch: Callable[[int, float], None] | None = None) -> KMeansRuns:
     """Moves the centres of all runs until none of the runs moves more than ``max_move``.
 
-    An empty cluster keeps its centre.
+    An empty cluster keeps its centre.  With ``max_iter`` the steps may end
+    earlier, and ``converged`` says so; without, they end when the centres rest.
     """
     centers, history, shift = centers.copy(), [], float("inf")
-    for step in range(max_iter):
+    for step in itertools.count() if max_iter is None else range(max_iter):
         new, cost = centers.copy(), np.zeros(len(centers))
         for row in cluster_sums(points, centers, v).collect():     # runs * k rows
             new[row["run"], row["j"]] = row["c"]
@@ -255,11 +272,11 @@ def lloyd(points: DataFrame, centers: np.ndarray, max_move: float = MAX_SHIFT,
             watch(step + 1, shift)
         if shift <= max_move:
             break
-    return KMeansRuns(centers, history, shift)
+    return KMeansRuns(centers, history, shift, shift <= max_move)
 
 
 def kmeans(points: DataFrame, k: int = CLUSTERS, runs: int = RUNS,
-           max_move: float = MAX_SHIFT, seed: int = 0, max_iter: int = 200,
+           max_move: float = MAX_SHIFT, seed: int = 0, max_iter: int | None = None,
            id_: str = "id", v: str = "v") -> KMeansRuns:
     """Seeding and Lloyd steps; the points are cached for the passes."""
     cached = points.select(id_, v).persist(StorageLevel.MEMORY_AND_DISK)
@@ -291,6 +308,11 @@ def best_run(costs: DataFrame) -> DataFrame:
                      F.min("cost").alias("cost"))
 
 
+def best_centers(costs: DataFrame, centers: np.ndarray) -> np.ndarray:
+    """The k x d centres of the run of least cost."""
+    return centers[best_run(costs).first()["run"]]
+
+
 def entropy_of(counts: DataFrame, by: list[str], n: str = "n") -> DataFrame:
     """Entropy in bits of the frequencies ``n`` within each group."""
     total = F.sum(n).cast("double")

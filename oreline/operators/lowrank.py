@@ -23,16 +23,24 @@ from oreline.session import cut_lineage
 
 
 def panel_vectors(panel: DataFrame, keys: list[str], slot: str, x: str,
-                  length: int) -> DataFrame:
-    """Long panel to one vector per key; slots 0..length-1, NaN where empty.
+                  length: int, first_slot: int = 0, drop_outside: bool = False) -> DataFrame:
+    """Long panel to one vector per key; ``length`` slots from ``first_slot``, NaN where empty.
 
     Readings are averaged per slot first, so a key collects at most
-    ``length`` entries however many readings it has.
+    ``length`` entries however many readings it has.  A reading of another
+    slot is an error unless ``drop_outside`` asks to leave such readings out.
     """
-    cells = (panel.where(F.col(slot).between(0, length - 1)).groupBy(*keys, slot).agg(F.avg(x).alias("_x"))
-             .groupBy(*keys)
-             .agg(F.map_from_entries(F.collect_list(F.struct(slot, "_x"))).alias("_m")))
-    at = F.transform(F.sequence(F.lit(0), F.lit(length - 1)),
+    last = first_slot + length - 1
+    inside = F.col(slot).between(first_slot, last)
+    if drop_outside:
+        panel, checked = panel.where(inside), F.col(slot)
+    else:
+        message = F.concat(F.lit(f"slot outside {first_slot}..{last}: "), F.col(slot).cast("string"))
+        checked = F.when(F.col(slot).isNull() | inside, F.col(slot)).otherwise(F.raise_error(message).cast("int"))
+    cells = (panel.where(F.col(slot).isNotNull())
+             .groupBy(*keys, checked.alias("_slot")).agg(F.avg(x).alias("_x")).groupBy(*keys)
+             .agg(F.map_from_entries(F.collect_list(F.struct("_slot", "_x"))).alias("_m")))
+    at = F.transform(F.sequence(F.lit(first_slot), F.lit(last)),
                      lambda i: F.coalesce(F.try_element_at(F.col("_m"), i),
                                           F.lit(float("nan"))))
     return cells.select(*keys, at.alias("vec"))
@@ -40,69 +48,96 @@ def panel_vectors(panel: DataFrame, keys: list[str], slot: str, x: str,
 
 # --- covariance and eigenvectors ---------------------------------------------
 
-_PARTIAL = "series {t}, i int, j int, n double, si double, sj double, sij double"
-_HELD_SERIES = 32
+_PARTIAL = "series {t}, i int, j int, n double, mi double, mj double, c double"
 
 
-def _partial_rows(key, sums: list[np.ndarray], type_: pa.DataType) -> pa.RecordBatch:
-    n, s, p = sums
-    i, j = np.triu_indices(n.shape[0])
-    names = ["series", "i", "j", "n", "si", "sj", "sij"]
-    series = pa.array([key] * len(i), type=type_)
-    return pa.RecordBatch.from_arrays(
-        [series, pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)),
-         pa.array(n[i, j]), pa.array(s[i, j]), pa.array(s[j, i]), pa.array(p[i, j])], names)
+class _Moments:
+    """Pair counts, means and co-moments of the days, merged chunk by chunk.
 
+    ``mean[i, j]`` is the mean of day i over the rows that have both days.
+    Sums are taken around a chunk's own means and merged by the pairwise
+    update of Chan, Golub and LeVeque, so large means cost no digits.
+    """
 
-def _gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per task and series: pair counts, masked sums and products of days."""
-    held: dict = {}
-    type_ = None
+    def __init__(self, d: int):
+        self.n, self.mean, self.c = np.zeros((d, d)), np.zeros((d, d)), np.zeros((d, d))
+
+    def add(self, rows: np.ndarray) -> None:
+        seen = ~np.isnan(rows)
+        m = seen.astype(np.float64)
+        count = m.sum(axis=0)
+        near = np.where(seen, rows, 0.0).sum(axis=0) / np.maximum(count, 1.0)
+        v = np.where(seen, rows - near, 0.0)
+        n = m.T @ m
+        rest = np.divide(v.T @ m, n, out=np.zeros_like(n), where=n > 0)
+        self._merge(n, near[:, None] + rest, v.T @ v - n * rest * rest.T)
+
+    def _merge(self, n: np.ndarray, mean: np.ndarray, c: np.ndarray) -> None:
+        total = self.n + n
+        share = np.divide(n, total, out=np.zeros_like(n), where=total > 0)
+        delta = np.where(n > 0, mean - self.mean, 0.0)
+        self.c += c + self.n * share * delta * delta.T
+        self.mean += share * delta
+        self.n = total
+
+    def rows(self, key, type_: pa.DataType) -> pa.RecordBatch:
+        i, j = np.triu_indices(len(self.n))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([key] * len(i), type=type_), pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)),
+             *[pa.array(x) for x in (self.n[i, j], self.mean[i, j], self.mean[j, i], self.c[i, j])]],
+            ["series", "i", "j", "n", "mi", "mj", "c"])
+
+
+def _comoments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per task and series one set of sums; the rows of a series come together."""
+    key, held, type_ = None, None, None
     for whole in batches:
         for batch in chunks(whole, 4096):
             type_ = batch.column(0).type
-            codes = batch.column(0).dictionary_encode()
-            x = matrix(batch.column(1))
+            codes = batch.column(0).dictionary_encode(null_encoding="encode")
+            x, names = matrix(batch.column(1)), codes.dictionary.to_pylist()
             index = codes.indices.to_numpy(zero_copy_only=False)
-            for code, key in enumerate(codes.dictionary.to_pylist()):
-                rows = x[index == code]
-                m = (~np.isnan(rows)).astype(np.float64)
-                v = np.where(m > 0, rows, 0.0)
-                parts = [m.T @ m, v.T @ m, v.T @ v]
-                if key in held:
-                    for have, add in zip(held[key], parts):
-                        have += add
-                else:
-                    if len(held) >= _HELD_SERIES:   # bounds the task's memory
-                        old = next(iter(held))
-                        yield _partial_rows(old, held.pop(old), type_)
-                    held[key] = parts
-    for key, sums in held.items():
-        yield _partial_rows(key, sums, type_)
-
-
-def covariance(vectors: DataFrame, series: str = "series", vec: str = "vec",
-               tasks: int | None = None) -> DataFrame:
+            for code in dict.fromkeys(index.tolist()):
+                if held is None or names[code] != key:
+                    if held is not None:
+                        yield held.rows(key, type_)
+                    key, held = names[code], _Moments(x.shape[1])
+                held.add(x[index == code])
+    if held is not None:
+        yield held.rows(key, type_)
+
+
+def covariance(vectors: DataFrame, series: str = "series", vec: str = "vec") -> DataFrame:
     """Pairwise-complete population covariance: ``(series, i, j, n, mean, cov)``, i <= j.
 
     ``n`` counts the rows with both days and ``mean`` is that of day i over them,
     so the rows with i = j hold the plain daily means.
-    Each task adds up its rows before anything is shuffled, so a series with
-    most of the rows costs no more than the others.  ``tasks`` merges input
-    splits (default: four per core), since every task emits d*d/2 sums.
+    Each task sorts its rows by series and adds them up around their means
+    before anything is shuffled, so it holds the sums of one series at a time,
+    emits d(d+1)/2 rows per series, and a series with most of the rows costs no
+    more than the others.
     """
-    spark = vectors.sparkSession
-    narrow = vectors.select(series, vec).where(F.col(vec).isNotNull())
-    narrow = narrow.coalesce(tasks or 4 * spark.sparkContext.defaultParallelism)
+    narrow = (vectors.select(series, vec).where(F.col(vec).isNotNull())
+              .sortWithinPartitions(series))
     kind = vectors.schema[series].dataType.simpleString()
-    partial = narrow.mapInArrow(_gram, _PARTIAL.format(t=kind))
-    sums = partial.groupBy("series", "i", "j").agg(
-        *[F.sum(c).alias(c) for c in ("n", "si", "sj", "sij")])
-    cov = F.when(F.col("n") > 0, F.col("sij") / F.col("n")
-                 - F.col("si") / F.col("n") * (F.col("sj") / F.col("n"))).otherwise(0.0)
-    mean = F.when(F.col("n") > 0, F.col("si") / F.col("n")).otherwise(F.lit(float("nan")))
-    return sums.select(F.col("series").alias(series), "i", "j", "n",
-                       mean.alias("mean"), cov.alias("cov"))
+    partial = narrow.mapInArrow(_comoments, _PARTIAL.format(t=kind))
+    start = F.struct(*[F.lit(0.0).alias(c) for c in ("n", "mi", "mj", "c")])
+
+    def merge(a, b):
+        n = a["n"] + b["n"]
+        share = F.when(n > 0, b["n"] / n).otherwise(0.0)
+        di, dj = b["mi"] - a["mi"], b["mj"] - a["mj"]
+        return F.struct(n.alias("n"), (a["mi"] + share * di).alias("mi"), (a["mj"] + share * dj).alias("mj"),
+                        (a["c"] + b["c"] + a["n"] * share * di * dj).alias("c"))
+
+    # one struct per task and pair of days, in an order that a retried task repeats
+    parts = partial.groupBy("series", "i", "j").agg(
+        F.array_sort(F.collect_list(F.struct("n", "mi", "mj", "c"))).alias("_p"))
+    sums = parts.select("series", "i", "j", F.aggregate("_p", start, merge).alias("_m"))
+    n = F.col("_m.n")
+    return sums.select(F.col("series").alias(series), "i", "j", n.alias("n"),
+                       F.when(n > 0, F.col("_m.mi")).otherwise(F.lit(float("nan"))).alias("mean"),
+                       F.when(n > 0, F.col("_m.c") / n).otherwise(0.0).alias("cov"))
 
 
 def _solve(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -132,7 +167,10 @@ def eigen(cov: DataFrame, series: str = "series") -> DataFrame:
 
 
 def explained_variance(eig: DataFrame, series: str = "series", k_max: int = 9) -> DataFrame:
-    """Share of the total variance in the top k eigenvalues, k = 0..k_max."""
+    """Share of the total variance in the top k eigenvalues, k = 0..k_max.
+
+    A series without variance has no shares: ``explained`` is null.
+    """
     values = eig.groupBy(series).agg(
         F.sort_array(F.collect_list("eigval"), asc=False).alias("_v"))
 
@@ -142,7 +180,7 @@ def explained_variance(eig: DataFrame, series: str = "series", k_max: int = 9) -
     return (values
             .select(series, "_v", F.explode(F.sequence(F.lit(0), F.lit(k_max))).alias("k"))
             .select(series, "k",
-                    (total(F.slice("_v", F.lit(1), F.col("k"))) / total(F.col("_v")))
+                    F.try_divide(total(F.slice("_v", F.lit(1), F.col("k"))), total(F.col("_v")))
                     .alias("explained")))
 
 

@@ -73,8 +73,9 @@ SELECT CAST(run AS INTEGER) AS run, round(cost, 6) AS cost FROM cost"""
 def kmeans_two_steps(spark, sf):
     """Members and cost per cluster after one move of the centres."""
     points = _points(spark, sf)
-    moved = cl.cluster_sums(points, cl.center_array(_first_centers(points)))
-    out = cl.cluster_sums(points, cl.center_array(moved))
+    start = cl.center_array(_first_centers(points))
+    moved = cl.cluster_sums(points, start)
+    out = cl.cluster_sums(points, cl.center_array(moved, previous=start))
     return out.select("run", "j", "n", rounded("cost").alias("cost"))
 
 
@@ -159,13 +160,13 @@ def vector_concat(spark, sf):
     """Three arrays of a row as one feature vector, then as columns."""
     e = F.col("embedding")
     parts = table(spark, sf, "embeddings").select(
-        "vec_id", F.slice(e, 1, 2).alias("a"), F.slice(e, 30, 2).alias("b"),
-        F.slice(e, 63, 2).alias("c"))
-    return number_columns(cl.concat_features(parts, "vec_id", ["a", "b", "c"]), ["v"], 6)
+        "vec_id", F.slice(e, 1, 20).alias("a"), F.slice(e, 21, 20).alias("b"),
+        F.slice(e, 41, 24).alias("c"))
+    return number_columns(cl.concat_features(parts, "vec_id", ["a", "b", "c"]), ["v"], 64)
 
 
 VECTOR_CONCAT_SQL = "SELECT vec_id, " + ", ".join(
-    f"embedding[{i}]::DOUBLE AS v{n + 1}" for n, i in enumerate([1, 2, 30, 31, 63, 64])
+    f"embedding[{i}]::DOUBLE AS v{i}" for i in range(1, 65)
 ) + " FROM embeddings"
 
 # --- samples and splits ---------------------------------------------------------------
@@ -259,6 +260,45 @@ def rf_depth_sweep(spark, sf):
     return out.select("algo", "depth", "split", "n", "err")
 
 
+def _decided(spark, sf):
+    """Lines whose label one of three features decides: more than 25 pieces."""
+    rows = table(spark, sf, "lineitem").select(
+        "l_orderkey", (F.col("l_quantity") > 25).cast("double").alias("label"),
+        *[F.col(c).cast("double") for c in ("l_quantity", "l_discount", "l_tax")])
+    data = cf.assemble(rows, ["l_quantity", "l_discount", "l_tax"], keep=["l_orderkey"])
+    return sm.with_split(data, arithmetic_uniform("l_orderkey"), 0.7).drop("l_orderkey")
+
+
+def tree_sweeps_decided(spark, sf):
+    """Both learners at two depths on a label that one feature decides: no errors."""
+    data = _decided(spark, sf)
+    sweeps = [cf.depth_sweep(data, algo, [depth], size=size, seed=255)
+              for algo, depth, size in (("gbt", 1, 2), ("gbt", 3, 2), ("rf", 6, 5))]
+    out = sweeps[0].unionByName(sweeps[1]).unionByName(sweeps[2])
+    return out.select("algo", "depth", "split", "n", rounded("err", 8).alias("err"))
+
+
+TREE_SWEEPS_DECIDED_SQL = f"""
+SELECT algo, depth, CASE WHEN {arithmetic_uniform_sql('l_orderkey')} < 0.7 THEN 'train' ELSE 'test' END AS split,
+       count(*) AS n, 0.0::DOUBLE AS err
+FROM lineitem, (VALUES ('gbt', 1), ('gbt', 3), ('rf', 6)) t(algo, depth) GROUP BY ALL"""
+
+
+def saved_tree_errors(spark, sf):
+    """A boosted model written, read again, and joined to the labels of its rows."""
+    data = _decided(spark, sf)
+    path = scratch_path(spark, "model")
+    cf.save_model(cf.boosting(1, 2, seed=255).fit(data.where("split = 'train'").drop("split")), path)
+    scored = cf.load_model("gbt", path).transform(data)
+    out = cf.error_rate(scored, ["split"])
+    return out.select("split", "n", rounded("err", 8).alias("err"))
+
+
+SAVED_TREE_ERRORS_SQL = f"""
+SELECT CASE WHEN {arithmetic_uniform_sql('l_orderkey')} < 0.7 THEN 'train' ELSE 'test' END AS split,
+       count(*) AS n, 0.0::DOUBLE AS err FROM lineitem GROUP BY ALL"""
+
+
 # --- files of numbers ---------------------------------------------------------------------
 
 
@@ -276,24 +316,24 @@ def csv_label_last(spark, sf):
     names = schemas.expand_names([("e", 64), "label"])
     path = _write_csv(spark, sf, [_numbers(), F.col("label").cast("string")], "label-last")
     out = readers.read_numeric_csv(spark, path, names, "label")
-    return out.groupBy("label").agg(F.count(F.lit(1)).alias("cnt"),
-                                    rounded(F.sum("e_0")).alias("first"),
-                                    rounded(F.sum("e_63")).alias("last"))
+    return _column_sums(out)
+
+
+def _column_sums(numbers):
+    return numbers.groupBy("label").agg(F.count(F.lit(1)).alias("cnt"), *[
+        rounded(F.sum(f"e_{i}")).alias(f"s{i}") for i in range(64)])
 
 
 def csv_label_first(spark, sf):
     names = schemas.expand_names(["label", ("e", 64)])
     path = _write_csv(spark, sf, [F.col("label").cast("string"), _numbers()], "label-first")
     out = readers.parse_numeric_lines(spark.read.text(path), names, "label")
-    return out.groupBy("label").agg(F.count(F.lit(1)).alias("cnt"),
-                                    rounded(F.sum("e_0")).alias("first"),
-                                    rounded(F.sum("e_63")).alias("last"))
+    return _column_sums(out)
 
 
-CSV_SQL = """
-SELECT label::DOUBLE AS label, count(*) AS cnt, round(sum(embedding[1]::DOUBLE), 6) AS first,
-       round(sum(embedding[64]::DOUBLE), 6) AS last
-FROM embeddings GROUP BY 1"""
+CSV_SQL = ("SELECT label::DOUBLE AS label, count(*) AS cnt, "
+           + ", ".join(f"round(sum(embedding[{i + 1}]::DOUBLE), 6) AS s{i}" for i in range(64))
+           + " FROM embeddings GROUP BY 1")
 
 
 def flatten_nested(spark, sf):
@@ -335,6 +375,8 @@ QUERIES = {
     "error_rate": (error_rate, ERROR_RATE_SQL),
     "gbt_depth_sweep": (gbt_depth_sweep, None),
     "rf_depth_sweep": (rf_depth_sweep, None),
+    "tree_sweeps_decided": (tree_sweeps_decided, TREE_SWEEPS_DECIDED_SQL),
+    "saved_tree_errors": (saved_tree_errors, SAVED_TREE_ERRORS_SQL),
     "csv_label_last": (csv_label_last, CSV_SQL),
     "csv_label_first": (csv_label_first, CSV_SQL),
     "flatten_nested": (flatten_nested, FLATTEN_NESTED_SQL),

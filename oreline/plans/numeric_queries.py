@@ -109,6 +109,51 @@ SELECT series, round(sum(cov) FILTER (WHERE i = j), 8) AS trace,
 FROM p GROUP BY series"""
 
 
+def covariance_entries(spark, sf):
+    """Every entry of the covariance on and above the diagonal."""
+    return lr.covariance(_vectors(spark, sf)).select(
+        "series", "i", "j", F.col("n").cast("bigint").alias("n"), rounded("cov", 8).alias("cov"))
+
+
+_ENTRIES_SQL = """
+WITH c AS (SELECT vec_id, label AS series, unnest(range(0, 64)) AS i,
+                  unnest(embedding)::DOUBLE AS x FROM embeddings),
+p AS (SELECT a.series, a.i, b.i AS j, count(*) AS n, covar_pop(a.x, b.x) AS cov
+      FROM c a JOIN c b ON a.vec_id = b.vec_id AND a.series = b.series AND a.i <= b.i GROUP BY ALL)"""
+
+COVARIANCE_ENTRIES_SQL = _ENTRIES_SQL + """
+SELECT series, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, n, round(cov, 8) AS cov FROM p"""
+
+
+def eigen_rebuild(spark, sf):
+    """The covariance put together again from all eigenvalues and eigenvectors."""
+    pairs = _spectrum(spark, sf).select("series", "eigval", "eigvec", F.posexplode("eigvec").alias("i", "a"))
+    cells = pairs.select("series", "eigval", "i", "a", F.posexplode("eigvec").alias("j", "b")).where("i <= j")
+    return cells.groupBy("series", "i", "j").agg(rounded(F.sum(F.col("eigval") * F.col("a") * F.col("b")), 7).alias("cov"))
+
+
+EIGEN_REBUILD_SQL = _ENTRIES_SQL + """
+SELECT series, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, round(cov, 7) AS cov FROM p"""
+
+
+def residual_trace(spark, sf):
+    """Mean residual at rank r plus the share of the top r eigenvalues in the trace: the trace again, r = 1..3."""
+    vectors, cov = _vectors(spark, sf), lr.covariance(_vectors(spark, sf))
+    spectrum = lr.eigen(cov)
+    share = lr.explained_variance(spectrum, k_max=3).where("k > 0")
+    trace = spectrum.groupBy("series").agg(F.sum("eigval").alias("trace"))
+    left = (lr.residuals(vectors, lr.fit_basis(vectors)).groupBy("series")
+            .agg(*[F.avg(F.get("err", F.lit(r))).alias(f"err{r + 1}") for r in range(3)])
+            .select("series", F.posexplode(F.array("err1", "err2", "err3")).alias("p", "err")))
+    joined = share.join(trace, "series").join(left.select("series", (F.col("p") + 1).alias("k"), "err"), ["series", "k"])
+    return joined.select("series", "k", rounded(F.col("err") + F.col("explained") * F.col("trace"), 7).alias("trace"))
+
+
+RESIDUAL_TRACE_SQL = _ENTRIES_SQL + """
+SELECT series, CAST(k AS INTEGER) AS k, round(sum(cov), 7) AS trace
+FROM p, range(1, 4) t(k) WHERE i = j GROUP BY series, k"""
+
+
 def explained_variance(spark, sf):
     out = lr.explained_variance(_spectrum(spark, sf))
     return out.select("series", "k", rounded("explained", 8).alias("explained"))
@@ -340,6 +385,9 @@ QUERIES = {
     "scalar_summary": (scalar_summary, SCALAR_SUMMARY_SQL),
     "clipped_histogram": (clipped_histogram, CLIPPED_HISTOGRAM_SQL),
     "covariance_invariants": (covariance_invariants, COVARIANCE_INVARIANTS_SQL),
+    "covariance_entries": (covariance_entries, COVARIANCE_ENTRIES_SQL),
+    "eigen_rebuild": (eigen_rebuild, EIGEN_REBUILD_SQL),
+    "residual_trace": (residual_trace, RESIDUAL_TRACE_SQL),
     "explained_variance": (explained_variance, None),
     "daily_basis_series": (daily_basis_series, None),
     "spectral_residuals": (spectral_residuals, None),

@@ -10,17 +10,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table for CPU-heavy row work.
-
-    Files with fewer splits than the session has cores are spread over them; a
-    table with enough splits is left where it lies.
-    """
-    df = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _nudge(places: int) -> float:
     """Moves exact halves off the rounding boundary.
 

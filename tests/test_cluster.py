@@ -106,6 +106,29 @@ def test_empty_cluster_keeps_its_centre(points):
     assert out.centers[0, 1].tolist() == [1e9] * 3
 
 
+def test_lloyd_ends_when_the_centres_rest(spark):
+    """Two clusters that creep over a long line of points: more steps than any limit of old."""
+    line = spark.createDataFrame([(i, [float(i ** 2)]) for i in range(60)], "id int, v array<double>").coalesce(1)
+    start = np.array([[[-1.0], [0.0]]])
+    early = cl.lloyd(line, start, max_move=0.0, max_iter=2)
+    assert not early.converged and len(early.history) == 2
+    found = cl.lloyd(line, start, max_move=0.0)
+    assert found.converged and found.shift == 0.0
+
+
+def test_missing_centres_are_not_shifted(spark):
+    rows = spark.createDataFrame([(0, 1, [1.0]), (1, 0, [2.0])], "run int, j int, c array<double>")
+    with pytest.raises(ValueError):
+        cl.center_array(rows)
+    got = cl.center_array(rows, previous=np.array([[[7.0], [8.0]], [[9.0], [10.0]]]))
+    assert got.tolist() == [[[7.0], [1.0]], [[2.0], [10.0]]]
+
+
+def test_best_centers(spark):
+    costs = spark.createDataFrame([(0, 3.0), (1, 2.0)], "run int, cost double")
+    assert cl.best_centers(costs, np.array([[[0.0]], [[5.0]]])).tolist() == [[5.0]]
+
+
 def test_shift(points):
     a, b = np.zeros((2, 2, 2)), np.zeros((2, 2, 2))
     b[0, 0], b[0, 1], b[1, 1] = [3, 4], [0, 1], [5, 0]

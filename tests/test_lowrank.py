@@ -30,7 +30,7 @@ def masked_cov(m):
         for j in range(D):
             both = ~np.isnan(m[:, i]) & ~np.isnan(m[:, j])
             a, b = m[both, i], m[both, j]
-            out[i, j] = (a * b).mean() - a.mean() * b.mean()
+            out[i, j] = ((a - a.mean()) * (b - b.mean())).mean()
     return out
 
 
@@ -42,9 +42,9 @@ def basis_arrays(panel, rank=3):
     return out
 
 
-@pytest.mark.parametrize("tasks", [1, 3, None])
+@pytest.mark.parametrize("tasks", [1, 3, 5])
 def test_covariance(vectors, panel, tasks):
-    got = lr.covariance(vectors, tasks=tasks).collect()
+    got = lr.covariance(vectors.repartition(tasks)).collect()
     assert len(got) == 2 * D * (D + 1) // 2
     for r in got:
         assert r["cov"] == pytest.approx(masked_cov(panel[r.series])[r.i, r.j], abs=1e-9)
@@ -52,14 +52,31 @@ def test_covariance(vectors, panel, tasks):
         assert r.n == (m[:, r.i] & m[:, r.j]).sum()
 
 
-def test_more_series_than_a_task_holds(spark, monkeypatch):
-    rows = [(s, [float(s * k % 7), float(s + k)]) for k in range(6) for s in range(9)]
-    df = spark.createDataFrame(rows, "series int, vec array<double>")
-    want = sorted(map(tuple, lr.covariance(df, tasks=1).collect()))
-    monkeypatch.setattr(lr, "_HELD_SERIES", 2)
-    got = sorted(map(tuple, lr.covariance(df, tasks=1).collect()))
-    assert [r[:4] for r in got] == [r[:4] for r in want]
-    assert np.allclose([r[4:] for r in got], [r[4:] for r in want])
+def test_many_interleaved_series_emit_one_set_of_sums_each(spark, monkeypatch):
+    series, d = 300, 4
+    df = spark.range(series * 12).coalesce(1).selectExpr(
+        f"id % {series} as series", f"transform(sequence(1, {d}), k -> cast((id * k * 7919) % 101 as double)) as vec")
+    batches = df.sortWithinPartitions("series").mapInArrow(lr._comoments, lr._PARTIAL.format(t="bigint"))
+    assert batches.count() == series * d * (d + 1) // 2
+    got = {(r.series, r.i, r.j): r["cov"] for r in lr.covariance(df).collect()}
+    for s in (0, 17, 299):
+        m = np.array([[(i * k * 7919) % 101 for k in range(1, d + 1)] for i in range(s, series * 12, series)], float)
+        want = np.cov(m.T, bias=True)
+        assert all(got[s, i, j] == pytest.approx(want[i, j], rel=1e-9) for i in range(d) for j in range(i, d))
+
+
+def test_covariance_far_from_zero(spark):
+    x = np.random.default_rng(3).normal(0, 1, (1000, 3)) @ np.array([[1, .5, 0], [0, 1, .3], [0, 0, 1]]) + 1e8
+    df = spark.createDataFrame([("s", [float(v) for v in row]) for row in x], "series string, vec array<double>").repartition(4)
+    want = np.cov((x - x.mean(axis=0)).T, bias=True)
+    for r in lr.covariance(df).collect():
+        scale = np.sqrt(want[r.i, r.i] * want[r.j, r.j])
+        assert r["cov"] == pytest.approx(want[r.i, r.j], abs=1e-9 * scale)
+
+
+def test_a_constant_series_has_no_shares(spark):
+    df = spark.createDataFrame([("s", [1.0, 2.0])] * 3, "series string, vec array<double>")
+    assert {r.explained for r in lr.explained_variance(lr.eigen(lr.covariance(df))).collect()} == {None}
 
 
 def test_eigen(vectors, panel):
@@ -164,5 +181,9 @@ def test_profiles(vectors, panel):
 def test_panel_vectors_fill_gaps_with_nan(spark):
     df = spark.createDataFrame([("u", 0, 1.0), ("u", 0, 3.0), ("u", 2, 5.0), ("u", 3, 9.0)],
                                "u string, h int, x double")
-    vec = lr.panel_vectors(df, ["u"], "h", "x", 3).first().vec
+    vec = lr.panel_vectors(df, ["u"], "h", "x", 3, drop_outside=True).first().vec
+    with pytest.raises(Exception, match="slot outside 0..2: 3"):
+        lr.panel_vectors(df, ["u"], "h", "x", 3).collect()
+    year = spark.range(1, 366).selectExpr("'u' as u", "cast(id as int) as h", "cast(id as double) as x")
+    assert lr.panel_vectors(year, ["u"], "h", "x", 365, first_slot=1).first().vec == [float(k) for k in range(1, 366)]
     assert len(vec) == 3 and vec[0] == 2.0 and np.isnan(vec[1]) and vec[2] == 5.0

@@ -75,10 +75,7 @@ def test_running_total_over_many_partitions(spark):
 
 
 @pytest.mark.parametrize("accuracy", [3, 20, 10_000])
-@pytest.mark.parametrize("window_rows", [0, 1_000_000])
-def test_quantiles_do_not_depend_on_the_first_guess(panel, readings, accuracy, window_rows,
-                                                    monkeypatch):
-    monkeypatch.setattr(ranking, "WINDOW_ROWS", window_rows)
+def test_quantiles_do_not_depend_on_the_first_guess(panel, readings, accuracy):
     clean = panel.where("x is not null and not isnan(x)")
     probs = {"a": 0.0, "b": 0.1, "c": 0.105, "d": 0.5, "e": 0.999, "f": 1.0}
     for r in exact_quantiles(clean, ["series"], "x", probs, accuracy).collect():

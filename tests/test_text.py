@@ -90,3 +90,8 @@ def test_ties_go_to_the_smaller_ngram(spark):
 def test_group_limit_runs_before_the_shuffle(corpus):
     plan = ng.top_ngrams_direct(corpus)._jdf.queryExecution().executedPlan().toString()
     assert "Partial" in plan and "WindowGroupLimit" in plan
+
+
+def test_a_letter_with_a_long_lower_case_stays_in_its_word(spark):
+    got = spark.createDataFrame([("Gel \u0130stanbul-Ankara",)], "s string").select(tx.words(F.col("s")).alias("w")).first().w
+    assert got == ["gel", "i\u0307stanbul", "ankara"]
