@@ -6,12 +6,13 @@
    most D and M chunks, some chunk differs in at most floor(D / M) = 1 value,
    so a class is filed, for every chunk, under the chunk with each one of its
    values left out.  Every pair within the distance meets in some bucket.
-3. Links are confirmed on the full sets of shingles.  Only what joins different
-   components is worth confirming: first each class with the smallest class it
-   shares a bucket with, then, in buckets that still hold several components,
-   every class with one that lies near the middle of its block, and at last
-   all pairs of different components within the distance.  No bucket is
-   gathered: large ones are cut into blocks, and pairs of blocks are tasks.
+3. Links are confirmed on the full sets of shingles.  First each class meets the
+   smallest class it shares a bucket with.  Buckets that then still hold several
+   components are searched for pairs within the distance that could join them;
+   what these pairs connect is a candidate group, whose texts meet once and are
+   compared exactly, pair by pair, by the sizes of their intersections.  Pairs
+   are never written out, only edges that join components.  Large buckets and
+   groups are cut into blocks, and pairs of blocks are tasks.
 
 D is set so that a pair at the threshold lies within it with probability above
 0.9998 (binomial, 64 values that differ with probability 0.15).
@@ -40,6 +41,8 @@ VALUES = 64
 DISTANCE = 21
 CHUNKS = 11
 BLOCK = 4096
+#: Texts of a candidate group that meet in one task are at most twice as many.
+GROUP_BLOCK = 512
 CACHE = 200_000
 SEED = 9
 
@@ -127,50 +130,83 @@ def filed(classes: DataFrame) -> DataFrame:
     return classes.select("node", "sig").mapInArrow(kernel, "key long, node long")
 
 
-def _near(a: np.ndarray, b: np.ndarray, distance: int) -> np.ndarray:
-    return (a[:, None, :] != b[None, :, :]).sum(axis=2) <= distance
+def _joining(component: np.ndarray, close) -> list[tuple[int, int]]:
+    """Edges (places) that join rows of different components along ``close`` pairs.
 
-
-def _blocks(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, VALUES)
-    return table.column("node").to_numpy(), table.column("component").to_numpy(), sig
-
-
-def middle_pairs(held: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """(x, y): in each block of a bucket, the classes near its middle one, if their components differ."""
+    ``close(i, rows)`` says which of the rows are near row i.  A search from
+    each row in turn looks only at rows not reached yet, so a dense group costs
+    about one comparison per row; at most one edge per component is returned.
+    """
+    left, edges = np.arange(len(component)), []
+    while len(left):
+        todo, left = [int(left[0])], left[1:]
+        seen = {component[todo[0]]}
+        while todo and len(left):
+            i = todo.pop()
+            met = close(i, left) | (component[left] == component[i])
+            for j in left[met].tolist():
+                if component[j] not in seen:
+                    seen.add(component[j])
+                    edges.append((i, j))
+                todo.append(j)
+            left = left[~met]
+    return edges
+
+
+def _edge_table(node: np.ndarray, edges: list[tuple[int, int]]) -> pa.Table:
+    return pa.table({k: pa.array([int(node[e[i]]) for e in edges], pa.int64()) for i, k in enumerate("xy")})
+
+
+def _pair_blocks(rows: DataFrame, by: str) -> DataFrame:
+    """``rows`` (with ``blocks``) dealt to pairs of blocks (low, high) of their group ``by``."""
+    block = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    return block.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+        by, F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+        *[c for c in rows.columns if c not in (by, "blocks")])
+
+
+def candidates(held: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """(x, y): edges between components that classes of one bucket within the distance may join.
+
+    ``held`` has key, node, component, sig, blocks.
+    """
+    def kernel(_, table):
+        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, VALUES)
+        close = lambda i, rows: (sig[rows] != sig[i]).sum(axis=1) <= distance
+        return _edge_table(table.column("node").to_numpy(), _joining(table.column("component").to_numpy(), close))
+
+    return _pair_blocks(held, "key").groupBy("key", "low", "high").applyInArrow(kernel, "x long, y long")
+
+
+def _similar(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which sets are similar enough: sizes of all intersections by products of incidence matrices."""
+    n, size = len(sets), np.array([len(s) for s in sets])
+    _, column, many = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = many[column] > 1
+    row, column = np.repeat(np.arange(n), size)[shared], (np.cumsum(many > 1) - 1)[column[shared]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common = np.zeros((n, n), dtype=np.float32)
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        low, high = np.searchsorted(column, [at, at + 4096])
+        part = np.zeros((n, 4096), dtype=np.float32)
+        part[row[low:high], column[low:high] - at] = 1.0
+        common += part @ part.T
+    common = common.astype(np.int64)
+    return 100 * common >= percent * (size[:, None] + size[None, :] - common)
+
+
+def links_in_groups(held: DataFrame, percent: int) -> DataFrame:
+    """(x, y): confirmed links that join the components of each candidate group, at most one per component and task.
+
+    ``held`` has grp, node, component, text, blocks.
+    """
     def kernel(_, table):
-        node, component, sig = _blocks(table)
-        mode = np.array([np.bincount(sig[:, k], minlength=256).argmax() for k in range(VALUES)], dtype=np.uint8)
-        centre = int((sig != mode).sum(axis=1).argmin())
-        good = ((sig != sig[centre]).sum(axis=1) <= distance) & (component != component[centre])
-        x = np.full(int(good.sum()), node[centre])
-        return pa.table({"x": pa.array(np.minimum(x, node[good])), "y": pa.array(np.maximum(x, node[good]))})
-
-    return held.groupBy("key", "block").applyInArrow(kernel, "x long, y long")
-
-
-def all_pairs(held: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """(x, y): all classes of a bucket within the distance whose components differ, block by block."""
-    sides = held.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
-        "key", "node", "component", "sig", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-        (F.col("block") <= F.col("other")).alias("first"))
-
-    def kernel(group, table):
-        node, component, sig = _blocks(table)
-        side = table.column("first").to_numpy()
-        one = group[1].as_py() == group[2].as_py()
-        left, right = (np.arange(len(node)),) * 2 if one else (np.flatnonzero(side), np.flatnonzero(~side))
-        xs, ys = [], []
-        for at in range(0, len(left), 64):
-            for to in range(0, len(right), 1024):
-                a, b = left[at:at + 64], right[to:to + 1024]
-                i, j = np.nonzero((component[a][:, None] != component[b][None, :]) & _near(sig[a], sig[b], distance))
-                xs.append(node[a[i]])
-                ys.append(node[b[j]])
-        x, y = (np.concatenate(v) if v else np.zeros(0, dtype=np.int64) for v in (xs, ys))
-        return pa.table({"x": pa.array(np.minimum(x, y)), "y": pa.array(np.maximum(x, y))})
-
-    return sides.groupBy("key", "low", "high").applyInArrow(kernel, "x long, y long")
+        known = _Hashes()
+        good = _similar([shingles(t, known) for t in table.column("text").to_pylist()], percent)
+        return _edge_table(table.column("node").to_numpy(), _joining(table.column("component").to_numpy(), lambda i, rows: good[i, rows]))
+
+    return _pair_blocks(held, "grp").groupBy("grp", "low", "high").applyInArrow(kernel, "x long, y long")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -227,22 +263,28 @@ def grouped(docs: DataFrame, id_: str = "doc_id", text: str = "text", percent: i
     involved = members.select("node").distinct().join(classes.select("node", "name"), "node")
     texts = kept(docs.select(_name(text).alias("name"), F.col(text).alias("text")).join(involved, "name")
                  .groupBy("node").agg(F.first("text").alias("text")), "texts")
-    tried = kept(first.distinct(), "tried0")
-    links = kept(confirmed(tried, texts, percent), "links0")
-
-    for step, pairs_of in enumerate((middle_pairs, all_pairs), 1):
-        told = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
-        named = members.join(told, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        # buckets with the same members are one; those of a single component are done
-        mixed = (named.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("h1"),
-                                          F.bit_xor(F.xxhash64("node", F.lit(1))).alias("h2"),
-                                          (F.min("component") < F.max("component")).alias("open"))
-                 .where("open").groupBy("n", "h1", "h2").agg(F.min("key").alias("key")))
-        held = (named.select("key", "node", "component").join(mixed.select("key", F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks")), "key")
-                .join(sig, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))))
-        more = kept(pairs_of(held).distinct().join(tried, ["x", "y"], "left_anti"), f"tried{step}")
-        links = links.unionAll(kept(confirmed(more, texts, percent), f"links{step}"))
-        tried = tried.unionAll(more)
+    links = kept(confirmed(kept(first.distinct(), "first"), texts, percent), "links0")
+
+    told = kept(components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))), "told")
+    named = members.join(told, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    # buckets with the same members are one; those of a single component are done
+    mixed = (named.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("h1"),
+                                      F.bit_xor(F.xxhash64("node", F.lit(1))).alias("h2"),
+                                      (F.min("component") < F.max("component")).alias("open"))
+             .where("open").groupBy("n", "h1", "h2").agg(F.min("key").alias("key"), F.first("n").alias("members")))
+    held = (named.select("key", "node", "component")
+            .join(mixed.select("key", F.ceil(F.col("members") / BLOCK).cast("long").alias("blocks")), "key").join(sig, "node"))
+    maybe = kept(candidates(held).distinct(), "maybe")
+    # a candidate group holds whole components; its texts meet once, in blocks
+    whole = told.select(F.col("component").alias("a"), F.col("node").alias("b"))
+    joined = kept(components(maybe.select(F.col("x").alias("a"), F.col("y").alias("b")).unionAll(whole)), "joined")
+    ends = maybe.select(F.col("x").alias("node")).unionAll(maybe.select(F.col("y").alias("node"))).distinct()
+    open_ = joined.join(ends, "node", "left_semi").select("component").distinct()
+    inside = joined.join(open_, "component", "left_semi").select(F.col("component").alias("grp"), "node")
+    blocks = inside.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / GROUP_BLOCK).cast("long").alias("blocks"))
+    met = (inside.join(blocks, "grp").join(told, "node", "left").withColumn("component", F.coalesce("component", "node"))
+           .join(texts, "node").select("grp", "node", "component", "text", "blocks"))
+    links = links.unionAll(kept(links_in_groups(met, percent), "links1"))
 
     told = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
     named = classes.select("digest", "node").join(told, "node", "left")
