@@ -36,7 +36,8 @@ GIVEN = {
 TITLES = {"Mr": "m", "Herr": "m", "Monsieur": "m", "Señor": "m", "Sr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Frau": "f",
           "Madame": "f", "Mme": "f", "Señora": "f", "Sra": "f", "Dr": "", "Prof": ""}
 _TITLE = "|".join(sorted(TITLES, key=len, reverse=True))
-_NAME = r"[^\W\d_][\w'’-]+"
+#: A name starts with a capital, or with a letter of a script without capitals.
+_NAME = r"[A-ZÀ-ÖØ-ÞĀ-ŽΆ-ΫЀ-Я一-鿿ぁ-ヿ가-힣א-ת][\w'’-]+"
 PATTERN = re.compile("|".join([
     r"(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})",
     r"(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d))",
