@@ -1,9 +1,10 @@
 """Joins of a large table with a lookup table, safe for hot keys.
 
 A lookup is broadcast only after its rows and bytes were measured.  A larger
-one is joined through a shuffle with the key salted: the large side spreads
-each key over ``salts`` partitions and the lookup side is repeated as often,
-so a key holding a third of all rows still splits into small tasks.
+one is joined through a shuffle.  Keys with many rows are counted first and
+spread over as many salts as their size asks for; only their lookup rows are
+repeated, so a key holding a third of all rows still splits into small tasks
+and the other keys cost nothing.
 """
 
 from __future__ import annotations
@@ -16,10 +17,12 @@ from oreline.session import cut_lineage
 
 MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+# Rows of one key that may meet in a task of the join.
+HOT_ROWS = 1_000_000
 
 
 def _row_bytes(lookup: DataFrame) -> Column:
-    """Payload bytes of a row: text by its length, arrays by their elements."""
+    """Payload bytes of a row: text by its length, arrays by their elements, structs and maps as text."""
     total = F.lit(0).cast("bigint")
     for field in lookup.schema.fields:
         c = F.col(field.name)
@@ -28,6 +31,8 @@ def _row_bytes(lookup: DataFrame) -> Column:
         elif isinstance(field.dataType, T.ArrayType):
             nested = isinstance(field.dataType.elementType, T.ArrayType)
             size = F.size(F.flatten(c) if nested else c) * 8
+        elif isinstance(field.dataType, (T.StructType, T.MapType)):
+            size = F.octet_length(F.to_json(c))
         else:
             size = F.lit(8)
         total = total + F.coalesce(size, F.lit(0))
@@ -42,7 +47,7 @@ def fits_broadcast(lookup: DataFrame) -> bool:
 
 
 def enrich(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner",
-           spread: list[Column] | None = None, salts: int = 16) -> DataFrame:
+           spread: list[Column] | None = None) -> DataFrame:
     """Join ``facts`` with a ``lookup`` holding at most one row per key.
 
     ``spread`` are columns that differ between rows of one key; they pick the
@@ -55,8 +60,16 @@ def enrich(facts: DataFrame, lookup: DataFrame, on: list[str], how: str = "inner
         return facts.join(F.broadcast(lookup), on, how)
     if not spread:
         return facts.join(lookup, on, how)
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    hot = cut_lineage(facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT_ROWS)
+                      .select(*on, F.ceil(F.col("_n") / HOT_ROWS).cast("int").alias("_salts")))
+    if hot.isEmpty():
+        return facts.join(lookup, on, how)
+    known = F.broadcast(hot) if fits_broadcast(hot) else hot
+    many = F.coalesce(F.col("_salts"), F.lit(1))
+    salted = (facts.join(known, on, "left")
+              .withColumn("_salt", F.pmod(F.xxhash64(*spread), many).cast("int")).drop("_salts"))
+    repeated = (lookup.join(hot, on, "left")
+                .withColumn("_salt", F.explode(F.sequence(F.lit(0), many - 1))).drop("_salts"))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 

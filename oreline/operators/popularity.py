@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from oreline.functions.tokens import explode_tokens
 from oreline.operators.lookup import enrich, one_row_per_key
@@ -66,18 +65,19 @@ def group_scores(tokens: DataFrame, mapping: DataFrame, user: str = "user_id",
                  min_users: int = MIN_USERS, default: int = DEFAULT_GROUP) -> DataFrame:
     """``(group, token, cnt, total, score)`` with score = log2(cnt / total).
 
-    A token's total is the sum of its group counts, so the pairs are shuffled
-    and counted once and no self-join with a table of totals is needed; the
-    window sees at most one row per group for each token.
+    A token's total is the sum of its group counts.  One row per token holds
+    the counts of its (few) groups and their sum, so tokens with too few users
+    leave before anything is expanded, and nothing is sorted by token.
     """
     pairs = user_tokens(tokens, user, token)
     grouped = enrich(pairs, one_row_per_key(mapping, user, group), [user], "left",
                      spread=[F.col(token)])
     counts = (grouped.groupBy(F.coalesce(F.col(group), F.lit(default)).alias(group), token)
               .agg(F.count(F.lit(1)).alias("cnt")))
-    total = F.sum("cnt").over(Window.partitionBy(token))
-    return (counts.withColumn("total", total)
-            .where(F.col("total") >= min_users)
+    whole = (counts.groupBy(token)
+             .agg(F.sum("cnt").alias("total"), F.collect_list(F.struct(group, "cnt")).alias("_g"))
+             .where(F.col("total") >= min_users))
+    return (whole.select(token, "total", F.inline("_g")).select(group, token, "cnt", "total")
             .withColumn("score", F.log2(F.col("cnt") / F.col("total"))))
 
 

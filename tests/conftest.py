@@ -18,9 +18,10 @@ def spark():
 
 @pytest.fixture
 def no_broadcast(spark, monkeypatch):
-    """Lookups count as too large, and Spark may not broadcast on its own."""
+    """Lookups count as too large, keys are soon hot, and Spark may not broadcast on its own."""
     from oreline.operators import lookup
     monkeypatch.setattr(lookup, "MAX_BROADCAST_BYTES", -1)
+    monkeypatch.setattr(lookup, "HOT_ROWS", 3)
     keys = ["spark.sql.autoBroadcastJoinThreshold",
             "spark.sql.adaptive.autoBroadcastJoinThreshold"]
     for key in keys:
