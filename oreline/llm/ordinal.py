@@ -32,6 +32,8 @@ BITS = 18
 SAMPLE = 12_000
 EDGE = ".,;:!?\"'()[]%&$#*|<>"
 CACHE = 200_000
+#: Rows whose features are summed at a time while fitting.
+PART = 500
 
 
 def bucket(word: str) -> int:
@@ -82,18 +84,26 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, top: int, steps: int = 150,
     weights = np.zeros(size)
     if not len(rows):
         return Model(weights, -np.arange(top, 0, -1, dtype=float) - 1)
-    flat, owner = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    often = np.bincount(flat, minlength=size) >= least
-    used = often[flat]
-    flat, owner = flat[used], owner[used]
-    names, flat = np.unique(flat, return_inverse=True)
-    w, base, gaps = np.zeros(len(names)), 0.0, np.zeros(max(0, top - 1))
+    flat, size_of = np.concatenate(rows), np.array([len(r) for r in rows])
+    names = np.flatnonzero(np.bincount(flat, minlength=size) >= least)
+    place = np.full(size, len(names), dtype=np.int32)  # values seen too seldom share a last weight, which stays 0
+    place[names] = np.arange(len(names), dtype=np.int32)
+    flat, starts = place[flat], np.concatenate([[0], np.cumsum(size_of)])
+    parts = [(i, min(i + PART, len(rows))) for i in range(0, len(rows), PART)]
+    w, base, gaps = np.zeros(len(names) + 1), 0.0, np.zeros(max(0, top - 1))
+
+    def scored() -> np.ndarray:
+        return np.concatenate([np.add.reduceat(w[flat[starts[i]:starts[j]]], starts[i:j] - starts[i]) for i, j in parts])
+
+    def by_weight(by_score: np.ndarray) -> np.ndarray:
+        return sum(np.bincount(flat[starts[i]:starts[j]], weights=np.repeat(by_score[i:j], size_of[i:j]), minlength=len(w)) for i, j in parts)
+
     share = np.bincount(grades, minlength=top + 1)
     balance = (1.0 / np.sqrt(np.maximum(share, 1)))[grades]
     balance = balance / balance.sum()
-    moments = [np.zeros(len(names) + top), np.zeros(len(names) + top)]
+    moments = [np.zeros(len(w) + top), np.zeros(len(w) + top)]
     for step in range(1, steps + 1):
-        score = np.bincount(owner, weights=w[flat], minlength=len(rows))
+        score = scored()
         cuts = base + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
         below = 1.0 / (1.0 + np.exp(np.clip(score[:, None] - cuts[None, :], -60, 60)))
         edge = np.concatenate([np.zeros((len(rows), 1)), below, np.ones((len(rows), 1))], axis=1)
@@ -103,13 +113,14 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, top: int, steps: int = 150,
         up, down = balance * slope[at, grades + 1] / chance, balance * slope[at, grades] / chance
         by_score = up - down  # derivative of the loss by the score
         by_cut = np.array([(down[grades == k + 1]).sum() - (up[grades == k]).sum() for k in range(top)])
-        gradient = np.concatenate([np.bincount(flat, weights=by_score[owner], minlength=len(names)) + penalty * w,
+        gradient = np.concatenate([by_weight(by_score) + penalty * w,
                                    [by_cut.sum()], [by_cut[k + 1:].sum() * np.exp(gaps[k]) for k in range(top - 1)]])
         moments[0] = 0.9 * moments[0] + 0.1 * gradient
         moments[1] = 0.999 * moments[1] + 0.001 * gradient ** 2
         move = rate * (moments[0] / (1 - 0.9 ** step)) / (np.sqrt(moments[1] / (1 - 0.999 ** step)) + 1e-8)
-        w, base, gaps = w - move[:len(names)], base - move[len(names)], gaps - move[len(names) + 1:]
-    weights[names] = w
+        w, base, gaps = w - move[:len(w)], base - move[len(w)], gaps - move[len(w) + 1:]
+        w[-1] = 0.0
+    weights[names] = w[:-1]
     return Model(weights, base + np.concatenate([[0.0], np.cumsum(np.exp(gaps))]))
 
 
