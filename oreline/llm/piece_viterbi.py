@@ -54,6 +54,7 @@ class Pieces:
                 usable.append(piece)
                 self.automaton.add_word(piece, (i, len(piece), max(score, lowest)))
         self.automaton.make_automaton()
+        self.sizes = [len(p) for p, _, _ in entries]
         self.unknown = lowest - PENALTY
         self.parts = all(MARK not in p.lstrip(MARK) for p in usable)
         self.known: dict[str, tuple[bytes, float]] = {}
@@ -67,25 +68,22 @@ class Pieces:
 
     def best(self, text: str, stand_in: str = "") -> tuple[bytes, float]:
         """Ids (little-endian 32-bit) and score of the best segmentation; ``stand_in`` is spelled as a mark."""
-        n = len(text)
+        n, sizes, unknown = len(text), self.sizes, self.unknown
         score, back = [0.0] + [-np.inf] * n, [0] * (n + 1)
         done = 0
-
-        def unknown_until(end: int) -> None:
-            # places no piece has reached by now are reached by the character before them
-            nonlocal done
-            while done < end:
-                done += 1
-                if score[done - 1] + self.unknown > score[done]:
-                    score[done], back[done] = score[done - 1] + self.unknown, -1
-
         for end, (i, size, value) in self.automaton.iter(text):
-            unknown_until(end)
+            while done < end:  # places before this one are settled: a character alone may still be best
+                done += 1
+                if score[done - 1] + unknown > score[done]:
+                    score[done], back[done] = score[done - 1] + unknown, -1
             at = end + 1
             new = score[at - size] + value
-            if new > score[at] or (new == score[at] and back[at] != -1 and size > self._size(back[at])):
+            if new > score[at] or (new == score[at] and back[at] != -1 and size > sizes[back[at]]):
                 score[at], back[at] = new, i
-        unknown_until(n)
+        while done < n:
+            done += 1
+            if score[done - 1] + unknown > score[done]:
+                score[done], back[done] = score[done - 1] + unknown, -1
         ids, at = [], n
         while at:
             i = back[at]
@@ -95,12 +93,9 @@ class Pieces:
                 at -= 1
             else:
                 ids.append(i)
-                at -= self._size(i)
+                at -= sizes[i]
         return np.array(ids[::-1], dtype="<i4").tobytes(), score[n]
 
-    def _size(self, i: int) -> int:
-        return len(self.spelled[i].decode())
-
     def encode(self, text: str) -> tuple[bytes, float]:
         if not text:
             return b"", 0.0
