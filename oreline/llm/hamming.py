@@ -3,8 +3,8 @@
 1. A text is the set of its 5-word shingles; each of 64 permutations leaves the
    lowest 8 bits of its minimum.  Texts with equal sets form a class.
 2. Signatures are compared by the number of different values.  With distance at
-   most D and M chunks, some chunk differs in at most floor(D / M) = 1 value,
-   so a class is filed, for every chunk, under the chunk with each one of its
+   most D = 2 M - 1 and M chunks, some chunk differs in at most floor(D / M) = 1
+   value, so a class is filed, for every chunk, under the chunk with each one of its
    values left out.  Every pair within the distance meets in some bucket.
 3. Links are confirmed on the full sets of shingles.  First each class meets the
    smallest class it shares a bucket with.  Buckets that then still hold several
@@ -14,8 +14,9 @@
    are never written out, only edges that join components.  Large buckets and
    groups are cut into blocks, and pairs of blocks are tasks.
 
-D is set so that a pair at the threshold lies within it with probability above
-0.9998 (binomial, 64 values that differ with probability 0.15).
+D and M follow from the threshold, so that a pair at it lies beyond D with a
+probability of at most 1e-4 (binomial, 64 values; at 85 %: D = 21, M = 11, loss
+9.5e-5; at 80 %: D = 27, M = 14, loss 1.4e-5).
 
 Defined results: a null text or one without words has the empty set and links
 with nothing; with fewer than five words the whole sequence is the only
@@ -27,6 +28,7 @@ are read.
 from __future__ import annotations
 
 import hashlib
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +40,8 @@ from oreline.session import scratch_path
 
 WORDS = 5
 VALUES = 64
-DISTANCE = 21
-CHUNKS = 11
+#: Largest probability that a pair at the threshold lies beyond the distance.
+LOSS = 1e-4
 BLOCK = 4096
 #: Texts of a candidate group that meet in one task are at most twice as many.
 GROUP_BLOCK = 512
@@ -47,6 +49,14 @@ CACHE = 200_000
 SEED = 9
 
 
+def reach(percent: int) -> tuple[int, int]:
+    """(distance, chunks) for a threshold: the fewest chunks, one error each, that lose at most LOSS."""
+    differ = 1 - percent / 100
+    beyond = lambda d: sum(comb(VALUES, k) * differ ** k * (1 - differ) ** (VALUES - k) for k in range(d + 1, VALUES + 1))
+    chunks = next(m for m in range(1, VALUES + 1) if beyond(2 * m - 1) <= LOSS)
+    return 2 * chunks - 1, chunks
+
+
 class _Hashes(dict):
     """64-bit hashes of words, looked up when met again."""
 
@@ -111,19 +121,19 @@ def _name(text: str):
     return F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("name")
 
 
-def filed(classes: DataFrame) -> DataFrame:
+def filed(classes: DataFrame, chunks: int) -> DataFrame:
     """(key, node): every class under each chunk with each one value left out."""
     def kernel(batches):
         draw = np.random.default_rng(SEED + 1)
         table = draw.integers(0, 2 ** 64, (VALUES, 256), dtype=np.uint64)
         salt = draw.integers(0, 2 ** 64, VALUES, dtype=np.uint64)
-        chunks = np.array_split(np.arange(VALUES), CHUNKS)
+        places = np.array_split(np.arange(VALUES), chunks)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 sig = np.frombuffer(b"".join(part.column("sig").to_pylist()), np.uint8).reshape(-1, VALUES)
                 code = table[np.arange(VALUES)[None, :], sig]
-                keys = np.concatenate([_mixed(code[:, c].sum(axis=1, keepdims=True) - code[:, c] + salt[c][None, :]) for c in chunks], axis=1)
+                keys = np.concatenate([_mixed(code[:, c].sum(axis=1, keepdims=True) - code[:, c] + salt[c][None, :]) for c in places], axis=1)
                 node = part.column("node").to_numpy(zero_copy_only=False)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.repeat(node, VALUES))], names=["key", "node"])
 
@@ -165,7 +175,7 @@ def _pair_blocks(rows: DataFrame, by: str) -> DataFrame:
         *[c for c in rows.columns if c not in (by, "blocks")])
 
 
-def candidates(held: DataFrame, distance: int = DISTANCE) -> DataFrame:
+def candidates(held: DataFrame, distance: int) -> DataFrame:
     """(x, y): edges between components that classes of one bucket within the distance may join.
 
     ``held`` has key, node, component, sig, blocks.
@@ -232,8 +242,9 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 def grouped(docs: DataFrame, id_: str = "doc_id", text: str = "text", percent: int = 85) -> tuple[DataFrame, DataFrame]:
     """(id, name, n_shingles, digest) of every row, and (digest, component) of every class.
 
-    ``percent`` is the similarity of linked sets; DISTANCE is made for 85 and more.
+    ``percent`` is the similarity of linked sets; distance and chunks follow from it.
     """
+    distance, chunks = reach(percent)
     spark = docs.sparkSession
     base = scratch_path(spark, "hamming")
     at = lambda name: f"{base}/{name}"
@@ -246,7 +257,7 @@ def grouped(docs: DataFrame, id_: str = "doc_id", text: str = "text", percent: i
     classes = kept(rows.where("n_shingles > 0").groupBy("digest")
                    .agg(F.first("sig").alias("sig"), F.min("name").alias("name"))
                    .withColumn("node", F.monotonically_increasing_id()), "classes")
-    keys = filed(classes)
+    keys = filed(classes, chunks)
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).where("n > 1")
     members = kept(keys.join(shared, "key").select("key", "node", "n", "leader"), "members")
     first = members.where("node <> leader").groupBy("node").agg(F.min("leader").alias("x")).select("x", F.col("node").alias("y"))
@@ -257,7 +268,7 @@ def grouped(docs: DataFrame, id_: str = "doc_id", text: str = "text", percent: i
     def within(batches):
         for batch in batches:
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, VALUES) for c in ("a", "b"))
-            yield batch.select(["x", "y"]).filter(pa.array((a != b).sum(axis=1) <= DISTANCE))
+            yield batch.select(["x", "y"]).filter(pa.array((a != b).sum(axis=1) <= distance))
 
     first = near.mapInArrow(within, "x long, y long")
     involved = members.select("node").distinct().join(classes.select("node", "name"), "node")
@@ -274,7 +285,7 @@ def grouped(docs: DataFrame, id_: str = "doc_id", text: str = "text", percent: i
              .where("open").groupBy("n", "h1", "h2").agg(F.min("key").alias("key"), F.first("n").alias("members")))
     held = (named.select("key", "node", "component")
             .join(mixed.select("key", F.ceil(F.col("members") / BLOCK).cast("long").alias("blocks")), "key").join(sig, "node"))
-    maybe = kept(candidates(held).distinct(), "maybe")
+    maybe = kept(candidates(held, distance).distinct(), "maybe")
     # a candidate group holds whole components; its texts meet once, in blocks
     whole = told.select(F.col("component").alias("a"), F.col("node").alias("b"))
     joined = kept(components(maybe.select(F.col("x").alias("a"), F.col("y").alias("b")).unionAll(whole)), "joined")

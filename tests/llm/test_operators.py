@@ -299,6 +299,31 @@ def test_near_duplicates_against_all_pairs(spark, monkeypatch):
     assert kept == {i for i in range(len(sets)) if root[i] == i}
 
 
+def test_reach_follows_the_threshold():
+    assert hamming.reach(85) == (21, 11) and hamming.reach(80) == (27, 14)
+
+
+def test_pipeline_stage_takes_similarity_of_80(spark, monkeypatch):
+    import corpus_pipeline
+    monkeypatch.setattr(hamming, "BLOCK", 5)
+    monkeypatch.setattr(hamming, "GROUP_BLOCK", 4)
+    rng, texts = random.Random(19), []
+    for _ in range(30):
+        words = [f"w{rng.randrange(10 ** 6)}" for _ in range(300)]
+        texts.append(" ".join(words))
+        for many in (6, 7, 8):
+            new = list(words)
+            for at in rng.sample(range(0, 300, 6), many):
+                new[at] = f"x{rng.random():.6f}"
+            texts.append(" ".join(new))
+    sets = [{tuple(t.split()[k:k + 5]) for k in range(296)} for t in texts]
+    pairs = {(i, j): len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i in range(len(sets)) for j in range(i)}
+    assert sum(0.8 <= s < 0.85 for s in pairs.values()) > 20
+    root = roots(range(len(sets)), [p for p, s in pairs.items() if s >= 0.8])
+    kept = {r.doc_id for r in corpus_pipeline.keep_one_of_each_group(spark, documents(spark, texts), "").collect()}
+    assert kept == {i for i in range(len(sets)) if root[i] == i}
+
+
 # ---- op10 ------------------------------------------------------------------
 
 def test_ordinal_on_held_out_documents(spark):
