@@ -19,6 +19,8 @@ from oreline.session import scratch_path
 
 #: Least similarity of near duplicates on word shingles; the 85 of op9 is that query's own.
 NEAR_PERCENT = 80
+#: A line of more words is a repeated run by itself, whatever its neighbours.
+ALONE_WORDS = 50
 
 
 def _measured(docs: DataFrame) -> DataFrame:
@@ -36,7 +38,7 @@ def accept_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated line runs go; so do documents that lose every line that way."""
-    return _measured(line_runs.dedup(docs).where(~F.col("_op7_empty")).select(*docs.columns))
+    return _measured(line_runs.dedup(docs, alone_words=ALONE_WORDS).where(~F.col("_op7_empty")).select(*docs.columns))
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -249,6 +249,32 @@ def test_line_runs(spark, least):
             assert r.text == (t if t is None else "\n".join(s for j, s in enumerate(t.split("\n")) if j not in gone[i]))
 
 
+def test_long_lines_are_runs_in_the_pipeline(spark):
+    import corpus_pipeline
+    rng = random.Random(17)
+    long = [" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(n)) for n in (49, 50, 51, 51, 80, 120)] + ["  " + "a \t" * 50, " b" * 51]
+    pool = long + ["short one", "another", "a third"]
+    texts = [None, "", long[4], long[4], f"x1\n{long[5]}\nx2", f"x3\n{long[5]}\nx4", f"x5\n{long[1]}\nx6", f"x7\n{long[1]}\nx8"]
+    texts += ["\n".join([f"start {k}"] + [rng.choice(pool) for _ in range(rng.randrange(1, 6))] + [f"end {k}"]) for k in range(40)]
+    seen, want = set(), {}
+    for i, t in enumerate(texts):
+        lines = (t or "").split("\n")
+        gone = set()
+        for n in (1, 2):
+            for k in range(len(lines) - n + 1):
+                run = tuple(lines[k:k + n])
+                if all(s.strip() for s in run) and (n == 2 or len(run[0].split()) > 50):
+                    if run in seen:
+                        gone |= set(range(k, k + n))
+                    seen.add(run)
+        if not gone or len(gone) < len(lines):
+            want[i] = t if t is None else "\n".join(s for j, s in enumerate(lines) if j not in gone)
+    got = {r.doc_id: r for r in corpus_pipeline.drop_repeated_lines(spark, documents(spark, texts), "").collect()}
+    assert 3 not in want and want[5] == "x3\nx4" and want[7] == texts[7]
+    assert {i: r.text for i, r in got.items()} == want
+    assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in got.values())
+
+
 # ---- op8 -------------------------------------------------------------------
 
 def test_vectors_against_all_pairs(spark, monkeypatch):
