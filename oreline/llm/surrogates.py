@@ -9,7 +9,9 @@
    names keep their gender.
 3. Collisions are checked over the whole corpus: of entities with one surrogate
    the smallest keeps it, and one that equals a real entity of the corpus is
-   taken from all; the others draw again until none is left.
+   taken from all; the others draw again until none is left.  Mailboxes, hosts
+   and names grow when short shapes are used up; values of a fixed length that
+   find no free surrogate end the run with an error.
 4. Mentions are rewritten in their own format (punctuation and case stay).
 
 Defined results: a null text stays null, an empty one empty; equal texts are
@@ -111,8 +113,9 @@ def alike(text: str, draw: _Draw) -> str:
     """Each letter another of its script, each digit another digit, the rest as it is."""
     out = []
     for k, c in enumerate(text):
-        if c.isdigit() and c.isascii():
-            out.append(str(1 + draw.below(9)) if c != "0" and (k == 0 or not text[k - 1].isdigit()) else str(draw.below(10)))
+        if c.isdecimal():
+            number = 1 + draw.below(9) if int(c) and (k == 0 or not text[k - 1].isdigit()) else draw.below(10)
+            out.append(chr(ord(c) - int(c) + number))
             continue
         low = c.lower()
         span = next(((ord(a), ord(b)) for a, b in ALPHABETS if a <= low <= b), None)
@@ -122,12 +125,24 @@ def alike(text: str, draw: _Draw) -> str:
     return "".join(out)
 
 
+#: Attempts after which a value that may grow gets two characters more, each time.
+GROWS = 8
+#: Attempts after which a value of a fixed length counts as having no free surrogate.
+MOST = 200
+
+
+def _grown(value: str, draw: _Draw, attempt: int) -> str:
+    """``value`` in other letters and digits, longer by two of its last kind for every GROWS attempts."""
+    last = next((c for c in reversed(value) if c.isalnum()), "a")
+    return alike(value, draw) + alike(last * (2 * (attempt // GROWS)), draw)
+
+
 def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
     """The surrogate of a normal form, as a normal form of the same kind."""
     draw = _Draw(key, kind, value, attempt)
     if kind == "ip":
         first = value.split(".")[0]
-        head = first if first in ("10", "127", "192", "172") else str(1 + draw.below(223))
+        head = first if first in ("10", "127", "192", "172") and attempt < GROWS else str(1 + draw.below(223))
         return ".".join([head, *[str(1 + draw.below(254)) for _ in range(3)]])
     if kind == "ssn":
         return f"{1 + draw.below(665):03d}-{1 + draw.below(99):02d}-{1 + draw.below(9999):04d}"
@@ -136,10 +151,12 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         return next(body + str(d) for d in range(10) if luhn(body + str(d)))
     if kind == "host":
         labels = value.split(".")
-        return ".".join([alike(labels[0], draw), *labels[1:]])
+        return ".".join([_grown(labels[0], draw, attempt), *labels[1:]])
     if kind in ("givenf", "givenm") and value.isascii() and attempt < len(GIVEN[kind[-1]]):
         return GIVEN[kind[-1]][draw.below(len(GIVEN[kind[-1]]))].casefold()
-    return alike(value, draw) + ("" if attempt < 8 or not value.isalpha() else alike("aa", draw))
+    if kind in ("phone", "number"):
+        return alike(value, draw)
+    return _grown(value, draw, attempt)
 
 
 def render(shape: str, kind: str, value: str) -> str:
@@ -202,6 +219,9 @@ def assigned(found: DataFrame, key: bytes) -> DataFrame:
         judged = spark.read.parquet(f"{base}/turn{turn}")
         if judged.where("lost").isEmpty():
             return judged.select("kind", "value", "surrogate")
+        stuck = judged.where(F.col("lost") & (F.col("attempt") >= MOST)).groupBy("kind").count().collect()
+        if stuck:
+            raise RuntimeError(f"no free surrogates after {MOST} attempts: " + ", ".join(f"{x['count']} of kind {x['kind']}" for x in stuck))
         now = judged.select("kind", "value", (F.col("attempt") + F.col("lost").cast("int")).alias("attempt"))
         turn += 1
 

@@ -74,6 +74,40 @@ def test_surrogate_collisions_are_redrawn(spark, monkeypatch):
         assert len(set(drawn)) == 3 and "sam" in drawn
 
 
+def test_used_up_shapes_grow(spark):
+    from string import ascii_lowercase
+    found = [("user", str(k)) for k in range(1, 10)] + [("user", f"{k}") for k in range(10, 100)] + [("user", "0"), ("host", "-.com"), ("host", "1.com")]
+    found += [("host", "x.com")] + [("host", f"{c}.com") for c in ascii_lowercase if c != "x"] + [("ip", "10.0.0.1")]
+    got = {(r.kind, r.value): r.surrogate for r in surrogates.assigned(spark.createDataFrame(found, "kind string, value string"), b"k").collect()}
+    assert set(got) == set(found)
+    for kind in ("user", "host", "ip"):
+        drawn = [v for k, v in got.items() if k[0] == kind]
+        assert len(set(drawn)) == len(drawn) and not set(drawn) & {v for k, v in found if k == kind}
+    assert all(v.isdigit() for k, v in got.items() if k[0] == "user")
+    assert all(re.fullmatch(r"[a-z0-9-]+[.]com", v) for k, v in got.items() if k[0] == "host")
+
+
+def test_digits_of_every_script_are_drawn():
+    drawn = surrogates.surrogate(b"k", "phone", "\u0662\u0660\u0661\u0665\u0665\u0665\u0661\u0660\u0660\u0661", 0)
+    assert drawn != "\u0662\u0660\u0661\u0665\u0665\u0665\u0661\u0660\u0660\u0661" and all("\u0660" <= c <= "\u0669" for c in drawn)
+
+
+def test_used_up_mailboxes_and_hosts_in_texts(spark):
+    texts = [f"mail {k}@x.com" for k in range(1, 10)] + [f"mail me@{chr(97 + k)}.com" for k in range(26)]
+    rows = surrogates.pseudonymize(documents(spark, texts), b"k").collect()
+    users = {r.text.split()[1].split("@")[0] for r in rows if r.doc_id < 9}
+    hosts = {r.text.split("@")[1] for r in rows if r.doc_id >= 9}
+    assert len(users) == 9 and not users & set("123456789")
+    assert len(hosts) == 26 and not hosts & {f"{chr(97 + k)}.com" for k in range(26)}
+
+
+def test_fixed_shapes_without_a_free_surrogate_end(spark, monkeypatch):
+    monkeypatch.setattr(surrogates, "MOST", 2)
+    found = spark.createDataFrame([("number", str(k)) for k in range(1, 10)], "kind string, value string")
+    with pytest.raises(RuntimeError, match="9 of kind number"):
+        surrogates.assigned(found, b"k")
+
+
 # ---- op2 -------------------------------------------------------------------
 
 def base_spans(text):
