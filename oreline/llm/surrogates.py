@@ -1,12 +1,15 @@
 """Surrogates for personal data: keyed, of the same type, distinct and consistent.
 
 1. Detectors find entities; each has a kind and a normal form (e-mails without
-   regard to case, telephone numbers by their digits, names word by word), so
-   that mentions of one entity agree in all documents and formats.
+   regard to case, telephone numbers by their national digits, names word by
+   word), so that mentions of one entity agree in all documents and formats.  A
+   title shows a name; in the same text its surname counts without one too, with
+   the given names (of that text or GIVEN) and initials right before it.
 2. Every entity gets a surrogate drawn from an HMAC of key, kind, normal form
    and attempt: letters become letters of the same script, digits digits; card
    numbers keep issuer digit and check sum, addresses stay addresses, given
-   names keep their gender.
+   names keep their gender.  Initials are shifted along the alphabet by the key;
+   they may equal other initials, as one letter names nobody.
 3. Collisions are checked over the whole corpus: of entities with one surrogate
    the smallest keeps it, and one that equals a real entity of the corpus is
    taken from all; the others draw again until none is left.  Mailboxes, hosts
@@ -39,14 +42,29 @@ TITLES = {"Mr": "m", "Herr": "m", "Monsieur": "m", "Señor": "m", "Sr": "m", "Mr
           "Madame": "f", "Mme": "f", "Señora": "f", "Sra": "f", "Dr": "", "Prof": ""}
 _TITLE = "|".join(sorted(TITLES, key=len, reverse=True))
 #: A name starts with a capital, or with a letter of a script without capitals.
-_NAME = r"[A-ZÀ-ÖØ-ÞĀ-ŽΆ-ΫЀ-Я一-鿿ぁ-ヿ가-힣א-ת][\w'’-]+"
+_CAPITAL = r"[A-ZÀ-ÖØ-ÞĀ-ŽΆ-ΫЀ-Я一-鿿ぁ-ヿ가-힣א-ת]"
+_NAME = rf"{_CAPITAL}[\w'’-]+"
+#: What may stand before the last name: J. or J, and J.-Pierre.
+_INITIAL = rf"{_CAPITAL}(?:\.-{_NAME} |\.[ -]?| )"
+PHONES = [
+    r"(?:\+\d{1,3}[ .-]?|\d{1,2}[ .-])?(?:\(\d{2,4}\) ?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}",
+    r"(?:\+\d{2,3}[ .-]?(?:\(0\) ?)?[1-9]|0[1-9])(?:[ .-]?\d{2}){4}(?![ .-]?\d)",  # 06 12 34 56 78, +33 6 12 34 56 78
+    r"(?:\+34[ .-]?)?(?:[6-9]\d{2}(?:[ .-]\d{2}){3}|[89]\d[ .-]\d{3}(?:[ .-]\d{2}){2})",  # 612 34 56 78, 91 123 45 67
+    r"\+[1-9]\d{0,2}[ .-]?(?:\(0\) ?)?(?:\(\d{1,4}\) ?|\d{1,4}[ ./-])?\d{5,12}",  # +14155552671, +49 30 123456
+    r"\+[1-9]\d{0,2}[ .-]?(?:\(0\) ?)?(?:\(\d{1,4}\) ?)?\d(?:[ ./-]?\d){5,12}",
+    r"\(?0[1-9]\d{1,3}(?:\)[ ]?|[ /-])\d{5,8}",  # 030 123456, (030) 123456, 0171/1234567
+]
+#: Country codes of one and two digits; the others have three.
+COUNTRY = re.compile(r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]")
 PATTERN = re.compile("|".join([
     r"(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})",
     r"(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d))",
     r"(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))",
     r"(?P<card>(?<![\w+-])\d(?:[ -]?\d){12,18}(?![\w-]))",
-    r"(?P<phone>(?<![\w.+])(?:\+\d{1,3}[ .-]?|\d{1,2}[ .-])?(?:\(\d{2,4}\) ?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\w|[.-]\d))",
-    rf"(?P<person>\b(?:{_TITLE})\b\.? {_NAME}(?: {_NAME})?)"]))
+    rf"(?P<phone>(?<![\w.+])(?:{'|'.join(PHONES)})(?!\w|[.-]\d))",
+    rf"(?P<person>\b(?:{_TITLE})\b\.? (?:(?:{_INITIAL})+{_NAME}|{_NAME}(?: (?:{_INITIAL})*{_NAME})?))"]))
+#: Words of a name: initials and longer ones.
+WORD = re.compile(rf"(?:(?<![\w-])|(?<=\.-))(?:{_NAME}|{_CAPITAL}(?!\w))")
 #: What a text must hold for any detector to match; checked without Python.
 HINT = rf"[@0-9]|\b(?:{_TITLE})\b"
 
@@ -55,6 +73,17 @@ def _digits(text: str) -> str:
     return re.sub(r"\D", "", text)
 
 
+def _national(value: str) -> str:
+    """The digits of a telephone number without country code and leading 0."""
+    digits = _digits(value)
+    if value.startswith("+"):
+        code = COUNTRY.match(digits)
+        digits = digits[code.end() if code else 3:]
+    elif not digits.startswith("0"):
+        digits = digits[-10:]
+    return digits[1:] if digits.startswith("0") else digits
+
+
 def luhn(digits: str) -> bool:
     total = sum(sum(divmod(2 * int(d), 10)) if i % 2 else int(d) for i, d in enumerate(reversed(digits)))
     return total % 10 == 0
@@ -73,17 +102,50 @@ def entities(text: str | None) -> list[tuple[int, int, list[tuple[str, str, int,
             digits = _digits(value)
             parts = [("card" if luhn(digits) else "number", digits, s, e)]
         elif kind == "phone":
-            parts = [("phone", _digits(value)[-10:], s, e)]
+            parts = [("phone", _national(value), s, e)]
         elif kind == "person":
-            words = [(w.group(), s + w.start(), s + w.end()) for w in re.finditer(r"[^ ]+", value)]
-            gender = TITLES[words[0][0].rstrip(".")]
-            parts = [("surname", words[-1][0].casefold(), words[-1][1], words[-1][2])]
-            if len(words) > 2:
-                parts.insert(0, (f"given{gender or _gender(words[1][0])}", words[1][0].casefold(), words[1][1], words[1][2]))
+            title = re.match(r"\w+", value)
+            words = list(WORD.finditer(text, s + title.end(), e))
+            parts = [_part(w, f"given{TITLES[title.group()] or _gender(w.group())}") for w in words[:-1]] + [_part(words[-1], "surname")]
         else:
             parts = [(kind, value, s, e)]
         out.append((s, e, parts))
-    return out
+    return _untitled(text, out) if any(p[0] == "surname" for m in out for p in m[2]) else out
+
+
+def _part(word: re.Match, kind: str) -> tuple[str, str, int, int]:
+    """A word of a name, without a possessive ending; a single letter before the surname is an initial."""
+    name = re.sub(r"(?<=\w)(?:['’][sS]?|-+)$", "", word.group())
+    return ("initial" if len(name) == 1 and kind != "surname" else kind, name.casefold(), word.start(), word.start() + len(name))
+
+
+def _untitled(text: str, found: list) -> list:
+    """``found`` and the mentions of its people without a title, in order."""
+    parts = [p for m in found for p in m[2]]
+    surnames = {p[1] for p in parts if p[0] == "surname" and len(p[1]) > 1}
+    given = {p[1]: p[0] for p in parts if p[0].startswith("given")}
+    words, out, at, used = list(WORD.finditer(text)), [], 0, 0
+    for k, word in enumerate(words):
+        last = _part(word, "surname")
+        if last[1] not in surnames:
+            continue
+        mention, j = [last], k - 1
+        while j >= 0:
+            name, between = words[j].group(), text[words[j].end():mention[0][2]]
+            if len(name) == 1 and between in (".", ". ", ".-"):
+                kind = "initial"
+            elif between == " " and (name.casefold() in given or _gender(name)):
+                kind = given.get(name.casefold()) or f"given{_gender(name)}"
+            else:
+                break
+            mention.insert(0, _part(words[j], kind))
+            j -= 1
+        while at < len(found) and found[at][1] <= mention[0][2]:
+            at += 1
+        if mention[0][2] >= used and (at == len(found) or found[at][0] >= last[3]):
+            out.append((mention[0][2], last[3], mention))
+            used = last[3]
+    return sorted(found + out, key=lambda m: m[0])
 
 
 def _gender(name: str) -> str:
@@ -140,6 +202,10 @@ def _grown(value: str, draw: _Draw, attempt: int) -> str:
 def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
     """The surrogate of a normal form, as a normal form of the same kind."""
     draw = _Draw(key, kind, value, attempt)
+    if kind == "initial":
+        low, high = next(((ord(a), ord(b)) for a, b in ALPHABETS if a <= value <= b), (ord("a"), ord("z")))
+        shift = 1 + _Draw(key, kind, "", 0).below(high - low)
+        return chr(low + (ord(value[0]) - low + shift) % (high - low + 1))
     if kind == "ip":
         first = value.split(".")[0]
         head = first if first in ("10", "127", "192", "172") and attempt < GROWS else str(1 + draw.below(223))
@@ -214,7 +280,7 @@ def assigned(found: DataFrame, key: bytes) -> DataFrame:
         drawn = now.mapInArrow(kernel, "kind string, value string, attempt int, surrogate string").withColumn("family", family)
         first = drawn.groupBy("family", "surrogate").agg(F.min(F.struct("attempt", "kind", "value")).alias("first"))
         judged = (drawn.join(first, ["family", "surrogate"]).join(taken, ["family", "surrogate"], "left")
-                  .withColumn("lost", F.col("real").isNotNull() | (F.col("first") != F.struct("attempt", "kind", "value"))))
+                  .withColumn("lost", (F.col("kind") != "initial") & (F.col("real").isNotNull() | (F.col("first") != F.struct("attempt", "kind", "value")))))
         judged.select("kind", "value", "attempt", "surrogate", "lost").write.parquet(f"{base}/turn{turn}")
         judged = spark.read.parquet(f"{base}/turn{turn}")
         if judged.where("lost").isEmpty():

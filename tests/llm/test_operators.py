@@ -74,6 +74,37 @@ def test_surrogate_collisions_are_redrawn(spark, monkeypatch):
         assert len(set(drawn)) == 3 and "sam" in drawn
 
 
+def test_people_without_a_title_and_initials(spark):
+    texts = ["Mr John Smith came. Later Smith met John Smith, and Smith's SMITH left.", "Smith and John Smith, of another text",
+             "Mr J. Brown and Mrs. J.-P. Dupont; J. Brown, Brown", "Dr Anna K. Weber; Mrs Smith-Jones met Smith-Jones, not Smithson", "Mr J.-Pierre Dupont"]
+    rows = {r.doc_id: r for r in surrogates.pseudonymize(documents(spark, texts), b"k").collect()}
+    got = [rows[i].text for i in range(len(texts))]
+    m = re.fullmatch(r"Mr (\w+) (\w+) came. Later (\w+) met (\w+) (\w+), and (\w+)'s (\w+) left.", got[0])
+    assert m[1] == m[4] != "John" and m[2] == m[3] == m[5] == m[6] != "Smith" and m[7] == m[2].upper()
+    assert rows[0]._op1_replaced == 5 and got[1] == texts[1]
+    m = re.fullmatch(r"Mr ([A-Z])[.] (\w+) and Mrs[.] ([A-Z])[.]-([A-Z])[.] (\w+); ([A-Z])[.] (\w+), (\w+)", got[2])
+    assert m[1] == m[3] == m[6] != "J" and m[4] != "P" and m[2] == m[7] == m[8] != "Brown" and m[5] != "Dupont"
+    m = re.fullmatch(r"Dr (\w+) ([A-Z])[.] (\w+); Mrs (\S+) met (\S+), not Smithson", got[3])
+    assert m[1] != "Anna" and m[2] != "K" and m[3] != "Weber" and m[4] == m[5] != "Smith-Jones"
+    assert "Pierre" not in got[4] and "Dupont" not in got[4]
+    assert len({surrogates.surrogate(b"k", "initial", c, 0) for c in "abcdefghijklmnopqrstuvwxyz"}) == 26
+
+
+@pytest.mark.parametrize("many", [
+    ["+14155552671", "+1 415 555 2671", "(415) 555-2671"], ["06 12 34 56 78", "+33 6 12 34 56 78", "06.12.34.56.78", "+33612345678"],
+    ["+49 30 123456", "030 123456", "030/123456", "(030) 123456"], ["612 34 56 78", "+34 612 34 56 78", "+34612345678"], ["91 123 45 67"],
+    ["+44 (0)20 7946 0958", "+44 20 7946 0958"]])
+def test_telephone_formats(many):
+    forms = set()
+    for number in many:
+        (start, end, [(kind, form, *_)]), = surrogates.entities(f"call {number}, now")
+        assert (kind, start, end) == ("phone", 5, 5 + len(number))
+        forms.add(form)
+        new = surrogates.render(number, kind, surrogates.surrogate(b"k", kind, form, 0))
+        assert re.sub(r"\d", "9", new) == re.sub(r"\d", "9", number) and new != number
+    assert len(forms) == 1
+
+
 def test_used_up_shapes_grow(spark):
     from string import ascii_lowercase
     found = [("user", str(k)) for k in range(1, 10)] + [("user", f"{k}") for k in range(10, 100)] + [("user", "0"), ("host", "-.com"), ("host", "1.com")]
