@@ -41,6 +41,15 @@ RULES = [
     Rule("pem", 1, r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----", base=False),
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", base=False),
 ]
+
+#: A whole private key: to its END line, or else to the end of its headers and base64 lines.  Line ends may be
+#: escaped; every loop is possessive, so long keys need no deep stack.
+_NL = r"[\x20\t]*+(?:\r\n?|\n|(?:\\r)?\\n)[\x20\t]*+"
+_KEY = (r"-----BEGIN ([A-Z ]{0,30})PRIVATE KEY-----(?:[^-]*+(?:-(?!----)[^-]*+)*+-----END \1PRIVATE KEY-----|"
+        rf"(?:(?:{_NL}[A-Za-z][A-Za-z0-9-]*+:[^\r\n\\]*+)++(?:{_NL}(?={_NL}))?+)?+"
+        rf"(?:(?:{_NL}|[\x20\t]++)[A-Za-z0-9+/]{{24,}}+={{0,2}}|{_NL}[A-Za-z0-9+/]++={{0,2}}(?={_NL}|[\x20\t]*+\z))*+)")
+#: What redaction masks.  RULES is what the query and its SQL tell, which name a key by its first line only.
+MASKED = [Rule("pem", 2, _KEY, base=False) if r.kind == "pem" else r for r in RULES]
 SPAN = "array<struct<start:int,end:int>>"
 
 
@@ -118,13 +127,13 @@ def digest(found: DataFrame, id_: str = "doc_id", rules: list[Rule] = RULES) ->
     return found.select(F.col("path").alias(id_), *counts, F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
 
 
-def redact(docs: DataFrame, id_: str = "doc_id", text: str = "text", mask: str = "<SECRET>") -> DataFrame:
-    """``docs`` with every finding of ``scan`` replaced by ``mask``; overlapping findings are one.
+def redact(docs: DataFrame, id_: str = "doc_id", text: str = "text", mask: str = "<SECRET>", rules: list[Rule] = MASKED) -> DataFrame:
+    """``docs`` with every finding of ``scan`` by ``rules`` replaced by ``mask``; overlapping findings are one.
 
     The findings come from the ledger by content, so equal texts are cut alike.
     """
     versions = versions_of(docs, id_, text)
-    hits = (findings(versions.dropDuplicates(["blob"]), scan(versions)).where(F.size("spans") > 0)
+    hits = (findings(versions.dropDuplicates(["blob"]), scan(versions, rules=rules), rules).where(F.size("spans") > 0)
             .select(F.col("blob").alias("_op2_blob"), F.col("spans").alias("_op2_spans")))
     whole = F.col(text)
 

@@ -193,6 +193,30 @@ def test_redaction(spark):
         assert rows[i] == (t if t is None else want + t[at:])
 
 
+def test_whole_private_keys_are_masked(spark):
+    import corpus_pipeline
+    rng = random.Random(2)
+    body = lambda n, end="\n": end.join("".join(rng.choice("ABCxyz0189+/") for _ in range(64)) for _ in range(n)) + end + "Zm9vYg=="
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-256-CBC,0123\n\n"
+    cases = [
+        (f"a\n{begin}\n{body(25)}\n{end}\nz", "a\n<SECRET>\nz"), (f"a {begin}\r\n{body(3, chr(13) + chr(10))}\r\n{end} z", "a <SECRET> z"),
+        (f"a\n{begin}\n{head}{body(4)}\n{end}\nz", "a\n<SECRET>\nz"), (f"a\n{begin}\n{body(2)}", "a\n<SECRET>"),
+        (f"a\n{begin}\n{head}{body(4)}\n\nThe end of it.", "a\n<SECRET>\n\nThe end of it."),
+        (f"a\n{begin}\n{body(3)}\nSome more words.", "a\n<SECRET>\nSome more words."),
+        (f'k = "{begin}\\n{body(3, chr(92) + "n")}\\n{end}\\n" z', 'k = "<SECRET>\\n" z'), (f"{begin} {body(1, ' ')} {end} z", "<SECRET> z"),
+        (f"{begin}\n{body(2)}\ntext between\n{begin}\n{body(2)}\n{end} z", "<SECRET>\ntext between\n<SECRET> z"),
+        (f"{begin}\n{body(3)}\n{end} and {begin}\n{body(2)}\n{end} z", "<SECRET> and <SECRET> z"),
+        (f"secret: {begin}\n{body(3)}\n{end} z", "<SECRET> z"), (f"{begin}\n{body(40000)}\n{end} z", "<SECRET> z"),
+        (f"{begin}\n{body(40000)}\n", "<SECRET>\n"), (f"{begin} is the first line of a key", "<SECRET> is the first line of a key"),
+        ("-----BEGIN PUBLIC KEY-----\nAAAA\n", "-----BEGIN PUBLIC KEY-----\nAAAA\n"),
+    ]
+    rows = {r.doc_id: r for r in corpus_pipeline.mask_secrets(spark, documents(spark, [c[0] for c in cases]), "").collect()}
+    for i, (_, want) in enumerate(cases):
+        assert rows[i].text == want, i
+        assert rows[i].n_chars == len(want)
+
+
 # ---- op3 -------------------------------------------------------------------
 
 def test_packing(spark):
