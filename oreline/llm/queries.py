@@ -13,9 +13,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op2_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Secrets of every document: a first run of the ledger, joined back to all paths."""
+    """Secrets of every document: pairs the ledger lacks are scanned, its findings joined back to all paths."""
     versions = secrets.versions_of(_table(spark, sf_dir, "documents"))
-    return secrets.digest(secrets.findings(versions, secrets.scan(versions)))
+    return secrets.digest(secrets.update(versions, secrets.ledger_path(spark)))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,9 +17,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oreline.session import scratch_path
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -51,6 +54,7 @@ _KEY = (r"-----BEGIN ([A-Z ]{0,30})PRIVATE KEY-----(?:[^-]*+(?:-(?!----)[^-]*+)*
 #: What redaction masks.  RULES is what the query and its SQL tell, which name a key by its first line only.
 MASKED = [Rule("pem", 2, _KEY, base=False) if r.kind == "pem" else r for r in RULES]
 SPAN = "array<struct<start:int,end:int>>"
+LEDGER = f"blob string, kind string, version int, spans {SPAN}"
 
 
 def _places(text: Column, rule: Rule) -> Column:
@@ -102,6 +106,29 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: list[Rule]
     return found.select("blob", F.inline("pairs"))
 
 
+def extended(versions: DataFrame, path: str, rules: list[Rule] = RULES) -> DataFrame:
+    """The whole ledger in the folder ``path``, after a scan of the pairs it lacked; a missing folder is an empty ledger."""
+    spark = versions.sparkSession
+    try:
+        old = spark.read.schema(LEDGER).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        old = None
+    scan(versions, old, rules).write.mode("append").parquet(path)
+    return spark.read.schema(LEDGER).parquet(path)
+
+
+def update(versions: DataFrame, path: str, rules: list[Rule] = RULES) -> DataFrame:
+    """:func:`findings` of the versions, earlier ones included, after the ledger in ``path`` is extended."""
+    return findings(versions, extended(versions, path, rules), rules)
+
+
+def ledger_path(spark: SparkSession) -> str:
+    """The folder of the ledger: ``spark.oreline.ledger``, kept between runs, or else a fresh one."""
+    return spark.conf.get("spark.oreline.ledger", None) or scratch_path(spark, "ledger")
+
+
 def findings(versions: DataFrame, ledger: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     """(path, blob, spans): for every version all spans (kind, start, end) in order of start, then kind as listed.
 
@@ -130,10 +157,10 @@ def digest(found: DataFrame, id_: str = "doc_id", rules: list[Rule] = RULES) ->
 def redact(docs: DataFrame, id_: str = "doc_id", text: str = "text", mask: str = "<SECRET>", rules: list[Rule] = MASKED) -> DataFrame:
     """``docs`` with every finding of ``scan`` by ``rules`` replaced by ``mask``; overlapping findings are one.
 
-    The findings come from the ledger by content, so equal texts are cut alike.
+    The findings come from the ledger (:func:`ledger_path`) by content, so equal texts are cut alike.
     """
     versions = versions_of(docs, id_, text)
-    hits = (findings(versions.dropDuplicates(["blob"]), scan(versions, rules=rules), rules).where(F.size("spans") > 0)
+    hits = (findings(versions.dropDuplicates(["blob"]), extended(versions, ledger_path(docs.sparkSession), rules), rules).where(F.size("spans") > 0)
             .select(F.col("blob").alias("_op2_blob"), F.col("spans").alias("_op2_spans")))
     whole = F.col(text)
 

@@ -182,6 +182,30 @@ def test_only_unseen_pairs_are_scanned(spark):
     assert told(both) == told(secrets.scan(versions))
 
 
+def test_ledger_is_kept_between_runs(spark, tmp_path):
+    from oreline.llm import queries
+    path, docs = str(tmp_path / "ledger"), documents(spark, SECRET_TEXTS)
+    told = lambda found: sorted((str(r.path), str(r.spans)) for r in found.collect())
+    first, versions = secrets.versions_of(documents(spark, SECRET_TEXTS[:14])), secrets.versions_of(docs)
+    assert told(secrets.update(first, path, secrets.RULES[:2])) == told(secrets.findings(first, secrets.scan(first), secrets.RULES[:2]))
+    for _ in range(2):
+        assert told(secrets.update(versions, path)) == told(secrets.findings(versions, secrets.scan(versions)))
+        rows = spark.read.parquet(path).select("blob", "kind", "version")
+        assert rows.count() == rows.distinct().count() == len(secrets.RULES) * len({t or "" for t in SECRET_TEXTS})
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    plain = sorted(map(str, queries.op2_blob_ledger(spark, str(tmp_path)).collect()))
+    masked = sorted(map(str, secrets.redact(docs).collect()))
+    spark.conf.set("spark.oreline.ledger", path)
+    try:
+        assert sorted(map(str, queries.op2_blob_ledger(spark, str(tmp_path)).collect())) == plain
+        assert rows.count() == spark.read.parquet(path).count()          # nothing is scanned again
+        assert sorted(map(str, secrets.redact(docs).collect())) == masked
+        assert {(r.kind, r.version) for r in spark.read.parquet(path).select("kind", "version").distinct().collect()} == {
+            (r.kind, r.version) for r in secrets.RULES + secrets.MASKED}
+    finally:
+        spark.conf.unset("spark.oreline.ledger")
+
+
 def test_redaction(spark):
     rows = {r.doc_id: r.text for r in secrets.redact(documents(spark, SECRET_TEXTS)).collect()}
     for i, t in enumerate(SECRET_TEXTS):
