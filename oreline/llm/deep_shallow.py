@@ -12,9 +12,10 @@ times, so the suffix array is sparse, at places that the content itself picks:
    as a whole.  A string met once is settled too.  What stays are strings with
    several contexts, as at the edges of copied passages.
 3. Their contexts, one each, are read at the anchor: to the right, and
-   backwards to the left.  Both lists are sorted deep-shallow: multikey
-   quicksort over 8-byte words down to a shallow depth, and blind tries for the
-   groups that agree up to there.  The common prefixes of neighbours then say,
+   backwards to the left.  Both lists are sorted deep-shallow: a library
+   sort of all rows by (group, 8-byte word) at each level, in place of multikey
+   quicksort, down to a shallow depth, and blind tries for the groups that agree
+   up to there.  The common prefixes of neighbours then say,
    for each offset, which contexts agree left and right, and so which windows
    are equal.
 4. A string with very many contexts is not sorted in one task.  Its windows are
@@ -167,8 +168,8 @@ class BlindTrie:
 def deep_shallow(strings: list[bytes], width: int, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
     """Order of the strings, and the common prefix of each with the one before it.
 
-    Shallow: multikey quicksort over big-endian 8-byte words, a level for each
-    word, for all groups at once.  Deep: groups that agree to the shallow depth
+    Shallow: by big-endian 8-byte words, a level for each word; each level sorts
+    all rows by group and word with a library sort, settled groups too.  Deep: groups that agree to the shallow depth
     are ordered by blind tries.
     """
     n = len(strings)
