@@ -488,3 +488,55 @@ def test_ordinal_on_held_out_documents(spark):
         assert 1 >= r.at_least[0] >= r.at_least[1] >= 0 and r.expected_grade == pytest.approx(sum(r.at_least))
     mean = [np.mean([rows[i].expected_grade for i in held if grades[i] == g]) for g in range(3)]
     assert mean[0] < mean[1] < mean[2]
+
+
+# ---- pipeline --------------------------------------------------------------
+
+def test_pipeline_against_plain_python(spark, tmp_path):
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+    rng = random.Random(23)
+    words = lambda n: [f"w{rng.randrange(10 ** 6)}" for _ in range(n)]
+    texts, grades, long = [], [], " ".join(words(60))
+    for k in range(60):
+        texts.append("\n".join(" ".join(words(30)) for _ in range(3)) + (" %%%bad" * 30 if k % 5 == 0 else ""))
+        grades.append((0 if k % 5 == 0 else 1, 0))
+    for k in range(1, 9):
+        new = " ".join(words(300)).split()
+        texts += [" ".join(new), " ".join("x" + w if i in range(7, 43, 6) else w for i, w in enumerate(new))]
+        grades += [(1, 0)] * 2
+    texts += [f"{' '.join(words(8))}\n{long}\n{' '.join(words(9))}" for _ in range(3)]
+    texts += [f"{' '.join(words(20))} token = abcdef123 {' '.join(words(20))}\n-----BEGIN PRIVATE KEY-----\n{'Ab1/' * 16}\nQUJD\n-----END PRIVATE KEY-----\nend"]
+    grades += [(1, 0)] * 4
+    docs = documents(spark, texts)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels = spark.createDataFrame([(i, *g) for i, g in enumerate(grades)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    good = {r.doc_id for r in ordinal.select(docs, ordinal.train(docs, ordinal.graded(labels))).collect()}
+    seen, kept = set(), {}
+    for i, t in enumerate(texts):
+        lines, gone = t.split("\n"), set()
+        for n in (1, 2):
+            for k in range(len(lines) - n + 1 if i in good else 0):
+                run = tuple(lines[k:k + n])
+                if n == 2 or len(run[0].split()) > 50:
+                    gone |= set(range(k, k + n)) if run in seen else set()
+                    seen.add(run)
+        if i in good and len(gone) < len(lines):
+            kept[i] = "\n".join(s for j, s in enumerate(lines) if j not in gone)
+    sets = {i: {tuple(t.lower().split()[k:k + 5]) for k in range(max(1, len(t.split()) - 4))} for i, t in kept.items()}
+    root = roots(sets, [(i, j) for i in sets for j in sets if j < i and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])])
+    kept = {i: t for i, t in kept.items() if root[i] == i}
+    for i, t in kept.items():
+        t = re.sub(r"token = \w+", "<SECRET>", t)
+        kept[i] = re.sub(r"(?s)-----BEGIN PRIVATE KEY-----.*?-----END PRIVATE KEY-----", "<SECRET>", t)
+    assert len(good) - len(kept) >= 6
+    tokenizer = Tokenizer.from_file(vocabulary())
+    rows = corpus_pipeline.run(spark, str(tmp_path)).toPandas()
+    assert set(rows.doc_id) == set(kept)
+    for i, t in kept.items():
+        ids, at = np.array(tokenizer.encode(t, add_special_tokens=False).ids + [0], dtype="<u4"), 0
+        for r in rows[rows.doc_id == i].sort_values("start").itertuples():
+            assert (r.start, r.doc_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(ids[at:at + r.length].tobytes()))
+            at += r.length
+        assert at == len(ids)
