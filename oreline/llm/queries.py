@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreline.llm import deep_shallow, hamming, hyperplane, line_runs, ordinal, packing, piece_viterbi, quality_rules, secrets, surrogates
+from oreline.llm import (deep_shallow, filter_audit, hamming, hyperplane, jump_shards, line_runs, merge_path, ordinal, packing, piece_viterbi, quality_rules,
+                         secrets, surrogates)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -99,7 +100,25 @@ def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.pseudonymize(docs, SURROGATE_KEY).withColumnRenamed("_op1_replaced", "n_replaced")
 
 
+def op11_merge_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two tokenizers line up in every document."""
+    return merge_path.alignment(_table(spark, sf_dir, "documents"), vocabulary(), vocabulary("piece_bpe_32k.model"), vocabulary("byte_bpe_50k.tiktoken"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes, by language, in every order."""
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of every document, its number there, and its shard were there one more."""
+    return jump_shards.shard(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op11_merge_path": (op11_merge_path, None),
+    "op12_filter_audit": (op12_filter_audit, filter_audit.AUDIT_SQL),
+    "op13_jump_shards": (op13_jump_shards, jump_shards.shard_sql()),
     "op1_surrogates": (op1_surrogates, None),
     "op6_piece_viterbi": (op6_piece_viterbi, None),
     "op5_deep_shallow": (op5_deep_shallow, None),

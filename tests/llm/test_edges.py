@@ -3,7 +3,8 @@
 import pytest
 from helpers import SCHEMA, awkward_texts, documents
 
-from oreline.llm import deep_shallow, hamming, hyperplane, line_runs, ordinal, packing, piece_viterbi, quality_rules, secrets, surrogates
+from oreline.llm import (deep_shallow, filter_audit, hamming, hyperplane, jump_shards, line_runs, merge_path, ordinal, packing, piece_viterbi,
+                         quality_rules, secrets, surrogates)
 from oreline.llm.queries import vocabulary
 
 MODEL = ordinal.fit([], ordinal.np.zeros(0, dtype=int), 2)
@@ -20,8 +21,13 @@ OPERATORS = {
     "op10": lambda d: ordinal.score(d, MODEL),
     "op10 select": lambda d: ordinal.select(d, MODEL),
     "op3": lambda d: packing.pack(d, vocabulary()),
+    "op11": lambda d: merge_path.alignment(d, vocabulary(), vocabulary("piece_bpe_32k.model")),
+    "op12": lambda d: filter_audit.rows_of(filter_audit.csr_shards(d)),
+    "op12 audit": lambda d: filter_audit.audit(d, d.selectExpr("doc_id", "1 AS quality", "CAST(NULL AS INT) AS toxic")),
+    "op13": jump_shards.shard,
+    "op13 place": lambda d: jump_shards.place(d, 4),
 }
-FILTERS = {"op9 survivors": None, "op3": None}
+FILTERS = {"op9 survivors": None, "op3": None, "op12 audit": None}
 
 
 @pytest.mark.parametrize("name", OPERATORS)
@@ -44,7 +50,7 @@ def test_null_and_repeated_ids_and_rows(spark, name):
 def test_only_rows_of_nulls(spark):
     docs = documents(spark, [None, None], [None, None])
     for name, operator in OPERATORS.items():
-        assert operator(docs).count() == 2, name
+        assert operator(docs).count() == (600 if name == "op12 audit" else 2), name
 
 
 def test_extra_columns_are_kept(spark):
@@ -52,6 +58,7 @@ def test_extra_columns_are_kept(spark):
     for operator in (secrets.redact, hamming.survivors, lambda d: ordinal.select(d, MODEL)):
         assert operator(docs).columns == docs.columns
     assert line_runs.dedup(docs).columns[:-2] == docs.columns
+    assert jump_shards.place(docs, 4).columns[:-2] == docs.columns
     assert surrogates.pseudonymize(docs, b"k").columns[:-1] == docs.columns
 
 
