@@ -4,9 +4,11 @@
    numbers and counts, with the shard's own dictionary of words.  The flags that
    need no words (capitals, symbols) and a digest of the text are attached to
    the rows.
-2. The words of all shards form the global dictionary: words are numbered within
-   buckets of their hash, buckets by the counts before them.  Every shard's
-   column numbers are replaced by the global ones.
+2. Every shard sends its dictionary, cut by ranges of the words' hashes, to the
+   tasks that number the words of a range for all shards, and gets the global
+   numbers back in the same order.  A word leaves a shard once, whatever its
+   count, and the number of ranges follows from the size of the dictionaries.
+   Every shard's column numbers are replaced by the global ones.
 3. In the encoded matrix the sum of a row is its number of words and its count of
    nonzeros the number of different words; they decide filters A and B.  Equal
    digests decide E: copies are counted by group before they meet.
@@ -24,21 +26,23 @@ read.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from oreline.llm.codes import keys_of, looked_up, written
+from oreline.llm.codes import written
 
 FILTERS = "ABCDE"
-#: A shard closes at so many bytes of text; a longer text is a shard by itself.
-SHARD_BYTES = 8 << 20
-#: The dictionary is numbered in this many buckets at a time.
-BUCKETS = 1024
+#: A shard closes at so many bytes of text (a longer text is a shard by itself); words are cut out of so many bytes at a time.
+SHARD_BYTES, BATCH_BYTES = 8 << 20, 1 << 20
+#: The most words that a range of the dictionary may hold.
+RANGE_WORDS = 500_000
 UPPER, SYMBOL, INNER = 1, 2, 4
 SHARDS = ("shard long, ids array<{id}>, parts array<string>, capitals array<boolean>, symbols array<boolean>, digests array<binary>, "
           "starts binary, columns binary, counts binary, words array<binary>")
@@ -53,15 +57,25 @@ def _marks() -> np.ndarray:
     return marks
 
 
-def _csr(texts: list[bytes]):
-    """Row starts, columns, counts and the dictionary of a list of texts; words are cut at ASCII white space."""
-    rows = [t.split() for t in texts]
-    coded = pa.array([w for r in rows for w in r], pa.binary()).dictionary_encode()
-    words, column = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    cell, count = np.unique(row * max(1, len(words)) + column, return_counts=True)
-    starts = np.searchsorted(cell, np.arange(len(rows) + 1) * max(1, len(words)))
-    return starts, cell % max(1, len(words)), count, words
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers below 2^32 as four planes of bytes, which compress well where the numbers are small."""
+    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpacked(planes: pa.Buffer) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
+def _csr(sizes: list[int], words: list[pa.Array]):
+    """Row starts, columns and counts of texts of so many words, and their dictionary in the order of the words' hashes."""
+    coded = pa.concat_arrays([pa.array([], pa.binary()), *words]).dictionary_encode()
+    own = coded.dictionary
+    order = np.argsort(np.array([zlib.crc32(w) for w in own.to_pylist()], dtype=np.int64), kind="stable")
+    place = np.empty(len(own), dtype=np.int64)
+    place[order] = np.arange(len(own))
+    row, wide = np.repeat(np.arange(len(sizes)), sizes), max(1, len(own))
+    cell, count = np.unique(row * wide + place[coded.indices.to_numpy()], return_counts=True)
+    return np.searchsorted(cell, np.arange(len(sizes) + 1) * wide), cell % wide, count, own.take(pa.array(order))
 
 
 def csr_shards(docs: DataFrame, id_: str = "doc_id", text: str = "text", part: str = "lang", shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -71,69 +85,113 @@ def csr_shards(docs: DataFrame, id_: str = "doc_id", text: str = "text", part: s
     def kernel(batches):
         marks = _marks()
 
-        def shard(number: int, ids: list, parts: list, texts: list):
-            capitals, symbols = [], []
-            for t in texts:
-                found = marks[np.frombuffer(t, dtype=np.uint8)]
-                many = lambda mark: int(np.count_nonzero(found & mark))
-                capitals.append(100 * many(UPPER) > 10 * (len(t) - many(INNER)))
-                symbols.append(many(SYMBOL) > 0)
-            starts, columns, counts, words = _csr(texts)
+        def shard(number: int, ids: list, parts: list, facts: list, words: list):
+            starts, columns, counts, own = _csr([f[0] for f in facts], words)
             return pa.RecordBatch.from_arrays(
-                [pa.array([number], pa.int64()), pa.ListArray.from_arrays([0, len(texts)], pa.concat_arrays(ids)),
-                 *[pa.array([x]) for x in (parts, capitals, symbols)],
-                 pa.array([[hashlib.sha256(t).digest() for t in texts]], pa.list_(pa.binary())),
-                 *[pa.array([x.astype("<i4").tobytes()], pa.binary()) for x in (starts, columns, counts)],
-                 pa.ListArray.from_arrays([0, len(words)], words)],
+                [pa.array([number], pa.int64()), pa.ListArray.from_arrays([0, len(facts)], pa.concat_arrays(ids)),
+                 *[pa.ListArray.from_arrays([0, len(facts)], pa.array(list(x), t)) for x, t in (
+                     (parts, pa.string()), ([f[1] for f in facts], pa.bool_()), ([f[2] for f in facts], pa.bool_()), ([f[3] for f in facts], pa.binary()))],
+                 *[pa.array([packed(x)], pa.binary()) for x in (starts, np.diff(columns, prepend=0) % (1 << 32), counts)],
+                 pa.ListArray.from_arrays([0, len(own)], own)],
                 names=["shard", "ids", "parts", "capitals", "symbols", "digests", "starts", "columns", "counts", "words"])
 
-        number, ids, parts, texts, size = TaskContext.get().partitionId() << 32, [], [], [], 0
+        def read(texts: list[bytes], facts: list, words: list) -> None:
+            rows = [t.split() for t in texts]
+            words.append(pa.array([w for r in rows for w in r], pa.binary()))
+            for t, r in zip(texts, rows):
+                found = marks[np.frombuffer(t, dtype=np.uint8)]
+                many = lambda mark: int(np.count_nonzero(found & mark))
+                facts.append((len(r), 100 * many(UPPER) > 10 * (len(t) - many(INNER)), many(SYMBOL) > 0, hashlib.sha256(t).digest()))
+
+        number, size, ids, parts, facts, words = TaskContext.get().partitionId() << 32, 0, [], [], [], []
         for batch in batches:
-            whole = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            names, first = [p or "" for p in batch.column(2).to_pylist()], 0
-            for i, t in enumerate(whole):
-                size += len(t)
-                if size >= shard_bytes or i + 1 == len(whole):
-                    ids.append(batch.column(0).slice(first, i + 1 - first))
-                    parts += names[first:i + 1]
-                    texts += whole[first:i + 1]
-                    first = i + 1
-                if size >= shard_bytes:
-                    yield shard(number, ids, parts, texts)
-                    number, ids, parts, texts, size = number + 1, [], [], [], 0
-        if texts:
-            yield shard(number, ids, parts, texts)
+            texts, at, open_ = pc.fill_null(batch.column(1).cast(pa.binary()), b""), 0, 0
+            for i, n in enumerate(pc.binary_length(texts).to_pylist()):
+                size, open_ = size + n, open_ + n
+                full = size >= shard_bytes
+                if full or open_ >= BATCH_BYTES or i + 1 == batch.num_rows:
+                    read(texts.slice(at, i + 1 - at).to_pylist(), facts, words)
+                    ids.append(batch.column(0).slice(at, i + 1 - at))
+                    parts += [p or "" for p in batch.column(2).slice(at, i + 1 - at).to_pylist()]
+                    at, open_ = i + 1, 0
+                if full:
+                    yield shard(number, ids, parts, facts, words)
+                    number, size, ids, parts, facts, words = number + 1, 0, [], [], [], []
+        if facts:
+            yield shard(number, ids, parts, facts, words)
 
     return (docs.select(F.col(id_).alias("id"), F.col(text).alias("text"), F.col(part).cast("string").alias("part"))
             .mapInArrow(kernel, SHARDS.format(id=kind)))
 
 
-def dictionary(shards: DataFrame) -> DataFrame:
-    """(key, column): every word of all shards, numbered from 0 without gaps.
+def numbered(shards: DataFrame, range_words: int = RANGE_WORDS) -> DataFrame:
+    """(range, shard, columns): the global numbers of a shard's words, in their order, range after range.
 
-    Only the counts of the buckets pass one window; the words of a bucket are numbered in it.
+    A range's words are numbered as they are met, shards in order, so a task
+    that is run again gives the same numbers.
     """
-    words = written(keys_of(shards, "words").select("key").distinct().withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(BUCKETS))), "words")
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = words.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    inside = F.row_number().over(Window.partitionBy("bucket").orderBy("key"))
-    return words.withColumn("inside", inside).join(F.broadcast(firsts), "bucket").select("key", (F.col("first") + F.col("inside") - 1).alias("column"))
+    ranges = max(1, -(-(shards.agg(F.sum(F.size("words"))).first()[0] or 0) // range_words))
 
+    def cut(batches):
+        edges = np.arange(1, ranges) * (1 << 32) // ranges
+        for batch in batches:
+            for i in range(batch.num_rows):
+                own = batch.column(1).slice(i, 1).flatten()
+                ends = np.searchsorted(np.array([zlib.crc32(w) for w in own.to_pylist()], dtype=np.int64), edges)
+                ends = np.concatenate([[0], ends, [len(own)]]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), own)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(ranges)), pa.array(np.full(ranges, batch.column(0)[i].as_py())), lists],
+                    names=["range", "shard", "words"]).filter(pa.array(np.diff(ends) > 0))
+
+    def number(batches):
+        now, known = None, {}
+        for batch in batches:
+            where, out = batch.column(0).to_pylist(), []
+            for i, own in enumerate(where):
+                if own != now:
+                    now, known = own, {}
+                found = [known.setdefault(w, len(known)) for w in batch.column(2).slice(i, 1).flatten().to_pylist()]
+                out.append((np.array(found, dtype="<i8") * ranges + own).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["range", "shard", "columns"])
 
-def encoded(shards: DataFrame, words: DataFrame) -> DataFrame:
-    """``shards`` with global column numbers (64-bit) in place of their own words."""
+    parts = shards.select("shard", "words").mapInArrow(cut, "range long, shard long, words array<binary>")
+    return (parts.repartition("range").sortWithinPartitions("range", "shard")
+            .mapInArrow(number, "range long, shard long, columns binary"))
+
+
+def dictionary(shards: DataFrame, numbers: DataFrame) -> DataFrame:
+    """(word, column): every word of all shards with its global number."""
     def kernel(batches):
         for batch in batches:
-            at, tables = batch.schema.get_field_index("columns"), batch.column(batch.num_columns - 1)
-            new = []
-            for i, own in enumerate(batch.column(at)):
-                table = tables.slice(i, 1).flatten().to_numpy(zero_copy_only=False)
-                new.append(table[np.frombuffer(own.as_buffer(), dtype="<i4")].astype("<i8").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(new, pa.binary()) if i == at else batch.column(i) for i in range(batch.num_columns - 1)],
-                                             names=batch.schema.names[:-1])
+            for i in range(batch.num_rows):
+                told = b"".join(x["columns"] for x in batch.column(1)[i].as_py())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1).flatten(), pa.array(np.frombuffer(told, "<i8"))], names=["word", "column"])
+
+    return shards.select("shard", "words").join(_by_shard(numbers), "shard").select("words", "told").mapInArrow(kernel, "word binary, column long").distinct()
+
+
+def _by_shard(numbers: DataFrame) -> DataFrame:
+    return numbers.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("range", "columns"))).alias("told"))
+
+
+def encoded(shards: DataFrame, numbers: DataFrame) -> DataFrame:
+    """``shards`` with global column numbers (64-bit) in place of their own words; starts and counts are 64-bit, too."""
+    def kernel(batches):
+        for batch in batches:
+            place = {c: batch.schema.get_field_index(c) for c in ("starts", "columns", "counts")}
+            told, new = batch.column(batch.num_columns - 1), {c: [] for c in place}
+            for i in range(batch.num_rows):
+                own = {c: unpacked(batch.column(at)[i].as_buffer()) for c, at in place.items()}
+                table = np.frombuffer(b"".join(x["columns"] for x in told[i].as_py() or []), "<i8")
+                own["columns"] = table[np.cumsum(own["columns"]) % (1 << 32)]
+                for c in place:
+                    new[c].append(own[c].tobytes())
+            names = batch.schema.names[:-1]
+            yield pa.RecordBatch.from_arrays([pa.array(new[c], pa.binary()) if c in new else batch.column(i) for i, c in enumerate(names)], names=names)
 
     plain = shards.drop("words")
-    return plain.join(looked_up(shards, "words", words, "column"), "shard", "left").mapInArrow(kernel, plain.schema)
+    return plain.join(_by_shard(numbers), "shard", "left").mapInArrow(kernel, plain.schema)
 
 
 def rows_of(matrix: DataFrame) -> DataFrame:
@@ -144,11 +202,11 @@ def rows_of(matrix: DataFrame) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 own = batch.slice(i, 1)
-                starts, counts = [np.frombuffer(own.column(own.schema.get_field_index(c))[0].as_buffer(), dtype="<i4") for c in ("starts", "counts")]
-                sums = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])[starts]
+                starts, counts = [np.frombuffer(own.column(own.schema.get_field_index(c))[0].as_buffer(), "<i8") for c in ("starts", "counts")]
+                sums = np.concatenate([[0], np.cumsum(counts)])[starts]
                 flat = lambda c: own.column(own.schema.get_field_index(c)).flatten()
                 yield pa.RecordBatch.from_arrays([flat("ids"), flat("parts"), flat("digests"), pa.array(np.diff(sums)),
-                                                  pa.array(np.diff(starts).astype(np.int64)), flat("capitals"), flat("symbols")],
+                                                  pa.array(np.diff(starts)), flat("capitals"), flat("symbols")],
                                                  names=["id", "part", "digest", "n_words", "n_distinct", "capitals", "symbols"])
 
     return matrix.mapInArrow(kernel, f"id {kind}, part string, digest binary, n_words long, n_distinct long, capitals boolean, symbols boolean")
@@ -212,7 +270,7 @@ def interactions(counts: DataFrame) -> DataFrame:
 def audit(docs: DataFrame, labels: DataFrame, id_: str = "doc_id", text: str = "text", part: str = "lang") -> DataFrame:
     """The interactions of the five filters over ``docs``, by part, order and step."""
     shards = written(csr_shards(docs, id_, text, part), "csr")
-    rows = rows_of(encoded(shards, dictionary(shards)))
+    rows = rows_of(encoded(shards, numbered(shards)))
     return interactions(failure_counts(written(rows, "rows"), labels, id_))
 
 

@@ -8,6 +8,13 @@ from oreline.llm import (deep_shallow, filter_audit, hamming, hyperplane, jump_s
 from oreline.llm.queries import vocabulary
 
 MODEL = ordinal.fit([], ordinal.np.zeros(0, dtype=int), 2)
+
+
+def _matrix_rows(docs):
+    shards = filter_audit.written(filter_audit.csr_shards(docs), "csr")
+    return filter_audit.rows_of(filter_audit.encoded(shards, filter_audit.numbered(shards)))
+
+
 OPERATORS = {
     "op1": lambda d: surrogates.pseudonymize(d, b"k"),
     "op2": lambda d: secrets.digest(secrets.findings(secrets.versions_of(d), secrets.scan(secrets.versions_of(d)))),
@@ -22,7 +29,7 @@ OPERATORS = {
     "op10 select": lambda d: ordinal.select(d, MODEL),
     "op3": lambda d: packing.pack(d, vocabulary()),
     "op11": lambda d: merge_path.alignment(d, vocabulary(), vocabulary("piece_bpe_32k.model")),
-    "op12": lambda d: filter_audit.rows_of(filter_audit.csr_shards(d)),
+    "op12": _matrix_rows,
     "op12 audit": lambda d: filter_audit.audit(d, d.selectExpr("doc_id", "1 AS quality", "CAST(NULL AS INT) AS toxic")),
     "op13": jump_shards.shard,
     "op13 place": lambda d: jump_shards.place(d, 4),
