@@ -40,9 +40,9 @@ from oreline.llm.codes import written
 
 FILTERS = "ABCDE"
 #: A shard closes at so many bytes of text (a longer text is a shard by itself); words are cut out of so many bytes at a time.
-SHARD_BYTES, BATCH_BYTES = 8 << 20, 1 << 20
+SHARD_BYTES, BATCH_BYTES = 5 << 20, 1 << 20
 #: The most words that a range of the dictionary may hold.
-RANGE_WORDS = 500_000
+RANGE_WORDS = 200_000
 UPPER, SYMBOL, INNER = 1, 2, 4
 SHARDS = ("shard long, ids array<{id}>, parts array<string>, capitals array<boolean>, symbols array<boolean>, digests array<binary>, "
           "starts binary, columns binary, counts binary, words array<binary>")
