@@ -179,6 +179,10 @@ def draw(points: DataFrame, chosen: np.ndarray | None, runs: int, round_: int, s
     time with its weight as rate and the first to ring is taken: the minimum
     of independent exponentials picks each point with probability weight / total.
     The minimum is a partial aggregate, so nothing per point is shuffled.
+
+    A point's uniform follows from its id, the run, the round and the seed by
+    64-bit arithmetic, so other engines can repeat the draw.  ``point`` is the id
+    drawn (its hash, where ids are not whole numbers).
     """
     shared = points.sparkSession.sparkContext.broadcast(chosen)
 
@@ -210,10 +214,13 @@ def draw(points: DataFrame, chosen: np.ndarray | None, runs: int, round_: int, s
                  pa.array(u, pa.float64()), pa.array(h, pa.int64()), lists(np.array(c))],
                 ["run", "wait", "u", "h", "c"])
 
-    keyed = points.select(F.xxhash64(id_).alias("h"), F.col(v).alias("v"))
+    whole = isinstance(points.schema[id_].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    h = F.col(id_).cast("bigint") if whole else F.xxhash64(id_)
+    keyed = points.select(h.alias("h"), F.col(v).alias("v"))
     partial = keyed.mapInArrow(
         kernel, "run int, wait double, u double, h bigint, c array<double>")
-    return partial.groupBy("run").agg(F.min_by("c", F.struct("wait", "u", "h")).alias("c"))
+    first = F.struct("wait", "u", "h")
+    return partial.groupBy("run").agg(F.min_by("c", first).alias("c"), F.min_by("h", first).alias("point"))
 
 
 # --- the algorithm ----------------------------------------------------------------
@@ -221,14 +228,28 @@ def draw(points: DataFrame, chosen: np.ndarray | None, runs: int, round_: int, s
 def seed_centers(points: DataFrame, k: int = CLUSTERS, runs: int = RUNS, seed: int = 0,
                  id_: str = "id", v: str = "v") -> np.ndarray:
     """k-means++ starting centres of every run, as runs x k x d."""
+    return seeds(points, k, runs, seed, id_, v)[0]
+
+
+def seeds(points: DataFrame, k: int = CLUSTERS, runs: int = RUNS, seed: int = 0,
+          id_: str = "id", v: str = "v") -> tuple[np.ndarray, np.ndarray]:
+    """Starting centres (runs x k x d) and the points drawn as such (runs x k)."""
     chosen: np.ndarray | None = None
+    drawn = []
     for round_ in range(k):
         rows = draw(points, chosen, runs, round_, seed, id_, v).orderBy("run").collect()
         if not rows:
             raise ValueError("no points to choose centres from")
         new = np.array([r["c"] for r in rows], dtype=float)[:, None, :]
         chosen = new if chosen is None else np.concatenate([chosen, new], axis=1)
-    return chosen
+        drawn.append([r["point"] for r in rows])
+    return chosen, np.array(drawn).T
+
+
+def best_center_rows(points: DataFrame, costs: DataFrame, centers: np.ndarray) -> DataFrame:
+    """``(run, j, c)``: the centres of the run of least cost."""
+    run = best_run(costs).first()["run"]
+    return center_rows(points, centers).where(F.col("run") == run)
 
 
 def max_shift(old: DataFrame, new: DataFrame) -> DataFrame:

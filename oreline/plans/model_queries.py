@@ -156,6 +156,117 @@ def kmeans_pp_multi_run(spark, sf):
             .select("run", rounded("cost").alias("cost"), rounded("entropy").alias("entropy")))
 
 
+SEED = 17
+
+
+def kmeans_pp_seeds(spark, sf):
+    """The points that 25 runs draw as their five starting centres."""
+    points = _points(spark, sf).select("id", "v").persist()
+    _, drawn = cl.seeds(points, k=5, runs=25, seed=SEED)
+    points.unpersist()
+    rows = [(r, j, int(drawn[r, j])) for r in range(25) for j in range(5)]
+    return spark.createDataFrame(rows, "run int, j int, id bigint")
+
+
+def _mixed_sql(x: str) -> str:
+    """Finaliser of the public SplitMix64 generator on an unsigned 64-bit number."""
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = f"((xor({x}, {x} >> {shift})::UHUGEINT * {factor}::UHUGEINT) % {2 ** 64}::UHUGEINT)::UBIGINT"
+    return f"xor({x}, {x} >> 31)"
+
+
+def _seeds_sql(k: int, runs: int, seed: int) -> str:
+    """Every round draws the least waiting time: the logarithm of a uniform over the squared distance to the centres so far."""
+    parts = [f"""
+p AS MATERIALIZED (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings),
+s AS MATERIALIZED (SELECT run, round, {_mixed_sql('start')} AS salt FROM (
+  SELECT run, round, (({seed * 1_000_003}::UBIGINT + round) * 1000003 + run)::UBIGINT AS start
+  FROM range({runs}) a(run), range({k}) b(round))),
+u AS MATERIALIZED (SELECT id, run, round, (({_mixed_sql('z')} >> 11)::DOUBLE + 1.0::DOUBLE) * (2.0::DOUBLE ** -53) AS u FROM (
+  SELECT id, run, round, xor(id::UBIGINT, salt) AS z FROM p, s)),
+n0 AS (SELECT id, run, NULL::DOUBLE AS d2 FROM p, range({runs}) a(run))"""]
+    for j in range(k):
+        wait = "-ln(u)" if j == 0 else "CASE WHEN d2 > 0 THEN -ln(u) / d2 ELSE 'inf'::DOUBLE END"
+        parts.append(f"""c{j} AS MATERIALIZED (
+  SELECT run, id, v FROM (SELECT run, id, {wait} AS wait, u FROM n{j} JOIN u USING (id, run) WHERE round = {j}) JOIN p USING (id)
+  QUALIFY row_number() OVER (PARTITION BY run ORDER BY wait, u, id) = 1)""")
+        if j + 1 < k:
+            parts.append(f"""n{j + 1} AS MATERIALIZED (
+  SELECT n.id, n.run, least(n.d2, list_distance(p.v, c.v) ** 2) AS d2 FROM n{j} n JOIN p USING (id) JOIN c{j} c ON c.run = n.run)""")
+    return "WITH " + ", ".join(parts) + "\n" + " UNION ALL ".join(
+        f"SELECT run::INTEGER AS run, {j} AS j, id FROM c{j}" for j in range(k))
+
+
+KMEANS_PP_SEEDS_SQL = _seeds_sql(5, 25, SEED)
+
+
+def _rested(spark, sf):
+    """Points, and three runs from fixed centres moved until none of them moves more than the limit."""
+    points = _points(spark, sf).select("id", "v").persist()
+    return points, cl.lloyd(points, cl.center_array(_first_centers(_points(spark, sf))))
+
+
+def lloyd_to_rest(spark, sf):
+    """Centres, members and cost of every cluster once all runs rest, and the number of steps."""
+    points, found = _rested(spark, sf)
+    sums = cl.cluster_sums(points, found.centers).select("run", "j", "n", "cost")
+    rows = cl.center_rows(points, found.centers).join(sums, ["run", "j"], "left")
+    wide = rows.select("run", "j", F.coalesce("n", F.lit(0)).alias("n"), rounded(F.coalesce("cost", F.lit(0.0))).alias("cost"),
+                       F.lit(len(found.history)).alias("steps"), F.transform("c", lambda x: rounded(x)).alias("c"))
+    return number_columns(wide, ["c"], 64)
+
+
+def best_centres(spark, sf):
+    """The centres of the run of least cost, as rows."""
+    points, found = _rested(spark, sf)
+    rows = cl.best_center_rows(points, cl.run_costs(points, found.centers), found.centers)
+    return number_columns(rows.withColumn("c", F.transform("c", lambda x: rounded(x))), ["c"], 64)
+
+
+def station_labels(spark, sf):
+    """Three arrays of a row made one vector, clustered to rest, and the label of every row in every run."""
+    e = F.col("embedding")
+    parts = table(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("id"), F.slice(e, 1, 20).alias("TAVG"), F.slice(e, 21, 20).alias("TRANGE"), F.slice(e, 41, 24).alias("SNWD"))
+    points = cl.concat_features(parts, "id", ["TAVG", "TRANGE", "SNWD"]).persist()
+    found = cl.lloyd(points, cl.center_array(_first_centers(_points(spark, sf))))
+    return cl.assign(points, found.centers).select("id", F.posexplode("labels").alias("run", "label"))
+
+
+# Steps are taken until the largest move of a run's centres is at rest; an empty cluster keeps its centre.
+_LLOYD_SQL = f"""
+WITH RECURSIVE p AS MATERIALIZED (SELECT vec_id AS id, label, embedding::DOUBLE[] AS v FROM embeddings),
+e AS MATERIALIZED (SELECT id, label, unnest(range(1, 65)) AS i, unnest(v) AS x FROM p),
+c0 AS MATERIALIZED (
+  SELECT run, j, list(c ORDER BY i) AS c FROM (
+    SELECT run, (label + run * id) % {K} AS j, i, avg(x) AS c FROM e, range({RUNS}) t(run) GROUP BY ALL) GROUP BY ALL),
+w AS (
+  SELECT 0 AS steps, run, j, c, 'inf'::DOUBLE AS shift FROM c0
+  UNION ALL
+  (WITH s AS MATERIALIZED (SELECT * FROM w WHERE shift > {cl.MAX_SHIFT}),
+   a AS MATERIALIZED (SELECT id, run, arg_min(j, list_distance(v, c) ** 2) AS j FROM p, s GROUP BY id, run),
+   m AS (SELECT run, j, list(x ORDER BY i) AS c FROM (SELECT run, j, i, avg(x) AS x FROM e JOIN a USING (id) GROUP BY ALL) GROUP BY ALL),
+   n AS MATERIALIZED (SELECT s.steps + 1 AS steps, s.run, s.j, coalesce(m.c, s.c) AS c, list_distance(coalesce(m.c, s.c), s.c) AS move
+                      FROM s LEFT JOIN m ON m.run = s.run AND m.j = s.j)
+   SELECT steps, run, j, c, (SELECT max(t) FROM (SELECT sum(move) AS t FROM n GROUP BY run) q) AS shift FROM n)),
+f AS MATERIALIZED (SELECT * FROM w WHERE steps = (SELECT max(steps) FROM w)),
+d AS MATERIALIZED (SELECT id, run, arg_min(j, list_distance(v, c) ** 2) AS j, min(list_distance(v, c) ** 2) AS d FROM p, f GROUP BY id, run)"""
+
+_C_SQL = ", ".join(f"round(c[{i}], 6) AS c{i}" for i in range(1, 65))
+
+LLOYD_TO_REST_SQL = _LLOYD_SQL + f""",
+g AS (SELECT run, j, count(*) AS n, sum(d) AS cost FROM d GROUP BY run, j)
+SELECT f.run::INTEGER AS run, f.j::INTEGER AS j, coalesce(n, 0) AS n, round(coalesce(cost, 0.0::DOUBLE), 6) AS cost, steps::INTEGER AS steps, {_C_SQL}
+FROM f LEFT JOIN g ON g.run = f.run AND g.j = f.j"""
+
+BEST_CENTRES_SQL = _LLOYD_SQL + f""",
+r AS (SELECT run FROM d GROUP BY run ORDER BY sum(d), run LIMIT 1)
+SELECT f.run::INTEGER AS run, f.j::INTEGER AS j, {_C_SQL} FROM f JOIN r USING (run)"""
+
+STATION_LABELS_SQL = _LLOYD_SQL + """
+SELECT id, run::INTEGER AS run, j::INTEGER AS label FROM d"""
+
+
 def vector_concat(spark, sf):
     """Three arrays of a row as one feature vector, then as columns."""
     e = F.col("embedding")
@@ -363,6 +474,10 @@ QUERIES = {
     "kmeans_two_steps": (kmeans_two_steps, KMEANS_TWO_STEPS_SQL),
     "kmeans_shift": (kmeans_shift, KMEANS_SHIFT_SQL),
     "kmeans_pp_multi_run": (kmeans_pp_multi_run, None),
+    "kmeans_pp_seeds": (kmeans_pp_seeds, KMEANS_PP_SEEDS_SQL),
+    "lloyd_to_rest": (lloyd_to_rest, LLOYD_TO_REST_SQL),
+    "best_centres": (best_centres, BEST_CENTRES_SQL),
+    "station_labels": (station_labels, STATION_LABELS_SQL),
     "cost_summary": (cost_summary, COST_SUMMARY_SQL),
     "best_run": (best_run, BEST_RUN_SQL),
     "label_prefix_entropy": (label_prefix_entropy, LABEL_PREFIX_ENTROPY_SQL),
