@@ -1,12 +1,26 @@
-"""Most frequent word n-grams of a corpus, n = 1..N, in one pass per step."""
+"""Most frequent word n-grams of a corpus, n = 1..N.
+
+Sentences are cut into words in built-in functions.  A kernel numbers the words
+of a batch, so that n-grams are runs of small numbers: a rolling hash of the
+words' hashes gives the bucket of every n-gram of every order at once, and a
+task only returns its bucket counts, one array per order.  Strings are made
+only of the different n-grams in buckets that can still hold a result.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pandas.util import hash_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oreline.functions import text as tx
-from oreline.operators.lookup import fits_broadcast
+from oreline.functions.arrow import lists
 from oreline.operators.topk import top_per_group
 from oreline.session import cut_lineage
 
@@ -15,6 +29,9 @@ from oreline.session import cut_lineage
 # should stay below the count of the k-th n-gram.  Fewer only cost time.
 BUCKETS = 1 << 20
 FIRST_BUCKETS = 100
+# Counts travel in blocks of so many buckets.
+BLOCK = 1 << 14
+_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
 def sentence_rows(corpus: DataFrame, text: str = "text") -> DataFrame:
@@ -49,42 +66,147 @@ def top_ngrams_direct(corpus: DataFrame, text: str = "text", max_n: int = 5,
     return _top(ngram_counts(corpus, text, max_n), k)
 
 
+class _Batch:
+    """The words of a batch of sentences as numbers, and the buckets of its n-grams."""
+
+    def __init__(self, sentences: pa.ListArray, max_n: int, buckets: int):
+        flat = sentences.flatten()
+        coded = flat.dictionary_encode()
+        self.words = coded.dictionary.to_numpy(zero_copy_only=False)
+        self.codes = coded.indices.to_numpy().astype(np.int64)
+        sizes = np.diff(sentences.offsets.to_numpy())
+        ends = np.repeat(np.cumsum(sizes), sizes)
+        self.left = ends - np.arange(len(self.codes))      # words to the end of the sentence
+        self.hashes = hash_array(self.words, categorize=False)[self.codes] if len(self.codes) else np.zeros(0, np.uint64)
+        self.max_n, self.buckets = max_n, np.uint64(buckets)
+
+    def orders(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Order, the places where its n-grams start, and their buckets."""
+        rolling = self.hashes
+        for n in range(1, self.max_n + 1):
+            if n > 1:
+                rolling = rolling[:-1] * _MULTIPLIER + self.hashes[n - 1:]
+            mixed = rolling ^ (rolling >> np.uint64(29))
+            at = np.flatnonzero(self.left[:len(rolling)] >= n)
+            yield n, at, (mixed[at] * _MULTIPLIER >> np.uint64(16)) % self.buckets
+
+    def counted(self, n: int, at: np.ndarray) -> tuple[list[str], np.ndarray]:
+        """The different n-grams that start at ``at`` and their counts."""
+        key, wide = self.codes[at], max(1, len(self.words))
+        for k in range(1, n):
+            # numbers stay below (places x words), so none is met twice
+            key = np.unique(key * wide + self.codes[at + k], return_inverse=True)[1]
+        _, first, count = np.unique(key, return_index=True, return_counts=True)
+        parts = [self.words[self.codes[at[first] + k]] for k in range(n)]
+        return [" ".join(p) for p in zip(*parts)], count
+
+
+def _sentence_words(corpus: DataFrame, text: str) -> DataFrame:
+    return sentence_rows(corpus, text).select(tx.words(F.col("sentence")).alias("w"))
+
+
+def bucket_loads(corpus: DataFrame, text: str = "text", max_n: int = 5, buckets: int = BUCKETS) -> DataFrame:
+    """``(n, block, load)``: counts of the n-grams' hash buckets, in blocks; at most a task's arrays are shuffled."""
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((max_n, buckets), np.int64)
+        for batch in batches:
+            for n, _, b in _Batch(batch.column(0), max_n, buckets).orders():
+                total[n - 1] += np.bincount(b.astype(np.int64), minlength=buckets)
+        for n in range(max_n):
+            for block in range(-(-buckets // BLOCK)):
+                part = total[n, block * BLOCK:(block + 1) * BLOCK]
+                if part.any():
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([n + 1], pa.int32()), pa.array([block], pa.int32()), lists(part[None, :].astype(float))], ["n", "block", "load"])
+
+    partial = _sentence_words(corpus, text).mapInArrow(kernel, "n int, block int, load array<double>")
+    return (partial.groupBy("n", "block").agg(Summarizer.sum(array_to_vector(F.col("load"))).alias("v"))
+            .select("n", "block", vector_to_array("v").alias("load")))
+
+
+def heaviest(loads: DataFrame, many: int) -> DataFrame:
+    """``(n, b, load, at)``: the buckets of largest count per order."""
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for n, block, load in zip(*(c.to_pylist() for c in batch.columns)):
+                order = np.argsort(-np.array(load), kind="stable")[:many]
+                used = order[np.array(load)[order] > 0]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(used), n, np.int32)), pa.array(used + block * BLOCK), pa.array(np.array(load)[used].astype(np.int64))], ["n", "b", "load"])
+
+    return top_per_group(loads.mapInArrow(kernel, "n int, b bigint, load bigint"), ["n"], [F.desc("load"), F.asc("b")], many, "at")
+
+
+def _marked(loads: DataFrame, floors: dict[int, int], buckets: int) -> dict[int, np.ndarray]:
+    """Per order, which buckets hold at least its floor: one bit a bucket."""
+    floor = F.create_map(*[F.lit(v) for kv in floors.items() for v in kv])
+    wanted = loads.where(F.col("n").isin(list(floors))).withColumn("floor", F.try_element_at(floor, F.col("n")))
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = [np.packbits(np.array(load) >= least).tobytes() for load, least in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bits, pa.binary())], ["n", "block", "bits"])
+
+    out = {n: np.full(buckets, least <= 0) for n, least in floors.items()}
+    for row in wanted.mapInArrow(kernel, "n int, block int, bits binary").collect():      # one bit per order and bucket
+        at = row["block"] * BLOCK
+        size = min(BLOCK, buckets - at)
+        out[row["n"]][at:at + size] = np.unpackbits(np.frombuffer(row["bits"], np.uint8))[:size].astype(bool)
+    return out
+
+
+def _exact(corpus: DataFrame, text: str, max_n: int, buckets: int, own: dict[int, np.ndarray],
+           below: dict[int, np.ndarray] | None = None) -> DataFrame:
+    """``(n, ngram, cnt)`` of the n-grams in the buckets marked in ``own``.
+
+    With ``below``, both shorter n-grams at the ends of an n-gram must be in a bucket marked there.
+    """
+    shipped = corpus.sparkSession.sparkContext.broadcast(
+        ({n: np.packbits(m) for n, m in own.items()}, {n: np.packbits(m) for n, m in (below or {}).items()}))
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks, lower = [{n: np.unpackbits(m)[:buckets].astype(bool) for n, m in side.items()} for side in shipped.value]
+        for batch in batches:
+            part, places = _Batch(batch.column(0), max_n, buckets), None
+            for n, at, b in part.orders():
+                hit = marks[n][b] if n in marks else np.zeros(len(at), bool)
+                if n in lower and places is not None:
+                    fine = np.zeros(len(part.codes) + 1, bool)
+                    fine[places[0]] = lower[n][places[1]]
+                    hit &= fine[at] & fine[at + 1]
+                places = at, b
+                if hit.any():
+                    grams, count = part.counted(n, at[hit])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(grams), n, np.int32)), pa.array(grams, pa.string()), pa.array(count.astype(np.int64))],
+                                                     ["n", "ngram", "cnt"])
+
+    found = _sentence_words(corpus, text).mapInArrow(kernel, "n int, ngram string, cnt bigint")
+    return found.groupBy("n", "ngram").agg(F.sum("cnt").alias("cnt"))
+
+
 def top_ngrams(corpus: DataFrame, text: str = "text", max_n: int = 5, k: int = 5,
                buckets: int = BUCKETS, first: int = FIRST_BUCKETS) -> DataFrame:
     """The ``k`` most frequent n-grams of each order, ties by n-gram.  Exact.
 
-    Only hash-bucket counts of all n-grams are shuffled: two integers per
-    bucket and task.  A bucket's count bounds the count of each n-gram in it,
-    so once the n-grams of the heaviest buckets are counted exactly, every
-    bucket lighter than the k-th of them is out.  If a heavy bucket was left
-    over, the n-grams of all buckets that can still matter are counted.
+    A bucket's count bounds the count of each n-gram in it, so once the n-grams
+    of the heaviest buckets are counted exactly, every bucket lighter than the
+    k-th of them is out.  If a heavy bucket was left over, the n-grams of all
+    buckets that can still matter are counted, unless the counts of the order
+    below already rule them out.
     """
-    rows = ngram_rows(corpus, text, max_n).withColumn(
-        "b", F.pmod(F.xxhash64("ngram"), F.lit(buckets)))
-    loads = rows.groupBy("n", "b").agg(F.count(F.lit(1)).alias("load"))
-    heavy = cut_lineage(top_per_group(loads, ["n"], [F.desc("load"), F.asc("b")],
-                                      first + 1, "at"))
-    # At most max_n * first rows, hence broadcast.
-    chosen = F.broadcast(heavy.where(F.col("at") <= first).select("n", "b"))
-    found = cut_lineage(_top(_exact(rows, chosen), k))
+    loads = cut_lineage(bucket_loads(corpus, text, max_n, buckets))
+    heavy = heaviest(loads, first + 1).collect()               # max_n * (first + 1) rows
+    chosen = {n: np.zeros(buckets, bool) for n in range(1, max_n + 1)}
+    for r in heavy:
+        if r["at"] <= first:
+            chosen[r["n"]][r["b"]] = True
+    found = cut_lineage(_top(_exact(corpus, text, max_n, buckets, chosen), k))
     floor = {r["n"]: r["cnt"] for r in found.where(F.col("rank") == k).collect()}
-    next_load = {r["n"]: r["load"] for r in heavy.where(F.col("at") > first).collect()}
-    open_orders = {n: floor.get(n, 0) for n, load in next_load.items()
-                   if load >= floor.get(n, 0)}
+    open_orders = {r["n"]: floor.get(r["n"], 0) for r in heavy
+                   if r["at"] > first and r["load"] >= floor.get(r["n"], 0)}
     if not open_orders:
         return found
-    bound = F.create_map(*[F.lit(v) for kv in open_orders.items() for v in kv])
-    left = cut_lineage(
-        loads.where(F.col("load") >= F.try_element_at(bound, F.col("n"))).select("n", "b"))
-    if fits_broadcast(left):
-        counts = _exact(rows, F.broadcast(left))
-    else:      # count first, so that no bucket brings more than its different n-grams
-        counts = (rows.groupBy("n", "b", "ngram").agg(F.count(F.lit(1)).alias("cnt"))
-                  .join(left, ["n", "b"], "left_semi").drop("b"))
-    rest = cut_lineage(_top(counts, k))
+    own = _marked(loads, open_orders, buckets)
+    below = {n + 1: m for n, m in _marked(loads, {n - 1: c for n, c in open_orders.items() if n > 1}, buckets).items()} if max(open_orders) > 1 else {}
+    rest = cut_lineage(_top(_exact(corpus, text, max_n, buckets, own, below), k))
     return found.where(~F.col("n").isin(list(open_orders))).unionByName(rest)
-
-
-def _exact(rows: DataFrame, chosen: DataFrame) -> DataFrame:
-    return (rows.join(chosen, ["n", "b"], "left_semi")
-            .groupBy("n", "ngram").agg(F.count(F.lit(1)).alias("cnt")))
