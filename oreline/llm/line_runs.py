@@ -4,12 +4,17 @@ Every line with a visible character gets an ID; a document is its sequence of
 IDs, and runs never cross documents.  Suffixes are named by their first h
 lines: a name at depth 2h joins the names of a suffix and of the one h lines
 on.  A set of suffixes with one name is an LCP interval of depth h or more;
-suffixes whose name is unique leave, since no deeper interval holds them.
-Doubling ends at the shortest run that counts: a maximal repeated run is the
-union of the intervals of that depth along it.  All occurrences after the first
-(by id, null first, then text hash, then place) lose the lines of the run.  With
-``alone_words`` a line of more words than that is a run by itself, found among
-the names of depth 1.
+suffixes whose name is unique leave, since no deeper interval holds them, and
+the doubling ends when no name is shared.  Of every suffix the deepest interval
+is kept in which it is not the first occurrence; the lines of these intervals,
+joined where they overlap or touch, are the maximal repeated runs of a document, and go.
+The first occurrence (by id, null first, then text hash, then place) stays.  A
+run counts from ``min_lines`` on; with ``alone_words`` a line of more words than
+that is a run by itself.
+
+A name's count and first occurrence are an aggregate.  Names that hold more
+than one row in ``SHARE`` are fewer than ``SHARE``, so they are broadcast back;
+the others meet their suffixes in a join without a hot key.
 
 Defined results: a null text has no lines and stays null; lines without a
 visible character are in no run and stay, unless nothing else of the document
@@ -21,14 +26,18 @@ their names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from oreline.llm.arrays import bound
-from oreline.session import scratch_path
+from oreline.llm.codes import written
 
 VISIBLE = r"[^\x20\x09-\x0D]"
 MIN_LINES = 2
+#: A line of more words is a repeated run by itself in the registered query.
+ALONE_WORDS = 50
+#: A name with more than one row in so many is hot.
+SHARE = 4096
 
 
 def _key(id_: str, text: str):
@@ -51,52 +60,61 @@ def line_ids(docs: DataFrame, id_: str = "doc_id", text: str = "text", alone_wor
     return lines.select("key", "id", F.posexplode("names").alias("i", "line")).select("key", "id", "i", "line.name", "line.alone")
 
 
-def _shared(suffixes: DataFrame) -> DataFrame:
-    """Suffixes whose name occurs more than once."""
-    often = suffixes.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name")
-    return suffixes.join(often, "name")
-
-
-def _firsts(suffixes: DataFrame, n: int) -> DataFrame:
-    """(key, id, i, n, first): whether a suffix, of ``n`` lines, is the first of its name."""
+def _met(suffixes: DataFrame) -> DataFrame:
+    """``suffixes`` (a written table) whose name occurs more than once, with ``first``: whether it is the name's first occurrence."""
     order = F.struct(F.col("id").isNotNull().alias("has"), "id", "key", "i")
-    first = suffixes.groupBy("name").agg(F.min(order).alias("first"))
-    return suffixes.join(first, "name").select("key", "id", "i", F.lit(n).alias("n"), (F.col("first") == order).alias("first"))
+    names = written(suffixes.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("least")).where("n > 1"), "names")
+    hot = F.col("n") > suffixes.count() / SHARE
+    crowded = F.broadcast(names.where(hot).select("name", "least"))          # fewer than SHARE rows
+    apart = suffixes.join(crowded, "name", "left_anti").join(names.where(~hot).select("name", "least").hint("merge"), "name")
+    return suffixes.join(crowded, "name").unionByName(apart).withColumn("first", F.col("least") == order).drop("least")
 
 
 def repeated_suffixes(lines: DataFrame, min_lines: int = MIN_LINES, alone: bool = False) -> DataFrame:
-    """(key, id, i, n, first): suffixes sharing ``n`` lines with another; ``first`` is their first occurrence.
+    """(key, i, n): suffixes that share ``n`` lines with an earlier one, once for every depth of the doubling that counts.
 
-    ``n`` is ``min_lines``; with ``alone`` lines that are runs by themselves come besides, with n = 1.
+    With ``alone`` lines that are runs by themselves come besides, with n = 1.
     Every round's suffixes are written before they are used twice.
     """
-    spark, base = lines.sparkSession, scratch_path(lines.sparkSession, "suffixes")
-
-    def kept(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{base}/{name}")
-        return spark.read.parquet(f"{base}/{name}")
-
     columns = ["key", "id", "i", "name", *(["alone"] if alone else [])]
-    now, depth = kept(_shared(kept(lines.select(*columns), "lines")), "depth1"), 1
-    single = now.where("alone") if alone else None
-    while depth < min_lines:
-        step = min(depth, min_lines - depth)
+    now, depth = written(_met(written(lines.select(*columns), "lines")), "depth1"), 1
+    found = []
+    if min_lines == 1 or alone:
+        found.append(now.where(~F.col("first")).where(F.lit(min_lines == 1) | (F.col("alone") if alone else F.lit(False))).select("key", "i", F.lit(1).alias("n")))
+    while not now.isEmpty():
+        step = min(depth, min_lines - depth) if depth < min_lines else depth
         # the name `step` lines on, if it is still shared, completes `depth + step` lines
         later = now.select("key", (F.col("i") - step).alias("i"), F.col("name").alias("next"))
-        ahead = now.join(later, ["key", "i"]).select("key", "id", "i", F.xxhash64("name", "next").alias("name"))
+        ahead = now.select("key", "id", "i", "name").join(later.hint("merge"), ["key", "i"]).select("key", "id", "i", F.xxhash64("name", "next").alias("name"))
         depth += step
-        now = kept(_shared(kept(ahead, f"names{depth}")), f"depth{depth}")
-    runs = _firsts(now, min_lines)
-    return runs if single is None else runs.unionAll(_firsts(single, 1))
+        now = written(_met(written(ahead, "ahead")), f"depth{depth}")
+        if depth >= min_lines:
+            found.append(now.where(~F.col("first")).select("key", "i", F.lit(depth).alias("n")))
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionAll(more)
+    return out
+
+
+def maximal_runs(docs: DataFrame, id_: str = "doc_id", text: str = "text", min_lines: int = MIN_LINES,
+                 alone_words: int | None = None) -> DataFrame:
+    """(key, start, n): the runs of visible lines that repeat earlier ones, joined where they overlap or touch."""
+    lines = line_ids(docs, id_, text, alone_words)
+    deepest = repeated_suffixes(lines, min_lines, alone_words is not None).groupBy("key", "i").agg(F.max("n").alias("n"))
+    place = Window.partitionBy("key").orderBy("i")
+    reach = F.max(F.col("i") + F.col("n")).over(place.rowsBetween(Window.unboundedPreceding, -1))
+    opened = deepest.withColumn("opens", F.coalesce(F.col("i") > reach, F.lit(True)).cast("int"))
+    return (opened.withColumn("run", F.sum("opens").over(place)).groupBy("key", "run")
+            .agg(F.min("i").alias("start"), F.max(F.col("i") + F.col("n")).alias("end"))
+            .select("key", "start", (F.col("end") - F.col("start")).alias("n")))
 
 
 def removed_lines(docs: DataFrame, id_: str = "doc_id", text: str = "text", min_lines: int = MIN_LINES,
                   alone_words: int | None = None) -> DataFrame:
-    """(key, gone): for documents that lose lines, the numbers (of all lines) that go."""
-    lines = line_ids(docs, id_, text, alone_words)
-    later = repeated_suffixes(lines, min_lines, alone_words is not None).where(~F.col("first"))
-    gone = later.select("key", F.explode(F.sequence(F.col("i"), F.col("i") + F.col("n") - 1)).alias("i"))
-    return gone.groupBy("key").agg(F.collect_set("i").alias("gone"))
+    """(key, gone): for documents that lose lines, the numbers (of visible lines) that go."""
+    runs = maximal_runs(docs, id_, text, min_lines, alone_words)
+    numbers = F.transform(F.collect_list(F.struct("start", "n")), lambda r: F.sequence(r["start"], r["start"] + r["n"] - 1))
+    return runs.groupBy("key").agg(F.flatten(numbers).alias("gone"))
 
 
 def dedup(docs: DataFrame, id_: str = "doc_id", text: str = "text", min_lines: int = MIN_LINES,
@@ -104,12 +122,10 @@ def dedup(docs: DataFrame, id_: str = "doc_id", text: str = "text", min_lines: i
     """``docs`` with the later copies of repeated runs deleted, and ``_op7_removed``, the number of lines that went.
 
     ``_op7_empty`` marks documents that had visible lines and lost all of them.
+    The texts meet their runs in one shuffle, at every size.
     """
-    gone = removed_lines(docs, id_, text, min_lines, alone_words).select(F.col("key").alias("_op7_key"), F.col("gone").alias("_op7_gone"))
-    path = scratch_path(docs.sparkSession, "lines")
-    gone.write.parquet(path)
-    gone = docs.sparkSession.read.parquet(path)
-    joined = docs.withColumn("_op7_key", _key(id_, text)).join(gone, "_op7_key", "left")
+    gone = written(removed_lines(docs, id_, text, min_lines, alone_words).select(F.col("key").alias("_op7_key"), F.col("gone").alias("_op7_gone")), "gone")
+    joined = docs.withColumn("_op7_key", _key(id_, text)).join(gone.hint("merge"), "_op7_key", "left")
     lines = F.split(F.col(text), "\n")
     visible = F.filter(F.transform(lines, lambda s, j: F.when(s.rlike(VISIBLE), j)), lambda j: j.isNotNull())
     bad = bound(visible, lambda places: F.transform("_op7_gone", lambda i: F.get(places, i)))
@@ -128,7 +144,9 @@ WITH d AS (
 l AS (SELECT doc_id, i, lines[i].s AS s, lines[i].j AS j, lead(lines[i].s) OVER (PARTITION BY doc_id ORDER BY i) AS t
       FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM d)),
 w AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s, t ORDER BY doc_id, i) AS k FROM l WHERE t IS NOT NULL) WHERE k > 1),
-g AS (SELECT DISTINCT doc_id, i + k AS i FROM w, (SELECT unnest([0, 1]) AS k)),
+a AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM l
+                             WHERE len(regexp_extract_all(s, '[^\x20\x09-\x0D]+')) > 50) WHERE k > 1),
+g AS (SELECT doc_id, i + k AS i FROM w, (SELECT unnest([0, 1]) AS k) UNION SELECT doc_id, i FROM a),
 b AS (SELECT doc_id, list(j) AS bad FROM g JOIN l USING (doc_id, i) GROUP BY doc_id),
 o AS (SELECT d.doc_id, len(string_split(text, chr(10)))::BIGINT AS n_lines, coalesce(len(bad), 0)::BIGINT AS n_removed,
         CASE WHEN bad IS NULL THEN text WHEN len(bad) = len(lines) THEN ''

@@ -178,12 +178,13 @@ def _scorer(weights: np.ndarray):
 
 def score(docs: DataFrame, model: Model, id_: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, expected_grade, at_least array<double>): one row per row of ``docs``."""
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    shipped = docs.sparkSession.sparkContext.broadcast((model.weights, model.thresholds))  # plain arrays
 
     def kernel(batches):
-        scores = _scorer(shipped.value.weights)
+        model = Model(*shipped.value)
+        scores = _scorer(model.weights)
         for batch in batches:
-            tails = shipped.value.tails(scores(batch.column(1).to_pylist()))
+            tails = model.tails(scores(batch.column(1).to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(tails.sum(axis=1)), pa.array(list(tails), pa.list_(pa.float64()))],
                 names=["id", "expected_grade", "at_least"])
@@ -201,11 +202,12 @@ def accepted(at_least: Column | str = "at_least") -> Column:
 def select(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that the model accepts, all columns as they are."""
     at = docs.columns.index(text)
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    shipped = docs.sparkSession.sparkContext.broadcast((model.weights, model.thresholds))  # plain arrays
 
     def kernel(batches):
-        scores = _scorer(shipped.value.weights)
+        model = Model(*shipped.value)
+        scores = _scorer(model.weights)
         for batch in batches:
-            yield batch.filter(pa.array(shipped.value.tails(scores(batch.column(at).to_pylist()))[:, -1] >= 0.5))
+            yield batch.filter(pa.array(model.tails(scores(batch.column(at).to_pylist()))[:, -1] >= 0.5))
 
     return docs.mapInArrow(kernel, docs.schema)

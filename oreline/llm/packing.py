@@ -256,12 +256,13 @@ def ranked(cut: DataFrame, n_rows: int) -> DataFrame:
 
 def assign(placed: DataFrame, found: Plan) -> DataFrame:
     """Adds sequence_id and offset to ranked pieces: the plan gives sequence and slot, the slots before give the offset."""
-    shipped = placed.sparkSession.sparkContext.broadcast(found)
+    # plain arrays: a broadcast names its classes, which executors could not import
+    shipped = placed.sparkSession.sparkContext.broadcast((found.size, found.rank, found.sequence, found.each, found.slot))
     kept = [f.name for f in placed.schema.fields if f.name not in ("rank", "size")]
     kinds = ", ".join(f"{c} {placed.schema[c].dataType.simpleString()}" for c in kept)
 
     def kernel(batches):
-        p = shipped.value
+        p = Plan(*shipped.value, 0)
         wide = int(p.rank.max(initial=0)) + 1
         for batch in batches:
             size, rank = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("size", "rank")]

@@ -74,7 +74,7 @@ def op9_hamming_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document when later copies of repeated line runs are deleted."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    cut = line_runs.dedup(docs.withColumn("n_lines", F.size(F.split("text", "\n")).cast("long")))
+    cut = line_runs.dedup(docs.withColumn("n_lines", F.size(F.split("text", "\n")).cast("long")), alone_words=line_runs.ALONE_WORDS)
     return cut.select("doc_id", "n_lines", F.col("_op7_removed").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"))
 
 

@@ -41,7 +41,7 @@ RULES = [
     Rule("assign", 1, rf"(?i){_NAMED}([A-Za-z0-9+/_.=-]+)", rf"(?i)^{_NAMED}[A-Za-z0-9+/_.=-]{{6,}}$"),
     Rule("access", 1, r"AKIA[A-Z0-9]{16,}"),
     Rule("hex", 1, r"[0-9a-f]{24,}"),
-    Rule("pem", 1, r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----", base=False),
+    Rule("pem", 2, r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----(?:[^-]*(?:-[^-]+){0,20}-----END [A-Z ]{0,30}PRIVATE KEY-----)?", base=False),
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", base=False),
 ]
 
@@ -51,8 +51,8 @@ _NL = r"[\x20\t]*+(?:\r\n?|\n|(?:\\r)?\\n)[\x20\t]*+"
 _KEY = (r"-----BEGIN ([A-Z ]{0,30})PRIVATE KEY-----(?:[^-]*+(?:-(?!----)[^-]*+)*+-----END \1PRIVATE KEY-----|"
         rf"(?:(?:{_NL}[A-Za-z][A-Za-z0-9-]*+:[^\r\n\\]*+)++(?:{_NL}(?={_NL}))?+)?+"
         rf"(?:(?:{_NL}|[\x20\t]++)[A-Za-z0-9+/]{{24,}}+={{0,2}}|{_NL}[A-Za-z0-9+/]++={{0,2}}(?={_NL}|[\x20\t]*+\z))*+)")
-#: What redaction masks.  RULES is what the query and its SQL tell, which name a key by its first line only.
-MASKED = [Rule("pem", 2, _KEY, base=False) if r.kind == "pem" else r for r in RULES]
+#: What redaction masks: of a key without its END line also the lines that follow, which RULES, made for the SQL, too, cannot tell.
+MASKED = [Rule("pem", 3, _KEY, base=False) if r.kind == "pem" else r for r in RULES]
 SPAN = "array<struct<start:int,end:int>>"
 LEDGER = f"blob string, kind string, version int, spans {SPAN}"
 
@@ -133,12 +133,12 @@ def findings(versions: DataFrame, ledger: DataFrame, rules: list[Rule] = RULES)
     """(path, blob, spans): for every version all spans (kind, start, end) in order of start, then kind as listed.
 
     Only blobs with a finding meet the versions in the join; the other versions
-    get the empty list.
+    get the empty list.  A pair that overlapping runs appended twice counts once.
     """
     rank = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(f"{r.kind} {r.version}"), F.lit(i))])
     place = F.element_at(rank, F.concat_ws(" ", "kind", "version"))
     hits = (ledger.where(F.size("spans") > 0).withColumn("rank", place).where(F.col("rank").isNotNull())
-            .groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list(F.transform(
+            .groupBy("blob").agg(F.array_sort(F.flatten(F.collect_set(F.transform(
                 "spans", lambda s: F.struct(s["start"].alias("start"), F.col("rank").alias("rank"), s["end"].alias("end"), F.col("kind").alias("kind")))))).alias("spans")))
     none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
     return (versions.select("path", "blob").join(hits, "blob", "left")

@@ -362,6 +362,38 @@ def test_line_runs(spark, least):
             assert r.text == (t if t is None else "\n".join(s for j, s in enumerate(t.split("\n")) if j not in gone[i]))
 
 
+def test_maximal_runs(spark):
+    """Runs of 1, 2, 5 and 40 lines, repeated in other surroundings; every later copy is told as one run."""
+    rng = random.Random(23)
+    fresh = lambda n: [f"{rng.random()}" for _ in range(n)]
+    long = [" ".join(f"w{rng.random()}" for _ in range(60))]
+    runs = {1: long, 2: fresh(2), 5: fresh(5), 40: fresh(40)}
+    texts, want = [], {}
+    for size, run in runs.items():
+        for copy in range(3):
+            before, after = fresh(rng.randrange(1, 6)), fresh(3)
+            if copy:
+                want[len(texts)] = [(len(before), size)]
+            texts.append("\n".join([*before, "   ", *run, *after]))
+    want[len(texts)] = [(1, 40), (43, 7), (51, 1)]                      # the copies of 5 and 2 lines touch
+    texts.append("\n".join([*fresh(1), *runs[40], *fresh(2), *runs[5], *runs[2], *fresh(1), *long, runs[40][7]]))
+    docs = documents(spark, texts)
+    keys = {bytes(r.key): r.id for r in line_runs.line_ids(docs).select("key", "id").distinct().collect()}
+    got = {}
+    for r in line_runs.maximal_runs(docs, alone_words=50).collect():
+        got.setdefault(keys[bytes(r.key)], []).append((r.start, r.n))
+    assert {k: sorted(v) for k, v in got.items()} == want
+
+
+def test_hot_lines_are_joined_apart(spark, monkeypatch):
+    monkeypatch.setattr(line_runs, "SHARE", 4)
+    texts = ["\n".join(["same", "line", "over"] * 4 + [f"own {k % 7}", f"tail {k % 3}"]) for k in range(30)]
+    plain = {r.doc_id: (r.text, r._op7_removed) for r in line_runs.dedup(documents(spark, texts)).collect()}
+    monkeypatch.setattr(line_runs, "SHARE", 10 ** 9)
+    assert plain == {r.doc_id: (r.text, r._op7_removed) for r in line_runs.dedup(documents(spark, texts)).collect()}
+    assert plain[0][1] == 9 and sum(n for _, n in plain.values()) > 300
+
+
 def test_long_lines_are_runs_in_the_pipeline(spark):
     import corpus_pipeline
     rng = random.Random(17)
@@ -540,3 +572,45 @@ def test_pipeline_against_plain_python(spark, tmp_path):
             assert (r.start, r.doc_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(ids[at:at + r.length].tobytes()))
             at += r.length
         assert at == len(ids)
+
+
+def test_pairs_appended_twice_change_nothing(spark, tmp_path):
+    texts = awkward_texts() + ["-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00\n\n"
+                               + "MIIEpAIBAAKCAQEA\n" * 30 + "-----END RSA PRIVATE KEY-----\nafter", "-----BEGIN PRIVATE KEY-----\nMIIE no end"]
+    versions = secrets.versions_of(documents(spark, texts))
+    rows = lambda ledger: sorted(map(tuple, secrets.digest(secrets.findings(versions, ledger)).collect()))
+    once = secrets.scan(versions)
+    once.write.parquet(str(tmp_path / "ledger"))
+    once.write.mode("append").parquet(str(tmp_path / "ledger"))
+    assert rows(spark.read.parquet(str(tmp_path / "ledger"))) == rows(once)
+    spans = {r.doc_id: r.spans for r in secrets.digest(secrets.findings(versions, once)).collect()}
+    assert f"pem:0:{texts[-2].index('after') - 1}" in spans[len(texts) - 2] and "pem:0:27" in spans[len(texts) - 1]
+
+
+def test_kernels_need_no_package_on_the_executors(tmp_path):
+    """Workers start elsewhere and cannot import the package."""
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+import numpy as np
+from oreline.session import local_session
+from oreline.llm import filter_audit, jump_shards, line_runs, merge_path, ordinal, packing
+from oreline.llm.queries import vocabulary
+spark = local_session(2, 2, "1g")
+docs = spark.createDataFrame([(i, "some words of a text " * (i + 1), "en") for i in range(8)], "doc_id long, text string, lang string")
+labels = spark.createDataFrame([(i, i % 2, 0) for i in range(8)], "doc_id long, quality int, toxic int")
+assert packing.pack(docs, vocabulary()).count() == 8
+model = ordinal.train(docs, ordinal.graded(labels))
+assert ordinal.score(docs, model).count() == 8 and ordinal.select(docs, model).count() <= 8
+assert merge_path.alignment(docs, vocabulary(), vocabulary("piece_bpe_32k.model")).count() == 8
+assert filter_audit.audit(docs, labels).count() == 600
+assert jump_shards.shard(docs).count() == 8
+print("done")
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert out.stdout.strip().endswith("done"), out.stderr[-2000:]
