@@ -19,12 +19,10 @@ DIGIT = r"\p{Nd}"
 LETTER = "A-Za-z"
 
 _gap = rf"[{SPACE}.-]*"
-PHONE = (rf"(?:\+?[01]{_gap})?"               # country
-         rf"(?:\(?{DIGIT}{{3}}[{SPACE}.)-]*)?"  # area
-         rf"{DIGIT}{{3}}{_gap}{DIGIT}{{4}}")  # exchange and number
+PHONE = rf"(?:\+?[01]{_gap})?(?:\(?{DIGIT}{{3}}[{SPACE}.)-]*)?{DIGIT}{{3}}{_gap}{DIGIT}{{4}}"
 URL = r"[Hh][Tt][Tt][Pp][Ss]?://[!$-_a-z]+"
 _eyes, _nose = r"[:;=8]", r"[-oO*']?"
-_mouth = r"[\]()\[dDpP/:{}@|\\]"
+_mouth = r"[)\](\[dDpP/:}{@|\\]"
 EMOTICON = rf"[<>]?{_eyes}{_nose}{_mouth}|{_mouth}{_nose}{_eyes}[<>]?"
 HTML_TAG = r"<[^>]+>"
 MENTION = rf"@[{WORD}]+"

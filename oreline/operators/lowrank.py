@@ -7,17 +7,19 @@ shuffled are d x d partial sums and the few rows each task still considers.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreline.functions.arrow import chunks, lists, matrix, stacked
-from oreline.operators.lookup import enrich
+from oreline.operators.lookup import HOT_ROWS, enrich, fits_broadcast
 from oreline.operators.topk import top_per_group
 from oreline.session import cut_lineage
 
@@ -48,7 +50,10 @@ def panel_vectors(panel: DataFrame, keys: list[str], slot: str, x: str,
 
 # --- covariance and eigenvectors ---------------------------------------------
 
-_PARTIAL = "series {t}, i int, j int, n double, mi double, mj double, c double"
+_SUMS = ("n", "mi", "mj", "c")
+_PARTIAL = "series {t}, part int, n array<double>, mi array<double>, mj array<double>, c array<double>"
+# Partial sums of a series are merged in so many streams, and these in one.
+STREAMS = 256
 
 
 class _Moments:
@@ -80,17 +85,28 @@ class _Moments:
         self.mean += share * delta
         self.n = total
 
-    def rows(self, key, type_: pa.DataType) -> pa.RecordBatch:
+    def row(self, key, type_: pa.DataType, part: int) -> pa.RecordBatch:
+        """One row: the entries on and above the diagonal as arrays."""
         i, j = np.triu_indices(len(self.n))
         return pa.RecordBatch.from_arrays(
-            [pa.array([key] * len(i), type=type_), pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)),
-             *[pa.array(x) for x in (self.n[i, j], self.mean[i, j], self.mean[j, i], self.c[i, j])]],
-            ["series", "i", "j", "n", "mi", "mj", "c"])
+            [pa.array([key], type=type_), pa.array([part], pa.int32()),
+             *[lists(x[None, :]) for x in (self.n[i, j], self.mean[i, j], self.mean[j, i], self.c[i, j])]],
+            ["series", "part", *_SUMS])
+
+    def add_row(self, n: np.ndarray, mi: np.ndarray, mj: np.ndarray, c: np.ndarray) -> None:
+        """Merges what :meth:`row` wrote."""
+        d = len(self.n)
+        i, j = np.triu_indices(d)
+        full = [np.zeros((d, d)) for _ in range(3)]
+        for whole, upper, lower in zip(full, (n, mi, c), (n, mj, c)):
+            whole[j, i] = lower
+            whole[i, j] = upper
+        self._merge(*full)
 
 
 def _comoments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per task and series one set of sums; the rows of a series come together."""
-    key, held, type_ = None, None, None
+    """Per task and series one row of sums; the rows of a series come together."""
+    key, held, type_, part = None, None, None, TaskContext.get().partitionId()
     for whole in batches:
         for batch in chunks(whole, 4096):
             type_ = batch.column(0).type
@@ -100,11 +116,40 @@ def _comoments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for code in dict.fromkeys(index.tolist()):
                 if held is None or names[code] != key:
                     if held is not None:
-                        yield held.rows(key, type_)
+                        yield held.row(key, type_, part)
                     key, held = names[code], _Moments(x.shape[1])
                 held.add(x[index == code])
     if held is not None:
-        yield held.rows(key, type_)
+        yield held.row(key, type_, part)
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Neighbouring rows of equal (series, part) as one; holds one set of sums."""
+    key, held, type_ = None, None, None
+    for batch in batches:
+        type_ = batch.column(0).type
+        keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+        for at, own in enumerate(keys):
+            sums = [batch.column(2 + k).slice(at, 1).flatten().to_numpy() for k in range(4)]
+            if held is None or own != key:
+                if held is not None:
+                    yield held.row(key[0], type_, key[1])
+                key, held = own, _Moments((math.isqrt(8 * len(sums[0]) + 1) - 1) // 2)
+            held.add_row(*sums)
+    if held is not None:
+        yield held.row(key[0], type_, key[1])
+
+
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per entry on and above the diagonal."""
+    for batch in batches:
+        for at in range(batch.num_rows):
+            n, mi, _, c = [batch.column(2 + k).slice(at, 1).flatten().to_numpy() for k in range(4)]
+            i, j = np.triu_indices((math.isqrt(8 * len(n) + 1) - 1) // 2)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(np.full(len(n), at))), pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(n),
+                 pa.array(np.where(n > 0, mi, np.nan)), pa.array(np.divide(c, n, out=np.zeros_like(c), where=n > 0))],
+                ["series", "i", "j", "n", "mean", "cov"])
 
 
 def covariance(vectors: DataFrame, series: str = "series", vec: str = "vec") -> DataFrame:
@@ -113,31 +158,22 @@ def covariance(vectors: DataFrame, series: str = "series", vec: str = "vec") ->
     ``n`` counts the rows with both days and ``mean`` is that of day i over them,
     so the rows with i = j hold the plain daily means.
     Each task sorts its rows by series and adds them up around their means
-    before anything is shuffled, so it holds the sums of one series at a time,
-    emits d(d+1)/2 rows per series, and a series with most of the rows costs no
-    more than the others.
+    before anything is shuffled, so it holds the sums of one series at a time
+    and emits one row of arrays per series.  These rows are merged as they stream
+    by, first in ``STREAMS`` streams a series and then in one, in an order that a
+    retried task repeats; no task holds more than one set of sums.
     """
     narrow = (vectors.select(series, vec).where(F.col(vec).isNotNull())
               .sortWithinPartitions(series))
     kind = vectors.schema[series].dataType.simpleString()
     partial = narrow.mapInArrow(_comoments, _PARTIAL.format(t=kind))
-    start = F.struct(*[F.lit(0.0).alias(c) for c in ("n", "mi", "mj", "c")])
-
-    def merge(a, b):
-        n = a["n"] + b["n"]
-        share = F.when(n > 0, b["n"] / n).otherwise(0.0)
-        di, dj = b["mi"] - a["mi"], b["mj"] - a["mj"]
-        return F.struct(n.alias("n"), (a["mi"] + share * di).alias("mi"), (a["mj"] + share * dj).alias("mj"),
-                        (a["c"] + b["c"] + a["n"] * share * di * dj).alias("c"))
-
-    # one struct per task and pair of days, in an order that a retried task repeats
-    parts = partial.groupBy("series", "i", "j").agg(
-        F.array_sort(F.collect_list(F.struct("n", "mi", "mj", "c"))).alias("_p"))
-    sums = parts.select("series", "i", "j", F.aggregate("_p", start, merge).alias("_m"))
-    n = F.col("_m.n")
-    return sums.select(F.col("series").alias(series), "i", "j", n.alias("n"),
-                       F.when(n > 0, F.col("_m.mi")).otherwise(F.lit(float("nan"))).alias("mean"),
-                       F.when(n > 0, F.col("_m.c") / n).otherwise(0.0).alias("cov"))
+    schema = partial.schema
+    ordered = partial.withColumn("stream", F.pmod("part", F.lit(STREAMS))).repartition("series", "stream").sortWithinPartitions("series", "stream", "part")
+    first = ordered.select("series", F.col("stream").alias("part"), *_SUMS).mapInArrow(_merged, schema)
+    last = (first.repartition("series").sortWithinPartitions("series", "part")
+            .select("series", F.lit(0).alias("part"), *_SUMS).mapInArrow(_merged, schema))
+    entries = last.mapInArrow(_entries, f"series {kind}, i int, j int, n double, mean double, cov double")
+    return entries.withColumnRenamed("series", series)
 
 
 def _solve(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -228,11 +264,70 @@ def _rebuild(x: np.ndarray, mean: np.ndarray, basis: np.ndarray) -> np.ndarray:
     return mean[:, None, :] + np.cumsum(weight[:, :, None] * basis, axis=1)
 
 
-def _with_basis(vectors: DataFrame, basis: DataFrame, series: str, vec: str) -> DataFrame:
-    spread = [F.col(c) for c in vectors.columns if c != series]
+class _Bases:
+    """Mean and basis of the series, as arrays, and what they rebuild of a batch."""
+
+    def __init__(self, known: dict):
+        self.known = known
+
+    def built(self, names: pa.Array, vectors: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Per series of a batch: its places, vectors, mean and reconstructions; unknown series and null vectors are left out."""
+        codes = names.dictionary_encode(null_encoding="encode")
+        index = codes.indices.to_numpy(zero_copy_only=False)
+        usable = vectors.is_valid().to_numpy(zero_copy_only=False)
+        for code, name in enumerate(codes.dictionary.to_pylist()):
+            at = np.flatnonzero((index == code) & usable)
+            if len(at) and name is not None and name in self.known:
+                mean, basis = self.known[name]
+                x = matrix(vectors.take(pa.array(at)))
+                yield at, x, mean, _rebuild(x, np.broadcast_to(mean, x.shape), np.broadcast_to(basis, (len(x), *basis.shape)))
+
+
+def _with_bases(vectors: DataFrame, basis: DataFrame, series: str, vec: str, schema: T.StructType, work) -> DataFrame:
+    """``work(batch, bases)`` over the rows of ``vectors``, with the bases at hand and in no row.
+
+    Bases of a measured, small size are sent to the tasks once.  Larger ones
+    travel as rows of their own: each opens the rows of its series, which are
+    dealt over as many tasks as the series asks for.
+    """
     typed = vectors.withColumn(vec, F.col(vec).cast("array<double>"))
-    joined = enrich(typed, basis.select(series, "mean", "basis"), [series], spread=spread)
-    return joined.where(F.col(vec).isNotNull())
+    own = cut_lineage(basis.select(F.col(series).alias("s"), F.col("mean").cast("array<double>"), F.col("basis").cast("array<array<double>>")))
+    if fits_broadcast(own):
+        shared = vectors.sparkSession.sparkContext.broadcast(
+            {r["s"]: (np.array(r["mean"], float), np.array(r["basis"], float)) for r in own.collect()})     # bounded by fits_broadcast
+
+        def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bases = _Bases(shared.value)
+            for whole in batches:
+                for batch in chunks(whole):
+                    yield from work(batch, bases)
+
+        return typed.mapInArrow(kernel, schema)
+
+    hot = cut_lineage(typed.groupBy(F.col(series).alias("s")).agg(F.ceil(F.count(F.lit(1)) / F.lit(HOT_ROWS)).cast("int").alias("salts")).where("salts > 1"))
+    known = F.broadcast(hot) if fits_broadcast(hot) else hot
+    spread = F.xxhash64(*[F.col(c) for c in typed.columns if c != series])
+    rows = (typed.withColumn("_row", F.struct(*typed.columns)).join(known, F.col(series) == F.col("s"), "left")
+            .select(F.col(series).alias("s"), F.pmod(spread, F.coalesce("salts", F.lit(1))).cast("int").alias("salt"), F.lit(1).alias("kind"), "_row"))
+    heads = (own.join(hot, "s", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)))
+             .select("s", "salt", F.lit(0).alias("kind"), "mean", "basis"))
+    both = rows.unionByName(heads, allowMissingColumns=True).repartition("s", "salt").sortWithinPartitions("s", "salt", "kind")
+    names = typed.columns
+
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bases = _Bases({})
+        for whole in batches:
+            for batch in chunks(whole):
+                kind = batch.column(2).to_numpy()
+                for at in np.flatnonzero(kind == 0).tolist():
+                    bases.known[batch.column(0)[at].as_py()] = tuple(np.array(batch.column(k)[at].as_py(), float) for k in (4, 5))
+                rest = batch.filter(pa.array(kind == 1))
+                if rest.num_rows:
+                    yield from work(pa.RecordBatch.from_arrays(rest.column(3).flatten(), names), bases)
+                last = batch.column(0)[batch.num_rows - 1].as_py()
+                bases.known = {k: v for k, v in bases.known.items() if k == last}     # earlier series are done
+
+    return both.mapInArrow(opened, schema)
 
 
 def _prepend(schema: T.StructType, drop: set[str], extra: str) -> T.StructType:
@@ -246,43 +341,36 @@ def reconstruct(vectors: DataFrame, basis: DataFrame, series: str = "series",
 
     ``err`` is the squared distance between the vector and its reconstruction.
     """
-    joined = _with_basis(vectors, basis, series, vec)
+    columns = [c for c in vectors.columns if c not in ("mean", "recon", "err")]
 
-    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in chunks(whole):
-                x = matrix(batch.column(vec))
-                built = _rebuild(x, matrix(batch.column("mean")), stacked(batch.column("basis")))
-                err = ((built - x[:, None, :]) ** 2).sum(axis=2)
-                n, k, d = built.shape
-                ends = pa.array(np.arange(0, (n + 1) * k, k, dtype=np.int32))
-                recon = pa.ListArray.from_arrays(ends, lists(built.reshape(n * k, d)))
-                kept = [c for c in batch.schema.names if c != "basis"]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(c) for c in kept] + [recon, lists(err)],
-                    [*kept, "recon", "err"])
+    def work(batch: pa.RecordBatch, bases: _Bases) -> Iterator[pa.RecordBatch]:
+        for at, x, mean, built in bases.built(batch.column(series), batch.column(vec)):
+            n, k, d = built.shape
+            ends = pa.array(np.arange(0, (n + 1) * k, k, dtype=np.int32))
+            recon = pa.ListArray.from_arrays(ends, lists(built.reshape(n * k, d)))
+            rows = batch.take(pa.array(at))
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(c) for c in columns] + [lists(np.tile(mean, (n, 1))), recon, lists(((built - x[:, None, :]) ** 2).sum(axis=2))],
+                [*columns, "mean", "recon", "err"])
 
-    schema = _prepend(joined.schema, {"basis"}, "recon array<array<double>>, err array<double>")
-    return joined.mapInArrow(kernel, schema)
+    typed = vectors.withColumn(vec, F.col(vec).cast("array<double>")).schema
+    schema = _prepend(typed, {"mean", "recon", "err"}, "mean array<double>, recon array<array<double>>, err array<double>")
+    return _with_bases(vectors, basis, series, vec, schema, work)
 
 
 def residuals(vectors: DataFrame, basis: DataFrame, series: str = "series",
               vec: str = "vec") -> DataFrame:
     """Keys and ``err`` per rank, without the vectors; NaN rows are dropped."""
-    joined = _with_basis(vectors, basis, series, vec)
+    columns = [c for c in vectors.columns if c not in (vec, "err")]
 
-    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in chunks(whole):
-                x = matrix(batch.column(vec))
-                built = _rebuild(x, matrix(batch.column("mean")), stacked(batch.column("basis")))
-                err = ((built - x[:, None, :]) ** 2).sum(axis=2)
-                kept = [c for c in batch.schema.names if c not in (vec, "mean", "basis")]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(c) for c in kept] + [lists(err)], [*kept, "err"])
-
-    schema = _prepend(joined.schema, {vec, "mean", "basis"}, "err array<double>")
-    return joined.mapInArrow(kernel, schema).where(~F.isnan(F.element_at("err", -1)))
+    def work(batch: pa.RecordBatch, bases: _Bases) -> Iterator[pa.RecordBatch]:
+        for at, x, _, built in bases.built(batch.column(series), batch.column(vec)):
+            rows = batch.take(pa.array(at))
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(c) for c in columns] + [lists(((built - x[:, None, :]) ** 2).sum(axis=2))], [*columns, "err"])
+
+    schema = _prepend(vectors.schema, {vec, "err"}, "err array<double>")
+    return _with_bases(vectors, basis, series, vec, schema, work).where(~F.isnan(F.element_at("err", -1)))
 
 
 def residual_extremes(vectors: DataFrame, basis: DataFrame, keys: list[str],

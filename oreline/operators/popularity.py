@@ -14,6 +14,8 @@ from oreline.operators.topk import top_overall, top_per_group
 
 DEFAULT_GROUP = 7      # users outside the partition
 MIN_USERS = 100        # a token needs this many users
+# Up to so many groups a token's counts are one row of the aggregation.
+FEW_GROUPS = 64
 
 
 def unique_users(posts: DataFrame, user: str = "user_id") -> DataFrame:
@@ -65,19 +67,28 @@ def group_scores(tokens: DataFrame, mapping: DataFrame, user: str = "user_id",
                  min_users: int = MIN_USERS, default: int = DEFAULT_GROUP) -> DataFrame:
     """``(group, token, cnt, total, score)`` with score = log2(cnt / total).
 
-    A token's total is the sum of its group counts.  One row per token holds
-    the counts of its (few) groups and their sum, so tokens with too few users
-    leave before anything is expanded, and nothing is sorted by token.
+    A token's total is the sum of its group counts.  With up to ``FEW_GROUPS``
+    groups a token's counts are one small row from the start, added up in every
+    task and shuffled once by token; with more, pairs are counted first.  Tokens
+    with too few users leave before anything is expanded.
     """
     pairs = user_tokens(tokens, user, token)
-    grouped = enrich(pairs, one_row_per_key(mapping, user, group), [user], "left",
-                     spread=[F.col(token)])
-    counts = (grouped.groupBy(F.coalesce(F.col(group), F.lit(default)).alias(group), token)
-              .agg(F.count(F.lit(1)).alias("cnt")))
-    whole = (counts.groupBy(token)
-             .agg(F.sum("cnt").alias("total"), F.collect_list(F.struct(group, "cnt")).alias("_g"))
-             .where(F.col("total") >= min_users))
-    return (whole.select(token, "total", F.inline("_g")).select(group, token, "cnt", "total")
+    lookup = one_row_per_key(mapping, user, group)
+    owner = F.coalesce(F.col(group), F.lit(default))
+    grouped = (enrich(pairs, lookup, [user], "left", spread=[F.col(token)])
+               .select(token, owner.alias(group)))
+    names = {r[0] for r in lookup.select(group).distinct().limit(FEW_GROUPS + 1).collect()} - {None} | {default}
+    enough = F.col("total") >= min_users
+    if len(names) <= FEW_GROUPS:
+        kind = grouped.schema[group].dataType
+        cells = [F.count(F.when(F.col(group) == F.lit(g), 1)) for g in sorted(names)]
+        row = F.array(*[F.struct(F.lit(g).cast(kind).alias(group), c.alias("cnt")) for g, c in zip(sorted(names), cells)])
+        whole = grouped.groupBy(token).agg(F.count(F.lit(1)).alias("total"), row.alias("_g")).where(enough)
+    else:
+        counts = grouped.groupBy(group, token).agg(F.count(F.lit(1)).alias("cnt"))
+        whole = (counts.groupBy(token)
+                 .agg(F.sum("cnt").alias("total"), F.collect_list(F.struct(group, "cnt")).alias("_g")).where(enough))
+    return (whole.select(token, "total", F.inline("_g")).where("cnt > 0").select(group, token, "cnt", "total")
             .withColumn("score", F.log2(F.col("cnt") / F.col("total"))))
 
 
