@@ -154,6 +154,58 @@ SELECT series, CAST(k AS INTEGER) AS k, round(sum(cov), 7) AS trace
 FROM p, range(1, 4) t(k) WHERE i = j GROUP BY series, k"""
 
 
+SQUARINGS = 14
+
+
+def _eigen_sql(top: int, length: int) -> str:
+    """Leading eigenpairs ``v1`` .. by repeated squaring of the covariance ``p`` (series, i <= j, cov), from 0.
+
+    The power of a matrix tends to the outer product of its leading vector; the
+    vector is taken from the row of the largest diagonal entry, its value is the
+    Rayleigh quotient, and the pair is subtracted before the next.
+    """
+    parts = ["""f1 AS MATERIALIZED (
+  SELECT series, i, list(cov ORDER BY j) AS r FROM (SELECT series, i, j, cov FROM p UNION ALL SELECT series, j, i, cov FROM p WHERE i < j) GROUP BY ALL)"""]
+    for k in range(1, top + 1):
+        source = f"f{k}"
+        for t in range(SQUARINGS + 1):
+            raw = source if t == 0 else f"q{k}_{t}"
+            if t:
+                parts.append(f"""{raw} AS MATERIALIZED (
+  SELECT a.series, a.i, list(list_dot_product(a.r, b.r) ORDER BY b.i) AS r FROM n{k}_{t - 1} a JOIN n{k}_{t - 1} b ON a.series = b.series GROUP BY ALL)""")
+            parts.append(f"""n{k}_{t} AS MATERIALIZED (
+  SELECT series, i, list_transform(r, lambda x: CASE WHEN tr > 1e-12 THEN x / tr ELSE 0.0::DOUBLE END) AS r
+  FROM {raw} JOIN (SELECT series, sum(r[i + 1]) AS tr FROM {raw} GROUP BY series) USING (series))""")
+        parts.append(f"""u{k} AS MATERIALIZED (
+  SELECT series, list_transform(r, lambda x: x * s / n) AS v FROM (
+    SELECT series, r, greatest(sqrt(list_dot_product(r, r)), 1e-300::DOUBLE) AS n,
+           sign(list_sum(list_filter(r, lambda x: abs(x) = list_max(list_transform(r, lambda y: abs(y)))))) AS s
+    FROM n{k}_{SQUARINGS} QUALIFY row_number() OVER (PARTITION BY series ORDER BY r[i + 1] DESC, i) = 1))""")
+        parts.append(f"""v{k} AS MATERIALIZED (
+  SELECT series, any_value(v) AS v, greatest(sum(v[i + 1] * list_dot_product(r, v)), 0.0::DOUBLE) AS value FROM f{k} JOIN u{k} USING (series) GROUP BY series)""")
+        if k < top:
+            parts.append(f"""f{k + 1} AS MATERIALIZED (
+  SELECT series, i, list_transform(list_zip(r, v), lambda z: z[1] - value * v[i + 1] * z[2]) AS r FROM f{k} JOIN v{k} USING (series))""")
+    pairs = " UNION ALL ".join(f"SELECT series, {k} AS k, value, v FROM v{k}" for k in range(1, top + 1))
+    return ",\n".join(parts) + f",\neig AS MATERIALIZED ({pairs})"
+
+
+EXPLAINED_VARIANCE_SQL = _ENTRIES_SQL + ", " + _eigen_sql(9, D) + """
+SELECT series, CAST(t.k AS INTEGER) AS k, round(coalesce(sum(value) FILTER (WHERE eig.k <= t.k), 0.0::DOUBLE) / any_value(trace), 8) AS explained
+FROM eig JOIN (SELECT series, sum(cov) AS trace FROM p WHERE i = j GROUP BY series) USING (series), range(0, 10) t(k) GROUP BY series, t.k"""
+
+DAILY_BASIS_SERIES_SQL = _ENTRIES_SQL + ", " + _eigen_sql(3, D) + f"""
+SELECT series, CAST(k AS INTEGER) AS k, CAST(i AS INTEGER) AS day, round(v[i], 6) AS value FROM eig, range(1, {D + 1}) t(i)"""
+
+SPECTRAL_RESIDUALS_SQL = _ENTRIES_SQL + ", " + _eigen_sql(3, D) + """,
+x AS (SELECT vec_id, series, list(x - mean ORDER BY i) AS x FROM c JOIN (SELECT series, i, avg(x) AS mean FROM c GROUP BY ALL) USING (series, i) GROUP BY ALL),
+w AS (SELECT vec_id, x.series, k, list_dot_product(x, x) AS whole, list_dot_product(x, v) ** 2 AS part FROM x JOIN eig ON eig.series = x.series),
+e AS (SELECT vec_id, series, k, whole - sum(part) OVER (PARTITION BY vec_id ORDER BY k) AS err FROM w)
+SELECT series, count(DISTINCT vec_id) AS n, round(avg(err) FILTER (WHERE k = 1), 8) AS err1,
+       round(avg(err) FILTER (WHERE k = 2), 8) AS err2, round(avg(err) FILTER (WHERE k = 3), 8) AS err3
+FROM e GROUP BY series"""
+
+
 def explained_variance(spark, sf):
     out = lr.explained_variance(_spectrum(spark, sf))
     return out.select("series", "k", rounded("explained", 8).alias("explained"))
@@ -173,10 +225,6 @@ def spectral_residuals(spark, sf):
                    for r in range(3)]))
 
 
-# With the series' own eigenvectors the mean residual at rank r is the trace minus the
-# top r eigenvalues; SQL has no eigen-solver, so this query is checked by its tests.
-
-
 def _cosine(rank: int, length: int):
     """Rows of the orthonormal cosine basis, as an array of arrays."""
     return [[math.sqrt(2.0 / length) * math.cos(math.pi * (i + 0.5) * k / length)
@@ -268,6 +316,31 @@ SELECT user_id, "end", CAST(pos AS INTEGER) AS pos, i AS day, round(r.x, 5) AS o
        round(max(v) FILTER (WHERE k = 2), 5) AS rank2, round(max(v) FILTER (WHERE k = 3), 5) AS rank3
 FROM x JOIN r USING (user_id) GROUP BY user_id, "end", pos, i, r.x, mean"""
 
+def own_extremes(spark, sf):
+    """The users nearest to and farthest from their rebuilding in the panel's own eigenvectors."""
+    vectors = _profiles(spark, sf)
+    out = lr.residual_extremes(vectors, lr.fit_basis(vectors), ["user_id"])
+    return out.select("user_id", "series", "end", "pos", rounded("err", 5).alias("err"))
+
+
+def own_profiles(spark, sf):
+    """Original, mean and rank 1..3 series of these users, by hour."""
+    vectors = _profiles(spark, sf)
+    out = lr.extreme_profiles(vectors, lr.fit_basis(vectors), ["user_id"])
+    return out.select(
+        "user_id", "end", "pos", "day", rounded("original", 5).alias("original"), rounded("mean", 5).alias("mean"),
+        *[rounded(F.get("recon", F.lit(r)), 5).alias(f"rank{r + 1}") for r in range(3)])
+
+
+_OWN_SQL = (_EXTREMES_SQL[:_EXTREMES_SQL.index("whole AS")] + """
+h AS (SELECT 'value' AS series, user_id, i - 1 AS i, x FROM c),
+p AS (SELECT a.series, a.i, b.i AS j, covar_pop(a.x, b.x) AS cov FROM h a JOIN h b ON a.user_id = b.user_id AND a.i <= b.i GROUP BY ALL), """
+            + _eigen_sql(3, 24) + ",\nb AS (SELECT k, i, v[i] AS b FROM eig, range(1, 25) t(i)),\n"
+            + _EXTREMES_SQL[_EXTREMES_SQL.index("whole AS"):].replace(_basis_sql(24), "b").replace("p AS (SELECT user_id", "g AS (SELECT user_id").replace("FROM p ", "FROM g "))
+
+OWN_EXTREMES_SQL = _OWN_SQL + RESIDUAL_EXTREMES_SQL[len(_EXTREMES_SQL):]
+OWN_PROFILES_SQL = _OWN_SQL + RECONSTRUCTION_PROFILES_SQL[len(_EXTREMES_SQL):]
+
 # --- regression ---------------------------------------------------------------------------
 
 INPUTS = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
@@ -299,27 +372,24 @@ def ols_ablation(spark, sf):
                       rounded("test_decrease", 8).alias("test_decrease"))
 
 
-def _elimination_sql() -> str:
+def _elimination_sql(base: str, inputs: list[str], targets: list[str]) -> str:
     """Successive residuals on the train rows, once with each input last.
 
     Each step removes one input from every later column (Frisch-Waugh-Lovell);
     the last step's slope is that input's coefficient in the full model, and the
     squares before and after it give the scores without and with the input.
     """
-    parts = [f"""base AS (SELECT {arithmetic_uniform_sql('l_orderkey')} < 0.5 AS tr,
-        l_quantity AS x0, l_discount AS x1, l_tax AS x2, l_linenumber::DOUBLE AS x3,
-        l_extendedprice AS y0, l_extendedprice * (1 - l_discount) AS y1,
-        l_extendedprice * (1 - l_discount) * (1 + l_tax) AS y2 FROM lineitem)"""]
-    columns = [f"x{i}" for i in range(4)] + [f"y{t}" for t in range(3)]
+    parts, many = [f"base AS ({base})"], len(targets)
+    columns = [f"x{i}" for i in range(len(inputs))] + [f"y{t}" for t in range(many)]
     centred = ", ".join(f"{c} - avg({c}) FILTER (WHERE tr) OVER () AS {c}" for c in columns)
     parts.append(f"centred AS (SELECT tr, {centred} FROM base)")
     results = []
-    for last in range(4):
-        order = [i for i in range(4) if i != last] + [last]
+    for last in range(len(inputs)):
+        order = [i for i in range(len(inputs)) if i != last] + [last]
         source = "centred"
         for step, pivot in enumerate(order):
             u = f"x{pivot}"
-            later = [f"x{i}" for i in order[step + 1:]] + [f"y{t}" for t in range(3)]
+            later = [f"x{i}" for i in order[step + 1:]] + [f"y{t}" for t in range(many)]
 
             def slope(c, u=u):
                 return (f"sum({c} * {u}) FILTER (WHERE tr) OVER () / "
@@ -327,13 +397,13 @@ def _elimination_sql() -> str:
 
             exprs = [f"{c} - {u} * ({slope(c)}) AS {c}" for c in later]
             if pivot == last:      # keep the residual before this step, and the slope
-                exprs += [f"y{t} AS p{t}" for t in range(3)]
-                exprs += [f"{slope(f'y{t}')} AS b{t}" for t in range(3)]
+                exprs += [f"y{t} AS p{t}" for t in range(many)]
+                exprs += [f"{slope(f'y{t}')} AS b{t}" for t in range(many)]
             name = f"s{last}_{step}"
             parts.append(f"{name} AS (SELECT tr, {', '.join(exprs)} FROM {source})")
             source = name
-        for t, target in enumerate(TARGETS):
-            results.append(f"""SELECT '{target}' AS target, '{INPUTS[last]}' AS input,
+        for t, target in enumerate(targets):
+            results.append(f"""SELECT '{target}' AS target, '{inputs[last]}' AS input,
                 {last} AS pos, max(b{t}) AS coef,
                 sum(y{t} ** 2) FILTER (WHERE tr) AS tr_with, sum(p{t} ** 2) FILTER (WHERE tr) AS tr_without,
                 sum(y{t} ** 2) FILTER (WHERE NOT tr) AS te_with,
@@ -342,13 +412,16 @@ def _elimination_sql() -> str:
         f"""SELECT '{target}' AS target, avg(y{t}) FILTER (WHERE tr) AS ybar,
             var_pop(y{t}) FILTER (WHERE tr) * count(*) FILTER (WHERE tr) AS tr_sst,
             var_pop(y{t}) FILTER (WHERE NOT tr) * count(*) FILTER (WHERE NOT tr) AS te_sst FROM base"""
-        for t, target in enumerate(TARGETS))
+        for t, target in enumerate(targets))
     parts.append(f"fits AS ({' UNION ALL '.join(results)})")
     parts.append(f"totals AS ({totals})")
     return "WITH " + ",\n".join(parts)
 
 
-_OLS = _elimination_sql()
+_OLS = _elimination_sql(f"""SELECT {arithmetic_uniform_sql('l_orderkey')} < 0.5 AS tr,
+        l_quantity AS x0, l_discount AS x1, l_tax AS x2, l_linenumber::DOUBLE AS x3,
+        l_extendedprice AS y0, l_extendedprice * (1 - l_discount) AS y1,
+        l_extendedprice * (1 - l_discount) * (1 + l_tax) AS y2 FROM lineitem""", INPUTS, TARGETS)
 _MEANS_SQL = " UNION ALL ".join(
     f"SELECT '{name}' AS input, avg(x{i}) FILTER (WHERE tr) AS xbar FROM base"
     for i, name in enumerate(INPUTS))
@@ -371,13 +444,38 @@ SELECT target, input AS removed, round((tr_without - tr_with) / tr_sst, 8) + 0.0
 FROM fits JOIN totals USING (target)"""
 
 
+ARRAYS = {"TAVG": 1, "TRANGE": 21, "SNWD": 41}
+ARRAY_INPUTS, ARRAY_TARGETS = [f"place{k}" for k in range(1, 5)], [f"{a}_coeff{k}" for a in ARRAYS for k in range(1, 4)]
+
+
+def array_targets_ablation(spark, sf):
+    """Three numbers of each of three arrays as targets, four inputs, and what every input adds to every fit."""
+    e = F.col("embedding")
+    rows = table(spark, sf, "embeddings").select(
+        "vec_id", *[F.slice(e, at, 3).alias(f"{a}_coeff") for a, at in ARRAYS.items()], F.slice(e, 61, 4).alias("place"))
+    wide = rows
+    for a in ARRAYS:
+        wide = rg.number_columns(wide, [f"{a}_coeff"], 3)
+    wide = sm.with_split(rg.number_columns(wide, ["place"], 4), arithmetic_uniform("vec_id"), 0.5)
+    out = rg.ols_ablation(wide, ARRAY_INPUTS, ARRAY_TARGETS)
+    return out.select("target", "removed", rounded("train_decrease", 8).alias("train_decrease"), rounded("test_decrease", 8).alias("test_decrease"))
+
+
+ARRAY_TARGETS_ABLATION_SQL = _elimination_sql(
+    f"SELECT {arithmetic_uniform_sql('vec_id')} < 0.5 AS tr, " + ", ".join(
+        [f"embedding[{60 + k}]::DOUBLE AS x{k - 1}" for k in range(1, 5)]
+        + [f"embedding[{at + k}]::DOUBLE AS y{3 * n + k}" for n, at in enumerate(ARRAYS.values()) for k in range(3)]) + " FROM embeddings",
+    ARRAY_INPUTS, ARRAY_TARGETS) + """
+SELECT target, input AS removed, round((tr_without - tr_with) / tr_sst, 8) + 0.0::DOUBLE AS train_decrease,
+       round((te_without - te_with) / te_sst, 8) + 0.0::DOUBLE AS test_decrease
+FROM fits JOIN totals USING (target)"""
+
+
 def array_to_columns(spark, sf):
-    return rg.number_columns(table(spark, sf, "embeddings"), ["embedding"], 3, drop=["label"])
+    return rg.number_columns(table(spark, sf, "embeddings"), ["embedding"], D, drop=["label"])
 
 
-ARRAY_TO_COLUMNS_SQL = """
-SELECT vec_id, embedding[1]::DOUBLE AS embedding1, embedding[2]::DOUBLE AS embedding2,
-       embedding[3]::DOUBLE AS embedding3 FROM embeddings"""
+ARRAY_TO_COLUMNS_SQL = "SELECT vec_id, " + ", ".join(f"embedding[{k}]::DOUBLE AS embedding{k}" for k in range(1, D + 1)) + " FROM embeddings"
 
 QUERIES = {
     "panel_daily_stats": (panel_daily_stats, PANEL_DAILY_STATS_SQL),
@@ -388,14 +486,17 @@ QUERIES = {
     "covariance_entries": (covariance_entries, COVARIANCE_ENTRIES_SQL),
     "eigen_rebuild": (eigen_rebuild, EIGEN_REBUILD_SQL),
     "residual_trace": (residual_trace, RESIDUAL_TRACE_SQL),
-    "explained_variance": (explained_variance, None),
-    "daily_basis_series": (daily_basis_series, None),
-    "spectral_residuals": (spectral_residuals, None),
+    "explained_variance": (explained_variance, EXPLAINED_VARIANCE_SQL),
+    "daily_basis_series": (daily_basis_series, DAILY_BASIS_SERIES_SQL),
+    "spectral_residuals": (spectral_residuals, SPECTRAL_RESIDUALS_SQL),
+    "own_extremes": (own_extremes, OWN_EXTREMES_SQL),
+    "own_profiles": (own_profiles, OWN_PROFILES_SQL),
     "reconstruct_residual": (reconstruct_residual, RECONSTRUCT_RESIDUAL_SQL),
     "residual_extremes": (residual_extremes, RESIDUAL_EXTREMES_SQL),
     "reconstruction_profiles": (reconstruction_profiles, RECONSTRUCTION_PROFILES_SQL),
     "ols_coefficients": (ols_coefficients, OLS_COEFFICIENTS_SQL),
     "ols_scores": (ols_scores, OLS_SCORES_SQL),
     "ols_ablation": (ols_ablation, OLS_ABLATION_SQL),
+    "array_targets_ablation": (array_targets_ablation, ARRAY_TARGETS_ABLATION_SQL),
     "array_to_columns": (array_to_columns, ARRAY_TO_COLUMNS_SQL),
 }
