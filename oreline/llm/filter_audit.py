@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from bisect import bisect_left
 from itertools import permutations
 
 import numpy as np
@@ -137,8 +138,9 @@ def numbered(shards: DataFrame, range_words: int = RANGE_WORDS) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 own = batch.column(1).slice(i, 1).flatten()
-                ends = np.searchsorted(np.array([zlib.crc32(w) for w in own.to_pylist()], dtype=np.int64), edges)
-                ends = np.concatenate([[0], ends, [len(own)]]).astype(np.int32)
+                hash_at = lambda at: zlib.crc32(own[at].as_buffer())
+                ends = [bisect_left(range(len(own)), edge, key=hash_at) for edge in edges.tolist()]
+                ends = np.array([0, *ends, len(own)], dtype=np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), own)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(ranges)), pa.array(np.full(ranges, batch.column(0)[i].as_py())), lists],

@@ -25,6 +25,8 @@ A_WORD_CHAR = r"[^\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
 SHOUTED = r"^\p{Lu}{2,}\P{Ll}*$"
 WINDOW = 8
+#: Taken off both ends of a word before it is compared with the stop words.
+EDGE = ".,;:!?\"()[]{}<>*_"
 
 #: Frequent words of the four languages of the corpus.
 STOP_WORDS = {
@@ -69,11 +71,13 @@ RULES = [
     Rule("few_repeated_words", "n_repeat_words", "n_words", high=30),
     Rule("mean_word_length", "word_chars", "n_words", low=150, high=2000),
     Rule("few_symbols", "n_symbols", "n_words", high=30),
-    Rule("some_stop_words", "n_stop_kinds", low=1),
+    Rule("some_stop_words", "n_stop_words", "n_words", low=5),
     Rule("few_repeated_lines", "n_dup_lines", "n_lines", high=40),
     Rule("not_shouting", "n_shouted_words", "n_words", high=50),
 ]
 BASE_RULES = RULES[:2]
+#: Measures besides those of the base rules.
+MORE = ("n_lines", "n_stop_words", "n_shouted_words")
 
 
 def _window_hashes(words: Column) -> Column:
@@ -114,7 +118,7 @@ def _repeated_words(words: Column) -> Column:
 
 def judge(docs: DataFrame, id_: str = "doc_id", text: str = "text", rules: list[Rule] = RULES) -> DataFrame:
     """One row per row of ``docs``: id, the measures, ``base_failed`` and ``kept``."""
-    stop = F.array(*[F.lit(w) for w in sorted({w for ws in STOP_WORDS.values() for w in ws})])
+    stop = sorted({w for ws in STOP_WORDS.values() for w in ws})
     whole = F.coalesce(F.col(text), F.lit(""))
     core = F.btrim(whole, F.lit(" \t\n\x0b\x0c\r"))
     split = docs.select(
@@ -122,6 +126,7 @@ def judge(docs: DataFrame, id_: str = "doc_id", text: str = "text", rules: list[
         F.when(core == "", F.array().cast("array<string>")).otherwise(F.split(core, WORD_GAP)).alias("words"),
         F.filter(F.split(whole, "\n"), lambda line: line.rlike(A_WORD_CHAR)).alias("lines"),
         F.regexp_count(whole, F.lit(SYMBOLS)).cast("long").alias("n_symbols"))
+    folded = lambda w: F.lower(F.btrim(w, F.lit(EDGE)))
     counted = split.select(
         F.col(id_),
         F.size("words").cast("long").alias("n_words"),
@@ -130,11 +135,12 @@ def judge(docs: DataFrame, id_: str = "doc_id", text: str = "text", rules: list[
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         _repeated_words(F.col("words")).cast("long").alias("n_repeat_words"),
         F.size("lines").cast("long").alias("n_lines"),
-        F.size(F.array_intersect("words", stop)).cast("long").alias("n_stop_kinds"),
+        F.size(F.filter("words", lambda w: folded(w).isin(*stop))).cast("long").alias("n_stop_words"),
         F.size(F.filter("words", lambda w: w.rlike(SHOUTED))).cast("long").alias("n_shouted_words"))
     base = reduce(lambda a, b: a & b, [r.passed() for r in BASE_RULES])
     verdict = reduce(lambda a, b: a & b, [r.passed() for r in rules])
-    return counted.withColumns({"base_failed": ~base, "kept": base & verdict})
+    first = [c for c in counted.columns if c not in MORE]
+    return counted.withColumns({"base_failed": ~base, "kept": base & verdict}).select(*[F.col(f"`{c}`") for c in first], "base_failed", "kept", *MORE)
 
 
 def judge_sql(rules: list[Rule] = RULES) -> str:
@@ -161,10 +167,10 @@ c AS (
          coalesce(length(array_to_string(words, '')), 0)::BIGINT AS word_chars,
          n_symbols::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
          coalesce(rep.n, 0)::BIGINT AS n_repeat_words, len(lines)::BIGINT AS n_lines,
-         len(list_intersect(words, [{stops}]))::BIGINT AS n_stop_kinds,
+         len(list_filter(words, lambda w: lower(trim(w, '{EDGE}')) IN ({stops})))::BIGINT AS n_stop_words,
          len(list_filter(words, lambda w: regexp_matches(w, '{SHOUTED}')))::BIGINT AS n_shouted_words
   FROM s LEFT JOIN rep USING (r))
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_stop_kinds, n_shouted_words,
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_stop_words, n_shouted_words,
        NOT ({" AND ".join(r.passed_sql() for r in BASE_RULES)}) AS base_failed,
        {" AND ".join(r.passed_sql() for r in rules)} AS kept
 FROM c"""

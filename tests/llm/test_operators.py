@@ -614,3 +614,56 @@ print("done")
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
     assert out.stdout.strip().endswith("done"), out.stderr[-2000:]
+
+
+# ---- op4 -------------------------------------------------------------------
+
+def test_stop_words_are_a_share_of_the_words(spark):
+    from oreline.llm import quality_rules
+    texts = ["in " + " ".join(f"w{k}" for k in range(40)), "The, (IN) \"und\" " + " ".join(f"w{k}" for k in range(40)), None,
+             " ".join(["Le"] + [f"w{k}" for k in range(19)]), " ".join(["thein"] + [f"w{k}" for k in range(19)])]
+    got = {r.doc_id: r for r in quality_rules.judge(documents(spark, texts)).collect()}
+    assert [got[i].n_stop_words for i in range(5)] == [1, 3, 0, 1, 0]
+    assert [got[i].kept for i in range(5)] == [False, True, False, True, False]
+    assert not got[0].base_failed and quality_rules.judge(documents(spark)).columns[:8] == [
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+
+
+# ---- op10 ------------------------------------------------------------------
+
+def test_the_fit_lowers_a_plain_likelihood_to_its_optimum():
+    """A likelihood written out row by row: no direction from the fitted model lowers it by more than the fit's tolerance."""
+    rng = random.Random(41)
+    rows, grades = [], []
+    for _ in range(120):
+        grade = rng.randrange(3)
+        names = {rng.randrange(12) for _ in range(4)} | ({20 + grade} if rng.random() < 0.7 else {20 + rng.randrange(3)})
+        rows.append(np.array(sorted(names), dtype=np.int32))
+        grades.append(grade)
+    grades = np.array(grades)
+    share = Counter(grades.tolist())
+    balance = np.array([1 / np.sqrt(share[g]) for g in grades])
+    balance /= balance.sum()
+
+    def loss(weights, cuts):
+        total = 2.5e-4 * sum(w * w for w in weights.values())
+        for row, grade, weight in zip(rows, grades, balance):
+            score = sum(weights.get(int(i), 0.0) for i in row)
+            below = [0.0, *[1 / (1 + np.exp(score - c)) for c in cuts], 1.0]
+            total -= weight * np.log(max(below[grade + 1] - below[grade], 1e-12))
+        return total
+
+    model = ordinal.fit(rows, grades, 2, steps=3000, rate=0.02)
+    used = {int(i) for r in rows for i in r}
+    weights, cuts = {i: float(model.weights[i]) for i in used}, [float(c) for c in model.thresholds]
+    best = loss(weights, cuts)
+    assert cuts[0] < cuts[1] and best < loss({}, [-1.0, 1.0])
+    step = 1e-3
+    for i in used:
+        for sign in (-step, step):
+            assert loss({**weights, i: weights[i] + sign}, cuts) > best - 1e-6
+    for k in range(2):
+        for sign in (-step, step):
+            assert loss(weights, [c + sign * (j == k) for j, c in enumerate(cuts)]) > best - 1e-6
+    short = ordinal.fit(rows, grades, 2)
+    assert loss({i: float(short.weights[i]) for i in used}, [float(c) for c in short.thresholds]) < best + 0.02
