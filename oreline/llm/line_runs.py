@@ -78,9 +78,8 @@ def repeated_suffixes(lines: DataFrame, min_lines: int = MIN_LINES, alone: bool
     """
     columns = ["key", "id", "i", "name", *(["alone"] if alone else [])]
     now, depth = written(_met(written(lines.select(*columns), "lines")), "depth1"), 1
-    found = []
-    if min_lines == 1 or alone:
-        found.append(now.where(~F.col("first")).where(F.lit(min_lines == 1) | (F.col("alone") if alone else F.lit(False))).select("key", "i", F.lit(1).alias("n")))
+    counts = F.lit(True) if min_lines == 1 else F.col("alone") if alone else F.lit(False)
+    found = [now.where(~F.col("first") & counts).select("key", "i", F.lit(1).alias("n"))]
     while not now.isEmpty():
         step = min(depth, min_lines - depth) if depth < min_lines else depth
         # the name `step` lines on, if it is still shared, completes `depth + step` lines
