@@ -112,3 +112,13 @@ def test_pairs_are_counted_in_one_pass(data):
     """The lookup is the only join: totals come from the group counts."""
     plan = pop.relative_popularity(*data)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Join") == 1 and plan.count("WindowGroupLimit") == 2
+
+
+def test_many_groups_count_alike(spark, monkeypatch):
+    from oreline.operators import popularity
+    tokens = spark.createDataFrame([(u, f"t{k}") for u in range(30) for k in range(5) if (u * 7 + k) % 3], "user_id int, token string")
+    mapping = spark.createDataFrame([(u, u % 4) for u in range(20)], "user_id int, group_id int")
+    rows = lambda: sorted(map(tuple, popularity.group_scores(tokens, mapping, min_users=2).collect()))
+    few = rows()
+    monkeypatch.setattr(popularity, "FEW_GROUPS", 0)
+    assert few == rows() and {r[0] for r in few} == {0, 1, 2, 3, 7}
