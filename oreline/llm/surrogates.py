@@ -13,8 +13,12 @@
 3. Collisions are checked over the whole corpus: of entities with one surrogate
    the smallest keeps it, and one that equals a real entity of the corpus is
    taken from all; the others draw again until none is left.  Mailboxes, hosts
-   and names grow when short shapes are used up; values of a fixed length that
-   find no free surrogate end the run with an error.
+   and names grow when short shapes are used up.  Values of a fixed length that
+   find no free surrogate in MOST attempts, because nearly every value of their
+   shape is real, are permuted among themselves: surrogates stay distinct and
+   nobody keeps the own value, but they equal values of others.
+   A given name met with a title that tells no gender is that of the same name
+   with one, in its text or else in the corpus.
 4. Mentions are rewritten in their own format (punctuation and case stay).
 
 Defined results: a null text stays null, an empty one empty; equal texts are
@@ -29,7 +33,7 @@ import hmac
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from oreline.session import scratch_path
@@ -110,7 +114,16 @@ def entities(text: str | None) -> list[tuple[int, int, list[tuple[str, str, int,
         else:
             parts = [(kind, value, s, e)]
         out.append((s, e, parts))
-    return _untitled(text, out) if any(p[0] == "surname" for m in out for p in m[2]) else out
+    return _gendered(_untitled(text, out)) if any(p[0] == "surname" for m in out for p in m[2]) else out
+
+
+def _gendered(found: list) -> list:
+    """``found`` with given names of unknown gender as the same name of known gender in this text."""
+    known: dict[str, str] = {}
+    for kind, value, _, _ in (p for m in found for p in m[2]):
+        if kind in ("givenf", "givenm"):
+            known.setdefault(value, kind)
+    return [(s, e, [(known.get(p[1], p[0]) if p[0] == "given" else p[0], *p[1:]) for p in parts]) for s, e, parts in found]
 
 
 def _part(word: re.Match, kind: str) -> tuple[str, str, int, int]:
@@ -189,8 +202,10 @@ def alike(text: str, draw: _Draw) -> str:
 
 #: Attempts after which a value that may grow gets two characters more, each time.
 GROWS = 8
-#: Attempts after which a value of a fixed length counts as having no free surrogate.
-MOST = 200
+#: Attempts after which a value counts as having no free surrogate.
+MOST = 24
+#: Values of a used-up shape that are permuted together, about.
+RING = 100_000
 
 
 def _grown(value: str, draw: _Draw, attempt: int) -> str:
@@ -271,25 +286,52 @@ def assigned(found: DataFrame, key: bytes) -> DataFrame:
                                              names=["kind", "value", "attempt", "surrogate"])
 
     family = F.when(F.col("kind").startswith("given"), "given").otherwise(F.col("kind")).alias("family")
-    real = found.select("kind", "value").distinct()
-    real.write.parquet(f"{base}/real")
-    real = spark.read.parquet(f"{base}/real")
-    taken = real.select(family, F.col("value").alias("surrogate")).distinct().withColumn("real", F.lit(True))
-    now, turn = real.withColumn("attempt", F.lit(0)), 0
+    met = found.select("kind", "value").distinct()
+    gender = met.where(F.col("kind").isin("givenf", "givenm")).groupBy("value").agg(F.min("kind").alias("known")).withColumn("kind", F.lit("given"))
+    met.join(gender, ["kind", "value"], "left").withColumn("settled", F.coalesce("known", "kind")).drop("known").write.parquet(f"{base}/met")
+    met = spark.read.parquet(f"{base}/met")
+    real = met.select(F.col("settled").alias("kind"), "value").distinct()
+    names = real.select(family, F.col("value").alias("surrogate")).distinct()
+    now, turns = real.withColumn("attempt", F.lit(0)), []
     while True:
         drawn = now.mapInArrow(kernel, "kind string, value string, attempt int, surrogate string").withColumn("family", family)
-        first = drawn.groupBy("family", "surrogate").agg(F.min(F.struct("attempt", "kind", "value")).alias("first"))
-        judged = (drawn.join(first, ["family", "surrogate"]).join(taken, ["family", "surrogate"], "left")
-                  .withColumn("lost", (F.col("kind") != "initial") & (F.col("real").isNotNull() | (F.col("first") != F.struct("attempt", "kind", "value")))))
-        judged.select("kind", "value", "attempt", "surrogate", "lost").write.parquet(f"{base}/turn{turn}")
-        judged = spark.read.parquet(f"{base}/turn{turn}")
-        if judged.where("lost").isEmpty():
-            return judged.select("kind", "value", "surrogate")
-        stuck = judged.where(F.col("lost") & (F.col("attempt") >= MOST)).groupBy("kind").count().collect()
-        if stuck:
-            raise RuntimeError(f"no free surrogates after {MOST} attempts: " + ", ".join(f"{x['count']} of kind {x['kind']}" for x in stuck))
-        now = judged.select("kind", "value", (F.col("attempt") + F.col("lost").cast("int")).alias("attempt"))
-        turn += 1
+        first = drawn.groupBy("family", "surrogate").agg(F.min(F.struct("kind", "value")).alias("first"))
+        taken = names
+        if turns:  # surrogates of earlier turns stay with their owners
+            taken = names.unionByName(spark.read.parquet(*turns).where(~F.col("lost")).select(family, "surrogate"))
+        hits = taken.join(drawn.select("family", "surrogate"), ["family", "surrogate"], "leftsemi").distinct().withColumn("hit", F.lit(True))
+        judged = (drawn.join(first, ["family", "surrogate"]).join(hits, ["family", "surrogate"], "left")
+                  .withColumn("lost", (F.col("kind") != "initial") & (F.col("hit").isNotNull() | (F.col("first") != F.struct("kind", "value")))))
+        turns.append(f"{base}/turn{len(turns)}")
+        judged.select("kind", "value", "attempt", "surrogate", "lost").write.parquet(turns[-1])
+        lost = spark.read.parquet(turns[-1]).where("lost")
+        if len(turns) > MOST or lost.isEmpty():
+            break
+        now = lost.select("kind", "value", (F.col("attempt") + 1).alias("attempt"))
+    given = spark.read.parquet(*turns).where(~F.col("lost")).select("kind", "value", "surrogate")
+    known = given.unionByName(permuted(lost.select("kind", "value"), real, key))
+    return met.join(known.withColumnRenamed("kind", "settled"), ["settled", "value"]).select("kind", "value", "surrogate")
+
+
+def permuted(stuck: DataFrame, real: DataFrame, key: bytes) -> DataFrame:
+    """(kind, value, surrogate): ``stuck`` values of one shape in rings of keyed order, each getting the next one's value.
+
+    A value that is stuck alone gets another real value of its shape; those of
+    ``real`` that are not stuck have surrogates that are no real values.
+    """
+    shape = ["kind", "size"]
+    size = F.when(F.col("kind").isin("phone", "number", "card"), F.length("value")).otherwise(0).alias("size")
+    order = F.sha2(F.concat(F.lit(hmac.new(key, b"ring", hashlib.sha256).hexdigest()), "value"), 256)
+    stuck = stuck.select("kind", size, "value", order.alias("order"))
+    rings = stuck.groupBy(*shape).agg(F.ceil(F.count(F.lit(1)) / RING).cast("long").alias("rings"))
+    others = real.join(stuck.select("kind").distinct(), "kind", "leftsemi").select("kind", size, "value").groupBy(*shape).agg(
+        F.min("value").alias("low"), F.max("value").alias("high"))
+    dealt = stuck.join(rings, shape).join(others, shape).withColumn("ring", F.pmod(F.xxhash64("order"), F.col("rings")))
+    ring = Window.partitionBy(*shape, "ring").orderBy("order", "value")
+    following = F.coalesce(F.lead("value").over(ring), F.first("value").over(ring))
+    alone = F.when(F.col("low") != F.col("value"), F.col("low")).otherwise(F.col("high"))
+    return (dealt.withColumn("next", following)
+            .select("kind", "value", F.when(F.col("next") != F.col("value"), F.col("next")).otherwise(alone).alias("surrogate")))
 
 
 def pseudonymize(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:

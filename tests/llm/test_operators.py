@@ -132,11 +132,70 @@ def test_used_up_mailboxes_and_hosts_in_texts(spark):
     assert len(hosts) == 26 and not hosts & {f"{chr(97 + k)}.com" for k in range(26)}
 
 
-def test_fixed_shapes_without_a_free_surrogate_end(spark, monkeypatch):
-    monkeypatch.setattr(surrogates, "MOST", 2)
-    found = spark.createDataFrame([("number", str(k)) for k in range(1, 10)], "kind string, value string")
-    with pytest.raises(RuntimeError, match="9 of kind number"):
-        surrogates.assigned(found, b"k")
+def test_used_up_fixed_shapes_are_permuted(spark, monkeypatch):
+    monkeypatch.setattr(surrogates, "MOST", 3)
+    monkeypatch.setattr(surrogates, "RING", 200)
+    found = [("number", str(k)) for k in range(1, 10)] + [("phone", str(k)) for k in range(100, 1000)]  # every value is real
+    found += [("card", str(k)) for k in range(10, 100, 2)]
+    got = surrogates.assigned(spark.createDataFrame(found, "kind string, value string"), b"k").collect()
+    assert sorted((r.kind, r.value) for r in got) == sorted(found)
+    assert all(r.surrogate != r.value and len(r.surrogate) == len(r.value) and r.surrogate.isdigit() for r in got)
+    assert len({(r.kind, r.surrogate) for r in got}) == len(got)
+
+
+def test_a_value_stuck_alone_takes_another_one(spark):
+    frame = lambda rows: spark.createDataFrame(rows, "kind string, value string")
+    real = [("phone", v) for v in ("12", "34", "567")]
+    for value, other in (("12", "34"), ("34", "12")):
+        assert [tuple(r) for r in surrogates.permuted(frame([("phone", value)]), frame(real), b"k").collect()] == [("phone", value, other)]
+
+
+def test_one_person_has_one_given_name(spark):
+    texts = ["Frau Greta Meyer and Dr Greta Meyer", "Prof Greta Meyer alone", "Dr Kim Lee, Herr Kim Lee", "Frau Kim Lee", "Prof Uma Orr"]
+    got = {r.doc_id: r.text for r in surrogates.pseudonymize(documents(spark, texts), b"k").collect()}
+    m = re.fullmatch(r"Frau (\w+) (\w+) and Dr (\w+) (\w+)", got[0])
+    assert m[1] == m[3] in surrogates.GIVEN["f"] and m[2] == m[4] and got[1] == f"Prof {m[1]} {m[2]} alone"
+    m = re.fullmatch(r"Dr (\w+) (\w+), Herr (\w+) (\w+)", got[2])
+    assert m[1] == m[3] in surrogates.GIVEN["m"] and got[3].split()[1] in surrogates.GIVEN["f"]
+    assert got[4].startswith("Prof ") and "Uma" not in got[4]
+
+
+def plain_surrogates(texts, key):
+    """The rewritten texts, by one process."""
+    parts = [p for t in texts for m in surrogates.entities(t) for p in m[2]]
+    sexed = {}
+    for kind, value, *_ in sorted(parts, reverse=True):
+        if kind in ("givenf", "givenm"):
+            sexed[value] = kind
+    own = lambda kind, value: (sexed.get(value, kind) if kind == "given" else kind, value)
+    family = lambda kind: "given" if kind.startswith("given") else kind
+    real = {own(*p[:2]) for p in parts}
+    taken, known, attempt = {(family(k), v) for k, v in real}, {}, 0
+    while len(known) < len(real):
+        for kind, value in sorted(real - set(known)):
+            new = surrogates.surrogate(key, kind, value, attempt)
+            if kind == "initial" or (family(kind), new) not in taken:
+                taken.add((family(kind), new))
+                known[kind, value] = new
+        attempt += 1
+    out = []
+    for t in texts:
+        for kind, value, start, end in sorted((p for m in surrogates.entities(t) for p in m[2]), key=lambda p: -p[2]):
+            t = t[:start] + surrogates.render(t[start:end], kind, known[own(kind, value)]) + t[end:]
+        out.append(t)
+    return out
+
+
+def test_surrogates_against_one_process(spark):
+    rng = random.Random(4)
+    titles, given = sorted(surrogates.TITLES), sorted(surrogates.GIVEN["f"] + surrogates.GIVEN["m"])
+    texts = [None, ""]
+    for _ in range(150):
+        who = f"{rng.choice(titles)} {rng.choice(given)} {rng.choice(['Li', 'Orr', 'Smith', 'Петров'])}"
+        texts.append(f"{who} of {rng.choice('abcdefgh')}{rng.randrange(4)}@{rng.choice('xyz')}{rng.randrange(3)}.com, +1 555 {rng.randrange(100, 120)} "
+                     f"{rng.randrange(1000, 1010)}, 10.0.0.{rng.randrange(9)}; {rng.randrange(700):03d}-11-2222; then {who.split()[-1]}, {sentence(rng, 8)}")
+    got = {r.doc_id: r.text for r in surrogates.pseudonymize(documents(spark, texts), b"k").collect()}
+    assert [got[i] for i in range(len(texts))] == plain_surrogates(texts, b"k")
 
 
 # ---- op2 -------------------------------------------------------------------
