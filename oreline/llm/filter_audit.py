@@ -96,22 +96,25 @@ def csr_shards(docs: DataFrame, id_: str = "doc_id", text: str = "text", part: s
                  pa.ListArray.from_arrays([0, len(own)], own)],
                 names=["shard", "ids", "parts", "capitals", "symbols", "digests", "starts", "columns", "counts", "words"])
 
-        def read(texts: list[bytes], facts: list, words: list) -> None:
-            rows = [t.split() for t in texts]
-            words.append(pa.array([w for r in rows for w in r], pa.binary()))
-            for t, r in zip(texts, rows):
+        def read(texts: pa.Array, facts: list, words: list) -> None:
+            rows = pc.ascii_split_whitespace(texts)
+            flat, ends = rows.flatten().cast(pa.binary()), rows.offsets.to_numpy()
+            filled = pc.greater(pc.binary_length(flat), 0)  # spaces at the ends of a text leave empty words
+            words.append(flat.filter(filled))
+            before = np.concatenate([[0], np.cumsum(filled.to_numpy(zero_copy_only=False))])
+            for t, n in zip(texts.cast(pa.binary()).to_pylist(), np.diff(before[ends - ends[0]]).tolist()):
                 found = marks[np.frombuffer(t, dtype=np.uint8)]
                 many = lambda mark: int(np.count_nonzero(found & mark))
-                facts.append((len(r), 100 * many(UPPER) > 10 * (len(t) - many(INNER)), many(SYMBOL) > 0, hashlib.sha256(t).digest()))
+                facts.append((n, 100 * many(UPPER) > 10 * (len(t) - many(INNER)), many(SYMBOL) > 0, hashlib.sha256(t).digest()))
 
         number, size, ids, parts, facts, words = TaskContext.get().partitionId() << 32, 0, [], [], [], []
         for batch in batches:
-            texts, at, open_ = pc.fill_null(batch.column(1).cast(pa.binary()), b""), 0, 0
+            texts, at, open_ = pc.fill_null(batch.column(1), ""), 0, 0
             for i, n in enumerate(pc.binary_length(texts).to_pylist()):
                 size, open_ = size + n, open_ + n
                 full = size >= shard_bytes
                 if full or open_ >= BATCH_BYTES or i + 1 == batch.num_rows:
-                    read(texts.slice(at, i + 1 - at).to_pylist(), facts, words)
+                    read(texts.slice(at, i + 1 - at), facts, words)
                     ids.append(batch.column(0).slice(at, i + 1 - at))
                     parts += [p or "" for p in batch.column(2).slice(at, i + 1 - at).to_pylist()]
                     at, open_ = i + 1, 0
