@@ -39,14 +39,14 @@ from oreline.session import scratch_path
 
 THRESHOLD = 0.98
 RECALL = 0.9999
-BUCKET = 64
+BUCKETS = 4
 BLOCK = 2048
 SEED = 20
 
 
 def shape_of(classes: int, threshold: float = THRESHOLD, recall: float = RECALL) -> tuple[int, int]:
-    """Bits and tables: about BUCKET classes per bucket if directions were even."""
-    bits = max(8, min(48, math.ceil(math.log2(max(2, classes) / BUCKET)) + 4))
+    """Bits and tables: about BUCKETS buckets per class if directions were even, so that strangers seldom meet."""
+    bits = max(8, min(48, math.ceil(math.log2(max(2, classes) * BUCKETS))))
     hit = (1 - math.acos(threshold) / math.pi) ** bits
     return bits, max(1, math.ceil(math.log(1 - recall) / math.log(1 - hit)))
 
