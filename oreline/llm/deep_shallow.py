@@ -12,10 +12,9 @@ times, so the suffix array is sparse, at places that the content itself picks:
    as a whole.  A string met once is settled too.  What stays are strings with
    several contexts, as at the edges of copied passages.
 3. Their contexts, one each, are read at the anchor: to the right, and
-   backwards to the left.  Both lists are sorted deep-shallow: a library
-   sort of all rows by (group, 8-byte word) at each level, in place of multikey
-   quicksort, down to a shallow depth, and blind tries for the groups that agree
-   up to there.  The common prefixes of neighbours then say,
+   backwards to the left.  Both lists are sorted deep-shallow: multikey
+   quicksort by 8-byte words down to a shallow depth, and blind tries for the
+   groups that agree up to there.  The common prefixes of neighbours then say,
    for each offset, which contexts agree left and right, and so which windows
    are equal.
 4. A string with very many contexts is not sorted in one task.  Its windows are
@@ -165,25 +164,50 @@ class BlindTrie:
         return out
 
 
+def multikey_quicksort(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the rows of ``words``, and which places of it start a group of equal rows.
+
+    Ternary: an open group is parted around a pivot of its current word into
+    smaller, equal and larger; only the equal part goes on to the next word.
+    All open groups are parted in the same pass; a group is closed, and never
+    looked at again, once it is single or out of words.
+    """
+    n, depth = words.shape
+    order, starts = np.arange(n), np.zeros(n, dtype=bool)
+    starts[:1] = True
+    start, size, level = np.array([0]), np.array([n]), np.array([0])
+    while True:
+        wide = (size > 1) & (level < depth)
+        start, size, level = start[wide], size[wide], level[wide]
+        if not len(start):
+            return order, starts
+        ends = np.cumsum(size)
+        group = np.repeat(np.arange(len(start)), size)
+        place = np.arange(ends[-1]) + np.repeat(start - ends + size, size)
+        row = order[place]
+        word = words[row, level[group]]
+        three = np.sort(np.stack([word[ends - size], word[ends - size + size // 2], word[ends - 1]]), axis=0)
+        pivot = three[1][group]
+        part = group * 3 + np.where(word < pivot, 0, np.where(word == pivot, 1, 2))
+        held = np.bincount(part, minlength=3 * len(start))
+        order[place] = row[np.argsort(part, kind="stable")]
+        first = np.repeat(start - ends + size, 3) + np.cumsum(held) - held
+        starts[first[held > 0]] = True
+        start, size, level = first, held, np.repeat(level, 3) + np.tile([0, 1, 0], len(level))
+
+
 def deep_shallow(strings: list[bytes], width: int, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
     """Order of the strings, and the common prefix of each with the one before it.
 
-    Shallow: by big-endian 8-byte words, a level for each word; each level sorts
-    all rows by group and word with a library sort, settled groups too.  Deep: groups that agree to the shallow depth
-    are ordered by blind tries.
+    Shallow: multikey quicksort by big-endian 8-byte words.  Deep: groups that
+    agree to the shallow depth are ordered by blind tries.
     """
     n = len(strings)
     depth = min(width, shallow) // 8 * 8
     padded = np.frombuffer(b"".join(s[:depth].ljust(depth, b"\0") for s in strings), dtype=">u8").reshape(n, depth // 8)
-    order, group = np.arange(n), np.zeros(n, dtype=np.int64)
-    for level in range(depth // 8):
-        word = padded[order, level].astype(np.uint64)
-        sort = np.lexsort((word, group))
-        order, word, group = order[sort], word[sort], group[sort]
-        new = np.concatenate([[False], (word[1:] != word[:-1]) | (group[1:] != group[:-1])]) if n else np.zeros(0, bool)
-        group = np.cumsum(new)
+    order, new = multikey_quicksort(padded.astype(np.uint64))
     if n:
-        starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+        starts = np.flatnonzero(new)
         for start, end in zip(starts, [*starts[1:], n]):
             if end - start > 1:
                 trie = BlindTrie(strings)

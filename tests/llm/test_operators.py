@@ -361,6 +361,15 @@ def test_repeated_bytes(spark, monkeypatch, many):
         assert bytes(got[i].kept) == bytes(np.frombuffer(b, np.uint8)[~gone])
 
 
+@pytest.mark.parametrize("rows", [0, 1, 2, 60, 3000])
+def test_multikey_quicksort(rows):
+    words = np.random.default_rng(rows).integers(0, 4, (rows, 5)).astype(np.uint64)
+    order, starts = deep_shallow.multikey_quicksort(words)
+    ranked = [tuple(words[i]) for i in order]
+    assert ranked == sorted(map(tuple, words))
+    assert starts.tolist() == [i == 0 or ranked[i] != ranked[i - 1] for i in range(rows)]
+
+
 def test_deep_shallow_order():
     rng = random.Random(7)
     strings = [bytes(rng.choice(b"ab\0") for _ in range(rng.randrange(0, 120))) for _ in range(300)]
