@@ -270,17 +270,20 @@ class _Bases:
     def __init__(self, known: dict):
         self.known = known
 
-    def built(self, names: pa.Array, vectors: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """Per series of a batch: its places, vectors, mean and reconstructions; unknown series and null vectors are left out."""
+    def found(self, names: pa.Array, vectors: pa.Array) -> Iterator[tuple]:
+        """Per series of a batch: its name, places, vectors, mean and basis; unknown series and null vectors are left out."""
         codes = names.dictionary_encode(null_encoding="encode")
         index = codes.indices.to_numpy(zero_copy_only=False)
         usable = vectors.is_valid().to_numpy(zero_copy_only=False)
         for code, name in enumerate(codes.dictionary.to_pylist()):
             at = np.flatnonzero((index == code) & usable)
             if len(at) and name is not None and name in self.known:
-                mean, basis = self.known[name]
-                x = matrix(vectors.take(pa.array(at)))
-                yield at, x, mean, _rebuild(x, np.broadcast_to(mean, x.shape), np.broadcast_to(basis, (len(x), *basis.shape)))
+                yield name, at, matrix(vectors.take(pa.array(at))), *self.known[name]
+
+    def built(self, names: pa.Array, vectors: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Per series of a batch: its places, vectors, mean and reconstructions."""
+        for _, at, x, mean, basis in self.found(names, vectors):
+            yield at, x, mean, _rebuild(x, np.broadcast_to(mean, x.shape), np.broadcast_to(basis, (len(x), *basis.shape)))
 
 
 def _with_bases(vectors: DataFrame, basis: DataFrame, series: str, vec: str, schema: T.StructType, work) -> DataFrame:

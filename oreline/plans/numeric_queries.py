@@ -7,6 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from oreline.functions.hashing import arithmetic_uniform, arithmetic_uniform_sql
+from oreline.operators import leading
 from oreline.operators import lowrank as lr
 from oreline.operators import panel as pn
 from oreline.operators import regress as rg
@@ -216,6 +217,23 @@ def daily_basis_series(spark, sf):
     return out.select("series", "k", "day", rounded("value").alias("value"))
 
 
+def leading_basis_series(spark, sf):
+    """The leading eigenvectors by block iteration on the vectors, without pair sums."""
+    out = lr.eigenvector_series(leading.leading_eigen(_vectors(spark, sf)))
+    return out.select("series", "k", "day", rounded("value").alias("value"))
+
+
+def leading_shares(spark, sf):
+    """Value and share of the variance of each leading eigenvector, by block iteration."""
+    return leading.leading_eigen(_vectors(spark, sf)).select(
+        "series", "k", rounded("eigval", 8).alias("eigval"), rounded("share", 8).alias("share"))
+
+
+LEADING_SHARES_SQL = _ENTRIES_SQL + ", " + _eigen_sql(3, D) + """
+SELECT series, CAST(k AS INTEGER) AS k, round(value, 8) AS eigval, round(value / trace, 8) AS share
+FROM eig JOIN (SELECT series, sum(cov) AS trace FROM p WHERE i = j GROUP BY series) USING (series)"""
+
+
 def spectral_residuals(spark, sf):
     """Mean residual per series against the series' own leading eigenvectors."""
     vectors = _vectors(spark, sf)
@@ -488,6 +506,8 @@ QUERIES = {
     "residual_trace": (residual_trace, RESIDUAL_TRACE_SQL),
     "explained_variance": (explained_variance, EXPLAINED_VARIANCE_SQL),
     "daily_basis_series": (daily_basis_series, DAILY_BASIS_SERIES_SQL),
+    "leading_basis_series": (leading_basis_series, DAILY_BASIS_SERIES_SQL),
+    "leading_shares": (leading_shares, LEADING_SHARES_SQL),
     "spectral_residuals": (spectral_residuals, SPECTRAL_RESIDUALS_SQL),
     "own_extremes": (own_extremes, OWN_EXTREMES_SQL),
     "own_profiles": (own_profiles, OWN_PROFILES_SQL),
