@@ -79,6 +79,20 @@ b AS (SELECT v.s AS series, lo, (hi - lo) / 100.0::DOUBLE AS w,
 SELECT series, CAST(bin AS INTEGER) AS bin, round(lo + bin * w, 4) AS bin_start, count(*) AS cnt
 FROM b GROUP BY ALL"""
 
+def clipped_readings(spark, sf):
+    """Readings of each day that lie between the 1 % and 99 % points of their measurement."""
+    panel = _panel(spark, sf)
+    return (pn.clip_range(panel, pn.scalar_summary(panel)).groupBy("series", "day")
+            .agg(F.count(F.lit(1)).alias("n"), rounded(F.min("x")).alias("least"), rounded(F.max("x")).alias("most")))
+
+
+CLIPPED_READINGS_SQL = """
+WITH e AS (SELECT event_type AS series, dayofyear(ts) AS day, value AS x FROM events WHERE NOT isnan(value)),
+q AS (SELECT series, quantile_cont(x, 0.01) AS low, quantile_cont(x, 0.99) AS high FROM e GROUP BY series)
+SELECT series, CAST(day AS INTEGER) AS day, count(*) AS n, round(min(x), 6) AS least, round(max(x), 6) AS most
+FROM e JOIN q USING (series) WHERE x BETWEEN low AND high GROUP BY ALL"""
+
+
 # --- spectra: embeddings as day vectors, label as series -----------------------------
 
 D = 64
@@ -499,6 +513,7 @@ QUERIES = {
     "panel_daily_stats": (panel_daily_stats, PANEL_DAILY_STATS_SQL),
     "panel_of_kinds": (panel_of_kinds, PANEL_OF_KINDS_SQL),
     "scalar_summary": (scalar_summary, SCALAR_SUMMARY_SQL),
+    "clipped_readings": (clipped_readings, CLIPPED_READINGS_SQL),
     "clipped_histogram": (clipped_histogram, CLIPPED_HISTOGRAM_SQL),
     "covariance_invariants": (covariance_invariants, COVARIANCE_INVARIANTS_SQL),
     "covariance_entries": (covariance_entries, COVARIANCE_ENTRIES_SQL),
