@@ -5,6 +5,10 @@ of a batch, so that n-grams are runs of small numbers: a rolling hash of the
 words' hashes gives the bucket of every n-gram of every order at once, and a
 task only returns its bucket counts, one array per order.  Strings are made
 only of the different n-grams in buckets that can still hold a result.
+
+Totals over all n-grams need no strings: an n-gram is named by 96 bits of hash (a
+chance of 4e-11 that any two of 5e9 different ones meet), and tasks shuffle sorted
+tables of names and counts.
 """
 
 from __future__ import annotations
@@ -32,6 +36,11 @@ FIRST_BUCKETS = 100
 # Counts travel in blocks of so many buckets.
 BLOCK = 1 << 14
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+# Names of n-grams: keys of the words' two hashes, the words whose n-grams a task
+# merges at a time, and the characters of the corpus per part of the names.
+_KEYS = ("oreline n-grams1", "oreline n-grams2")
+TABLE_WORDS = 1 << 20
+PART_CHARS = 8 << 20
 
 
 def sentence_rows(corpus: DataFrame, text: str = "text") -> DataFrame:
@@ -55,6 +64,86 @@ def ngram_counts(corpus: DataFrame, text: str = "text", max_n: int = 5) -> DataF
             .groupBy("n", "ngram").agg(F.count(F.lit(1)).alias("cnt")))
 
 
+def gram_tables(corpus: DataFrame, text: str = "text", max_n: int = 5, bits: int = 4) -> DataFrame:
+    """``(n, part, high, low, cnt)``: the different n-grams of about a million words, by the first ``bits`` bits of their name.
+
+    An n-gram's name is a hash of 96 bits, ``high`` and ``low``; the columns hold one number per n-gram.
+    """
+    def merged(words: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        left, *own = (np.concatenate(c) for c in zip(*words))
+        name = own
+        for n in range(1, max_n + 1):
+            if n > 1:
+                name = [_mixed(h[:-1] * _MULTIPLIER + w[n - 1:]) for h, w in zip(name, own)]
+            at = np.flatnonzero(left[:len(name[0])] >= n)
+            if not len(at):
+                return
+            high, low, cnt = _summed(name[0][at], name[1][at].astype(np.uint32), np.ones(len(at), np.uint32))
+            ends = np.searchsorted(high, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
+            ends = np.concatenate([[0], ends, [len(high)]])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(1 << bits, n, np.int32)), pa.array(np.arange(1 << bits, dtype=np.int32)), *[_blobs(c, ends) for c in (high, low, cnt)]],
+                names=["n", "part", "high", "low", "cnt"]).filter(pa.array(np.diff(ends) > 0))
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, size = [], 0
+        for batch in batches:
+            part = _Batch(batch.column(0), max_n, 1)
+            if not len(part.codes):
+                continue
+            words.append((part.left, *[hash_array(part.words, hash_key=key, categorize=False)[part.codes] for key in _KEYS]))
+            size += len(part.codes)
+            if size >= TABLE_WORDS:
+                yield from merged(words)
+                words, size = [], 0
+        if words:
+            yield from merged(words)
+
+    return _sentence_words(corpus, text).mapInArrow(kernel, "n int, part int, high binary, low binary, cnt binary")
+
+
+def order_totals(corpus: DataFrame, text: str = "text", max_n: int = 5, part_chars: int = PART_CHARS) -> DataFrame:
+    """``(n, occurrences, different, top_count)`` over every n-gram of each order.
+
+    Tasks merge equal n-grams before they are shuffled by (order, part of the names); a
+    group holds all n-grams of its part.  The number of parts follows the size of the
+    corpus, so that a group does not.
+    """
+    chars = corpus.agg(F.sum(F.length(text))).first()[0] or 0
+    tables = gram_tables(corpus, text, max_n, min(16, max(4, int(chars // part_chars).bit_length())))
+
+    def kernel(table: pa.Table) -> pa.Table:
+        high, low, cnt = (np.concatenate([np.frombuffer(v.as_buffer(), kind) for v in table.column(c)])
+                          for c, kind in (("high", np.uint64), ("low", np.uint32), ("cnt", np.uint32)))
+        cnt = _summed(high, low, cnt.astype(np.int64))[2]
+        return pa.table({"n": table.column("n").slice(0, 1), "occurrences": [int(cnt.sum())], "different": [len(cnt)], "top_count": [int(cnt.max())]})
+
+    return (tables.groupBy("n", "part").applyInArrow(kernel, "n int, occurrences bigint, different bigint, top_count bigint")
+            .groupBy("n").agg(F.sum("occurrences").alias("occurrences"), F.sum("different").alias("different"), F.max("top_count").alias("top_count")))
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(29))) * _MULTIPLIER
+    return h ^ (h >> np.uint64(32))
+
+
+def _summed(high: np.ndarray, low: np.ndarray, cnt: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The different names in order, and the sums of their counts."""
+    order = np.argsort(high)
+    same = np.diff(high[order]) == 0
+    if (same & (np.diff(low[order]) != 0)).any():     # names that agree in ``high`` alone must be parted
+        order = np.lexsort((low, high))
+        same = np.diff(high[order]) == 0
+    high, low = high[order], low[order]
+    first = np.flatnonzero(np.concatenate([[True], ~(same & (np.diff(low) == 0))]))
+    return high[first], low[first], np.add.reduceat(cnt[order], first, dtype=cnt.dtype)
+
+
+def _blobs(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """One binary per slice of ``values``."""
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((ends * values.itemsize).astype(np.int32)), pa.py_buffer(values)])
+
+
 def _top(counts: DataFrame, k: int) -> DataFrame:
     return top_per_group(counts, ["n"], [F.desc("cnt"), F.asc("ngram")], k)
 

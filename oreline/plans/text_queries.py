@@ -8,7 +8,7 @@ from oreline.functions.text import SEPARATORS, normalise
 from oreline.functions.tokens import (NAMED_PIECES, NUMERIC_PIECES, TOKEN, URL, decode_html,
                                       explode_tokens, named_entities)
 from oreline.operators import popularity as pop
-from oreline.operators.ngrams import ngram_counts, sentence_rows, top_ngrams
+from oreline.operators.ngrams import order_totals, sentence_rows, top_ngrams
 from oreline.plans.tables import quoted, rounded, table
 from oreline.session import scratch_path
 from oreline.sources import readers, sinks
@@ -38,9 +38,7 @@ SELECT CAST(n AS INTEGER) AS n, CAST(rank AS INTEGER) AS rank, ngram, cnt FROM r
 
 def ngram_order_totals(spark, sf):
     """Occurrences and different n-grams per order, over every n-gram."""
-    return (ngram_counts(table(spark, sf, "documents")).groupBy("n")
-            .agg(F.sum("cnt").alias("occurrences"), F.count(F.lit(1)).alias("different"),
-                 F.max("cnt").alias("top_count")))
+    return order_totals(table(spark, sf, "documents"))
 
 
 NGRAM_ORDER_TOTALS_SQL = _NGRAMS_SQL + """

@@ -42,6 +42,39 @@ def test_counts_match_brute_force(corpus):
     assert got == dict(plain_counts(TEXTS))
 
 
+def plain_totals(texts):
+    groups = {}
+    for (n, _), c in plain_counts(texts).items():
+        groups.setdefault(n, []).append(c)
+    return {n: (sum(c), len(c), max(c)) for n, c in groups.items()}
+
+
+@pytest.mark.parametrize("words,part_chars", [(1 << 20, 8 << 20), (3, 1)])
+def test_totals_match_brute_force(spark, corpus, monkeypatch, words, part_chars):
+    """Many tables per task and many parts, too; an empty corpus has no orders."""
+    monkeypatch.setattr(ng, "TABLE_WORDS", words)
+    got = {r.n: tuple(r)[1:] for r in ng.order_totals(corpus, part_chars=part_chars).collect()}
+    assert got == plain_totals(TEXTS)
+    assert ng.order_totals(corpus.limit(0)).count() == 0
+    assert ng.order_totals(spark.createDataFrame([(None,), ("..",)], "text string")).count() == 0
+
+
+def test_order_totals_shuffle_tables_instead_of_strings(spark):
+    """20,000 different words make 100,000 n-grams but few rows, and no n-gram leaves a task as a string."""
+    corpus = spark.createDataFrame([(" ".join(f"w{i}" for i in range(20_000)),)], "text string").coalesce(1)
+    tables = ng.gram_tables(corpus, bits=4)
+    assert tables.count() == 5 * 16
+    assert {f.dataType.simpleString() for f in tables.schema} == {"int", "binary"}
+    got = {r.n: tuple(r)[1:] for r in ng.order_totals(corpus).collect()}
+    assert got == {n: (20_001 - n, 20_001 - n, 1) for n in range(1, 6)}
+
+
+def test_names_that_agree_in_half_are_parted():
+    import numpy as np
+    high, low, cnt = (np.array(x, dtype) for x, dtype in (([7, 7, 3, 7], np.uint64), ([1, 2, 5, 1], np.uint32), ([1, 10, 100, 1000], np.int64)))
+    assert [c.tolist() for c in ng._summed(high, low, cnt)] == [[3, 7, 7], [5, 1, 2], [100, 1001, 10]]
+
+
 def test_normalise_keeps_one_character_per_character(spark):
     rows = spark.createDataFrame([("A_b-Ç²½ x",)], "s string")
     assert rows.select(tx.normalise(F.col("s"))).first()[0] == "a b ç²  x"
