@@ -46,7 +46,9 @@ SHARD_BYTES, BATCH_BYTES = 5 << 20, 1 << 20
 RANGE_WORDS = 200_000
 UPPER, SYMBOL, INNER = 1, 2, 4
 SHARDS = ("shard long, ids array<{id}>, parts array<string>, capitals array<boolean>, symbols array<boolean>, digests array<binary>, "
-          "starts binary, columns binary, counts binary, words array<binary>")
+          "starts binary, columns binary, counts binary, own long, words binary")
+#: Between the words of a dictionary, which is one value: a word holds none, and an element per word would cost tasks several times its bytes.
+GAP = b" "
 
 
 def _marks() -> np.ndarray:
@@ -67,16 +69,21 @@ def unpacked(planes: pa.Buffer) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
 
 
+def _words(told: bytes) -> list[bytes]:
+    """The words of a dictionary or a part of it."""
+    return told.split(GAP) if told else []
+
+
 def _csr(sizes: list[int], words: list[pa.Array]):
-    """Row starts, columns and counts of texts of so many words, and their dictionary in the order of the words' hashes."""
+    """Row starts, columns and counts of texts of so many words, and their different words in the order of the words' hashes."""
     coded = pa.concat_arrays([pa.array([], pa.binary()), *words]).dictionary_encode()
-    own = coded.dictionary
-    order = np.argsort(np.array([zlib.crc32(w) for w in own.to_pylist()], dtype=np.int64), kind="stable")
+    own = coded.dictionary.to_pylist()
+    order = np.argsort(np.array([zlib.crc32(w) for w in own], dtype=np.int64), kind="stable")
     place = np.empty(len(own), dtype=np.int64)
     place[order] = np.arange(len(own))
     row, wide = np.repeat(np.arange(len(sizes)), sizes), max(1, len(own))
     cell, count = np.unique(row * wide + place[coded.indices.to_numpy()], return_counts=True)
-    return np.searchsorted(cell, np.arange(len(sizes) + 1) * wide), cell % wide, count, own.take(pa.array(order))
+    return np.searchsorted(cell, np.arange(len(sizes) + 1) * wide), cell % wide, count, [own[i] for i in order.tolist()]
 
 
 def csr_shards(docs: DataFrame, id_: str = "doc_id", text: str = "text", part: str = "lang", shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -93,8 +100,8 @@ def csr_shards(docs: DataFrame, id_: str = "doc_id", text: str = "text", part: s
                  *[pa.ListArray.from_arrays([0, len(facts)], pa.array(list(x), t)) for x, t in (
                      (parts, pa.string()), ([f[1] for f in facts], pa.bool_()), ([f[2] for f in facts], pa.bool_()), ([f[3] for f in facts], pa.binary()))],
                  *[pa.array([packed(x)], pa.binary()) for x in (starts, np.diff(columns, prepend=0) % (1 << 32), counts)],
-                 pa.ListArray.from_arrays([0, len(own)], own)],
-                names=["shard", "ids", "parts", "capitals", "symbols", "digests", "starts", "columns", "counts", "words"])
+                 pa.array([len(own)], pa.int64()), pa.array([GAP.join(own)], pa.binary())],
+                names=["shard", "ids", "parts", "capitals", "symbols", "digests", "starts", "columns", "counts", "own", "words"])
 
         def read(texts: pa.Array, facts: list, words: list) -> None:
             rows = pc.ascii_split_whitespace(texts)
@@ -134,19 +141,17 @@ def numbered(shards: DataFrame, range_words: int = RANGE_WORDS) -> DataFrame:
     A range's words are numbered as they are met, shards in order, so a task
     that is run again gives the same numbers.
     """
-    ranges = max(1, -(-(shards.agg(F.sum(F.size("words"))).first()[0] or 0) // range_words))
+    ranges = max(1, -(-(shards.agg(F.sum("own")).first()[0] or 0) // range_words))
 
     def cut(batches):
         edges = np.arange(1, ranges) * (1 << 32) // ranges
         for batch in batches:
             for i in range(batch.num_rows):
-                own = batch.column(1).slice(i, 1).flatten()
-                hash_at = lambda at: zlib.crc32(own[at].as_buffer())
-                ends = [bisect_left(range(len(own)), edge, key=hash_at) for edge in edges.tolist()]
-                ends = np.array([0, *ends, len(own)], dtype=np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), own)
+                own = _words(batch.column(1)[i].as_py())
+                ends = [0, *[bisect_left(own, edge, key=zlib.crc32) for edge in edges.tolist()], len(own)]
+                told = [GAP.join(own[a:b]) for a, b in zip(ends[:-1], ends[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(ranges)), pa.array(np.full(ranges, batch.column(0)[i].as_py())), lists],
+                    [pa.array(np.arange(ranges)), pa.array(np.full(ranges, batch.column(0)[i].as_py())), pa.array(told, pa.binary())],
                     names=["range", "shard", "words"]).filter(pa.array(np.diff(ends) > 0))
 
     def number(batches):
@@ -156,11 +161,11 @@ def numbered(shards: DataFrame, range_words: int = RANGE_WORDS) -> DataFrame:
             for i, own in enumerate(where):
                 if own != now:
                     now, known = own, {}
-                found = [known.setdefault(w, len(known)) for w in batch.column(2).slice(i, 1).flatten().to_pylist()]
+                found = [known.setdefault(w, len(known)) for w in _words(batch.column(2)[i].as_py())]
                 out.append((np.array(found, dtype="<i8") * ranges + own).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["range", "shard", "columns"])
 
-    parts = shards.select("shard", "words").mapInArrow(cut, "range long, shard long, words array<binary>")
+    parts = shards.select("shard", "words").mapInArrow(cut, "range long, shard long, words binary")
     return (parts.repartition("range").sortWithinPartitions("range", "shard")
             .mapInArrow(number, "range long, shard long, columns binary"))
 
@@ -171,7 +176,7 @@ def dictionary(shards: DataFrame, numbers: DataFrame) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 told = b"".join(x["columns"] for x in batch.column(1)[i].as_py())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1).flatten(), pa.array(np.frombuffer(told, "<i8"))], names=["word", "column"])
+                yield pa.RecordBatch.from_arrays([pa.array(_words(batch.column(0)[i].as_py()), pa.binary()), pa.array(np.frombuffer(told, "<i8"))], names=["word", "column"])
 
     return shards.select("shard", "words").join(_by_shard(numbers), "shard").select("words", "told").mapInArrow(kernel, "word binary, column long").distinct()
 
@@ -180,41 +185,53 @@ def _by_shard(numbers: DataFrame) -> DataFrame:
     return numbers.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("range", "columns"))).alias("told"))
 
 
+def _encoding(batches):
+    """Shards, one by one, with global column numbers; the last column holds what was told of their own words."""
+    for batch in batches:
+        names = batch.schema.names[:-1]
+        place = {c: names.index(c) for c in ("starts", "columns", "counts")}
+        for i in range(batch.num_rows):
+            own = {c: unpacked(batch.column(at)[i].as_buffer()) for c, at in place.items()}
+            table = np.frombuffer(b"".join(x["columns"] for x in batch.column(len(names))[i].as_py() or []), "<i8")
+            own["columns"] = table[np.cumsum(own["columns"]) % (1 << 32)]
+            yield pa.RecordBatch.from_arrays([pa.array([own[c].tobytes()], pa.binary()) if c in own else batch.column(at).slice(i, 1)
+                                              for at, c in enumerate(names)], names=names)
+
+
+def _row_facts(batches):
+    for batch in batches:
+        for i in range(batch.num_rows):
+            own = batch.slice(i, 1)
+            starts, counts = [np.frombuffer(own.column(own.schema.get_field_index(c))[0].as_buffer(), "<i8") for c in ("starts", "counts")]
+            sums = np.concatenate([[0], np.cumsum(counts)])[starts]
+            flat = lambda c: own.column(own.schema.get_field_index(c)).flatten()
+            yield pa.RecordBatch.from_arrays([flat("ids"), flat("parts"), flat("digests"), pa.array(np.diff(sums)),
+                                              pa.array(np.diff(starts)), flat("capitals"), flat("symbols")],
+                                             names=["id", "part", "digest", "n_words", "n_distinct", "capitals", "symbols"])
+
+
+def _told(shards: DataFrame, numbers: DataFrame) -> DataFrame:
+    return shards.drop("own", "words").join(_by_shard(numbers), "shard", "left")
+
+
 def encoded(shards: DataFrame, numbers: DataFrame) -> DataFrame:
     """``shards`` with global column numbers (64-bit) in place of their own words; starts and counts are 64-bit, too."""
-    def kernel(batches):
-        for batch in batches:
-            place = {c: batch.schema.get_field_index(c) for c in ("starts", "columns", "counts")}
-            told, new = batch.column(batch.num_columns - 1), {c: [] for c in place}
-            for i in range(batch.num_rows):
-                own = {c: unpacked(batch.column(at)[i].as_buffer()) for c, at in place.items()}
-                table = np.frombuffer(b"".join(x["columns"] for x in told[i].as_py() or []), "<i8")
-                own["columns"] = table[np.cumsum(own["columns"]) % (1 << 32)]
-                for c in place:
-                    new[c].append(own[c].tobytes())
-            names = batch.schema.names[:-1]
-            yield pa.RecordBatch.from_arrays([pa.array(new[c], pa.binary()) if c in new else batch.column(i) for i, c in enumerate(names)], names=names)
+    return _told(shards, numbers).mapInArrow(_encoding, shards.drop("own", "words").schema)
+
 
-    plain = shards.drop("words")
-    return plain.join(_by_shard(numbers), "shard", "left").mapInArrow(kernel, plain.schema)
+def _rows_schema(shards: DataFrame) -> str:
+    kind = shards.schema["ids"].dataType.elementType.simpleString()
+    return f"id {kind}, part string, digest binary, n_words long, n_distinct long, capitals boolean, symbols boolean"
 
 
 def rows_of(matrix: DataFrame) -> DataFrame:
     """(id, part, digest, n_words, n_distinct, capitals, symbols): row sums and nonzero counts with the flags."""
-    kind = matrix.schema["ids"].dataType.elementType.simpleString()
+    return matrix.mapInArrow(_row_facts, _rows_schema(matrix))
 
-    def kernel(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                own = batch.slice(i, 1)
-                starts, counts = [np.frombuffer(own.column(own.schema.get_field_index(c))[0].as_buffer(), "<i8") for c in ("starts", "counts")]
-                sums = np.concatenate([[0], np.cumsum(counts)])[starts]
-                flat = lambda c: own.column(own.schema.get_field_index(c)).flatten()
-                yield pa.RecordBatch.from_arrays([flat("ids"), flat("parts"), flat("digests"), pa.array(np.diff(sums)),
-                                                  pa.array(np.diff(starts)), flat("capitals"), flat("symbols")],
-                                                 names=["id", "part", "digest", "n_words", "n_distinct", "capitals", "symbols"])
 
-    return matrix.mapInArrow(kernel, f"id {kind}, part string, digest binary, n_words long, n_distinct long, capitals boolean, symbols boolean")
+def encoded_rows(shards: DataFrame, numbers: DataFrame) -> DataFrame:
+    """:func:`rows_of` the encoded shards; a shard's 64-bit numbers stay inside the task that encodes it."""
+    return _told(shards, numbers).mapInArrow(lambda batches: _row_facts(_encoding(batches)), _rows_schema(shards))
 
 
 def failures(rows: DataFrame) -> Column:
@@ -275,7 +292,7 @@ def interactions(counts: DataFrame) -> DataFrame:
 def audit(docs: DataFrame, labels: DataFrame, id_: str = "doc_id", text: str = "text", part: str = "lang") -> DataFrame:
     """The interactions of the five filters over ``docs``, by part, order and step."""
     shards = written(csr_shards(docs, id_, text, part), "csr")
-    rows = rows_of(encoded(shards, numbered(shards)))
+    rows = encoded_rows(shards, numbered(shards))
     return interactions(failure_counts(written(rows, "rows"), labels, id_))
 
 

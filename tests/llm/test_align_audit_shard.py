@@ -173,6 +173,21 @@ def test_matrix_is_that_of_a_global_dictionary(spark, range_words):
             assert row == Counter((texts[i] or "").encode().split())
 
 
+def test_a_dictionary_is_one_value(spark):
+    """Shards carry their words, and the ranges their parts, without an element per word; empty dictionaries have no parts."""
+    texts = ["b a\x1cc é\x85 a", None, " \t\x0b", "", "z"]
+    shards = filter_audit.written(filter_audit.csr_shards(documents(spark, texts).coalesce(1), shard_bytes=1), "csr")
+    assert shards.schema["words"].dataType.simpleString() == "binary"
+    assert sorted((r.own, set(bytes(r.words).split(b" "))) for r in shards.where("own > 0").collect()) == [
+        (1, {b"z"}), (4, {"a".encode(), b"b", b"a\x1cc", "é\x85".encode()})]
+    assert {bytes(r.words) for r in shards.where("own = 0").collect()} <= {b""}
+    assert filter_audit.numbered(shards.where("own = 0")).count() == 0
+    numbers = filter_audit.written(filter_audit.numbered(shards, 1), "numbers")
+    assert numbers.count() <= 5
+    rows = filter_audit.encoded_rows(shards, numbers)
+    assert sorted(map(str, rows.collect())) == sorted(map(str, filter_audit.rows_of(filter_audit.encoded(shards, numbers)).collect()))
+
+
 # ---- op13 ------------------------------------------------------------------
 
 def plain_jump(key, n):
