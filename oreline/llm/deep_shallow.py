@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,8 +45,8 @@ SHALLOW = 64
 MANY = 2000
 #: Offsets that share a core when an anchor string has more, level by level.
 STEPS = (40, 6, 1)
-#: Bytes of text hashed at a time.
-CHUNK = 1 << 19
+#: Bytes of text hashed at a time: of one long text, and of several short ones, whose arrays should stay in a core's cache.
+CHUNK, SHORT = 1 << 19, 1 << 16
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -53,50 +54,89 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 # ---- anchors ---------------------------------------------------------------
 
 def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+    h = h ^ (h >> np.uint64(31))
+    h *= np.uint64(0x94D049BB133111EB)
     h ^= h >> np.uint64(29)
     return h
 
 
 def string_hashes(data: np.ndarray, size: int) -> np.ndarray:
     """Hash of the ``size`` bytes from every place, by doubling."""
-    h, have = data.astype(np.uint64) + np.uint64(1), 1
+    if size >= 8 and len(data) >= 8:  # the first eight bytes are read as one number
+        raw = np.ascontiguousarray(data)
+        h, have = _mixed(np.ndarray((len(raw) - 7,), np.dtype("<u8"), raw, strides=(1,)) * _ODD), 8
+    else:
+        h, have = data.astype(np.uint64) + np.uint64(1), 1
     while have < size:
         step = min(have, size - have)
-        h = _mixed(h[:len(h) - step] * _ODD + h[step:])
+        h = _mixed(h[:max(0, len(h) - step)] * _ODD + h[step:])
         have += step
     return h
 
 
 def window_minima(values: np.ndarray, span: int) -> np.ndarray:
-    """The smallest of every ``span`` neighbours."""
-    n = len(values) - span + 1
-    filled = np.concatenate([values, np.full(-len(values) % span, np.iinfo(np.uint64).max, np.uint64)]).reshape(-1, span)
-    ahead = np.minimum.accumulate(filled, axis=1).reshape(-1)
-    behind = np.minimum.accumulate(filled[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-    return np.minimum(behind[:n], ahead[span - 1:span - 1 + n])
+    """The smallest of every ``span`` neighbours, by doubling."""
+    have = 1
+    while have < span:
+        step = min(have, span - have)
+        values = np.minimum(values[:max(0, len(values) - step)], values[step:])
+        have += step
+    return values
+
+
+def _least_places(data: np.ndarray, width: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every window the first place, among those in it, with the smallest hash; and the hash of every place."""
+    below = np.uint64(2 * CHUNK - 1)
+    h = string_hashes(data, anchor)
+    # the place rides in the low bits: the minimum carries it, and of equal hashes the first wins
+    return (window_minima((h & ~below) | np.arange(len(h), dtype=np.uint64), width - anchor + 1) & below).astype(np.int64), h
+
+
+def _context_hashes(h: np.ndarray, place: np.ndarray, first: np.ndarray, end: np.ndarray, width: int, anchor: int) -> np.ndarray:
+    """Hash of the bytes ``first .. end`` and of the anchor's place in them, from the hashes ``h`` of the strings that cover them."""
+    out = _mixed((end - first).astype(np.uint64) * _ODD + (place - first).astype(np.uint64))
+    for at in range(0, 2 * width - anchor, anchor):
+        out = _mixed(out * _ODD + h[np.minimum(first + at, end - anchor)])
+    return out
 
 
 def anchors(data: np.ndarray, width: int = WIDTH, anchor: int = ANCHOR) -> tuple[np.ndarray, ...]:
-    """(place, first, last, hash): each anchor with the first and last start of its windows.
+    """(place, first, last, hash, context hash): each anchor with the first and last start of its windows.
 
     A window belongs to the first place, among those in it, with the smallest
     hash; equal windows therefore have their anchor at the same offset.
     """
-    n = len(data) - width + 1
-    if n <= 0:
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
-    below = np.uint64(2 * CHUNK - 1)
-    places, hashes = [], []
-    for at in range(0, n, CHUNK):
-        h = string_hashes(data[at:at + CHUNK + width - 1], anchor)
-        # the place rides in the low bits: the minimum carries it, and of equal hashes the first wins
-        least = window_minima((h & ~below) | np.arange(len(h), dtype=np.uint64), width - anchor + 1) & below
-        places.append(least.astype(np.int64) + at)
-        hashes.append(h[least])
-    place = np.concatenate(places)
-    first = np.concatenate([[0], np.flatnonzero(np.diff(place)) + 1])
-    return place[first], first, np.append(first[1:], n) - 1, np.concatenate(hashes)[first]
+    return anchors_of(data, np.array([0, len(data)]), width, anchor)[1:]
+
+
+def anchors_of(data: np.ndarray, ends: np.ndarray, width: int = WIDTH, anchor: int = ANCHOR) -> tuple[np.ndarray, ...]:
+    """(owner, place, first, last, hash, context hash) of texts that lie in ``data`` one behind the other, cut at ``ends``.
+
+    ``owner`` is the number of the text, places count from its start.  Short
+    texts are hashed together; windows that cross an end belong to no text.
+    """
+    out, at, n_texts = [], 0, len(ends) - 1
+    while at < n_texts:
+        upto = max(at + 1, int(np.searchsorted(ends, ends[at] + SHORT, side="right")) - 1)
+        begins, sizes = ends[at:upto].astype(np.int64) - ends[at], np.maximum(np.diff(ends[at:upto + 1]).astype(np.int64) - width + 1, 0)
+        part = data[ends[at]:ends[upto]]
+        if sizes.sum():
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            start = np.arange(len(owner)) + np.repeat(begins - np.cumsum(sizes) + sizes, sizes)
+            if len(part) <= CHUNK:
+                place, h = _least_places(part, width, anchor)
+                place = place[start]
+            else:  # one long text
+                found = [(k, *_least_places(part[k:k + CHUNK + width - 1], width, anchor)) for k in range(0, len(part) - width + 1, CHUNK)]
+                place = np.concatenate([p + k for k, p, _ in found])
+                h = np.concatenate([x[:CHUNK] for _, _, x in found[:-1]] + [found[-1][2]])
+            new = np.flatnonzero(np.diff(place, prepend=-1))
+            owner, place, first, last = owner[new], place[new], start[new], start[np.append(new[1:], len(start)) - 1]
+            context = _context_hashes(h, place, first, last + width, width, anchor)
+            out.append((owner + at, place - begins[owner], first - begins[owner], last - begins[owner], h[place], context))
+        at = upto
+    kinds = (np.int64,) * 4 + (np.uint64,) * 2
+    return tuple(np.concatenate([x[k] for x in out]) if out else np.zeros(0, kind) for k, kind in enumerate(kinds))
 
 
 # ---- deep-shallow sorting --------------------------------------------------
@@ -246,14 +286,13 @@ def repeated_offsets(contexts: list[bytes], before: np.ndarray, low: np.ndarray,
 
 # ---- the jobs --------------------------------------------------------------
 
-def _anchored(text: str | None):
-    """(bytes, place, first, last, anchor hash, context hash) of a text."""
-    raw = (text or "").encode("utf-8", "surrogatepass")
-    place, first, last, h = anchors(np.frombuffer(raw, dtype=np.uint8))
-    view = memoryview(raw)
-    context = np.fromiter((xxhash.xxh3_64_intdigest(view[f:e + WIDTH], p - f) for p, f, e in zip(place.tolist(), first.tolist(), last.tolist())),
-                          dtype=np.uint64, count=len(place))
-    return raw, place, first, last, h.view(np.int64), context.view(np.int64)
+def _anchored(texts: pa.Array) -> tuple[np.ndarray, ...]:
+    """(owner, place, first, last, anchor hash, context hash) of the texts of a batch."""
+    told = pc.fill_null(texts, "").cast(pa.large_string())
+    _, ends, raw = told.buffers()
+    ends = np.frombuffer(ends, np.int64)[told.offset:told.offset + len(told) + 1] if len(told) else np.zeros(1, np.int64)
+    found = anchors_of(np.frombuffer(raw or b"", np.uint8), ends)
+    return *found[:4], found[4].view(np.int64), found[5].view(np.int64)
 
 
 def _texts(docs: DataFrame, id_: str, text: str) -> DataFrame:
@@ -269,10 +308,11 @@ def context_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     def kernel(batches):
         for batch in batches:
-            found = [_anchored(t)[4:] for t in batch.column(0).to_pylist()]
-            pair = np.stack([np.concatenate([x[k] for x in found]) for k in (0, 1)], axis=1)
-            kinds, n = np.unique(pair, axis=0, return_counts=True) if len(pair) else (pair, np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(kinds[:, 0]), pa.array(kinds[:, 1]), pa.array(n)], names=["a", "c", "n"])
+            a, c = _anchored(batch.column(0))[4:]
+            order = np.lexsort((c, a))
+            a, c = a[order], c[order]
+            first = np.flatnonzero(np.concatenate([np.ones(min(1, len(a)), bool), (np.diff(a) != 0) | (np.diff(c) != 0)]))
+            yield pa.RecordBatch.from_arrays([pa.array(a[first]), pa.array(c[first]), pa.array(np.diff(np.append(first, len(a))))], names=["a", "c", "n"])
 
     pairs = (docs.select(text).mapInArrow(kernel, "a long, c long, n long").repartition("a")
              .groupBy("a", "c").agg(F.sum("n").alias("n")))
@@ -286,9 +326,8 @@ def found_anchors(texts: DataFrame, counts: DataFrame, id_kind: str) -> DataFram
 
     def kernel(batches):
         for batch in batches:
-            found = [_anchored(t)[1:] for t in batch.column(2).to_pylist()]
-            owner = pa.array(np.repeat(np.arange(len(found)), [len(x[0]) for x in found]))
-            cells = [np.concatenate([x[k] for x in found]) for k in range(5)]
+            owner, *cells = _anchored(batch.column(2))
+            owner = pa.array(owner)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(owner), batch.column(1).take(owner), *[pa.array(x.astype(np.int32)) for x in cells[:3]], pa.array(cells[3]), pa.array(cells[4])],
                 names=["id", "name", "place", "first", "last", "a", "c"])
