@@ -15,10 +15,10 @@ from oreline.session import scratch_path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder."""
+    """``df`` as a table in the shared folder; its schema is known, so no job reads it from the files."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def keys_of(shards: DataFrame, keys: str) -> DataFrame:

@@ -251,7 +251,7 @@ def grouped(docs: DataFrame, id_: str = "doc_id", text: str = "text", percent: i
 
     def kept(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(at(name))
-        return spark.read.parquet(at(name))
+        return spark.read.schema(df.schema).parquet(at(name))
 
     rows = kept(signatures(docs, id_, text), "rows")
     classes = kept(rows.where("n_shingles > 0").groupBy("digest")

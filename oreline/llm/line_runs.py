@@ -14,7 +14,9 @@ that is a run by itself.
 
 A name's count and first occurrence are an aggregate.  Names that hold more
 than one row in ``SHARE`` are fewer than ``SHARE``, so they are broadcast back;
-the others meet their suffixes in a join without a hot key.
+the others meet their suffixes in a join without a hot key.  The later rounds are
+small: the names of at most ``FEW`` suffixes are broadcast back in one plan, which
+keeps what the driver plans and compiles per round small.
 
 Defined results: a null text has no lines and stays null; lines without a
 visible character are in no run and stay, unless nothing else of the document
@@ -38,6 +40,8 @@ MIN_LINES = 2
 ALONE_WORDS = 50
 #: A name with more than one row in so many is hot.
 SHARE = 4096
+#: The names of so few suffixes are broadcast whole.
+FEW = 50_000
 
 
 def _key(id_: str, text: str):
@@ -63,8 +67,12 @@ def line_ids(docs: DataFrame, id_: str = "doc_id", text: str = "text", alone_wor
 def _met(suffixes: DataFrame) -> DataFrame:
     """``suffixes`` (a written table) whose name occurs more than once, with ``first``: whether it is the name's first occurrence."""
     order = F.struct(F.col("id").isNotNull().alias("has"), "id", "key", "i")
-    names = written(suffixes.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("least")).where("n > 1"), "names")
-    hot = F.col("n") > suffixes.count() / SHARE
+    names = suffixes.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("least")).where("n > 1")
+    rows = suffixes.count()
+    if rows <= FEW:                                                          # at most FEW / 2 names
+        return suffixes.join(F.broadcast(names.drop("n")), "name").withColumn("first", F.col("least") == order).drop("least")
+    names = written(names, "names")
+    hot = F.col("n") > rows / SHARE
     crowded = F.broadcast(names.where(hot).select("name", "least"))          # fewer than SHARE rows
     apart = suffixes.join(crowded, "name", "left_anti").join(names.where(~hot).select("name", "least").hint("merge"), "name")
     return suffixes.join(crowded, "name").unionByName(apart).withColumn("first", F.col("least") == order).drop("least")

@@ -453,6 +453,24 @@ def test_maximal_runs(spark):
     assert {k: sorted(v) for k, v in got.items()} == want
 
 
+def test_small_rounds_of_line_dedup_are_one_plan(spark, monkeypatch):
+    """Same result on both ways, hot names or not; a small round takes fewer jobs, which the driver plans and keeps."""
+    run = "\n".join(f"line {i}" for i in range(20))
+    docs = documents(spark, [run, f"x\n{run}", f"{run}\ny", None, "x\nx\nx", *["a\nb\nc"] * 9])
+    got, jobs = [], []
+    for few, share in ((line_runs.FEW, line_runs.SHARE), (-1, 4), (-1, line_runs.SHARE)):
+        monkeypatch.setattr(line_runs, "FEW", few)
+        monkeypatch.setattr(line_runs, "SHARE", share)
+        group = f"line dedup {len(got)}"
+        spark.sparkContext.setJobGroup(group, group)
+        got.append(sorted((r.doc_id, str(r.text), r._op7_removed) for r in line_runs.dedup(docs, alone_words=50).collect()))
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+    spark.sparkContext.setJobGroup("", "")
+    assert got[0] == got[1] == got[2]
+    assert sum(r[2] for r in got[0]) == 2 * 20 + 2 + 8 * 3  # the second pair of x overlaps the first
+    assert jobs[0] < jobs[2]
+
+
 def test_hot_lines_are_joined_apart(spark, monkeypatch):
     monkeypatch.setattr(line_runs, "SHARE", 4)
     texts = ["\n".join(["same", "line", "over"] * 4 + [f"own {k % 7}", f"tail {k % 3}"]) for k in range(30)]
