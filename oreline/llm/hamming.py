@@ -18,6 +18,12 @@ D and M follow from the threshold, so that a pair at it lies beyond D with a
 probability of at most 1e-4 (binomial, 64 values; at 85 %: D = 21, M = 11, loss
 9.5e-5; at 80 %: D = 27, M = 14, loss 1.4e-5).
 
+Spark takes a table that a kernel makes for as many rows as went in, and a written
+one for its compressed size, so what it thinks small enough to broadcast may be far
+too large for the driver (the filed chunks are 64 rows a class).  Tables that grow
+with the classes are therefore always joined by sorting; those with a row per open
+group are broadcast if they are counted to be few.
+
 Defined results: a null text or one without words has the empty set and links
 with nothing; with fewer than five words the whole sequence is the only
 shingle; rows with equal sets link; a null id names a component only if all its
@@ -46,6 +52,8 @@ BLOCK = 4096
 #: Texts of a candidate group that meet in one task are at most twice as many.
 GROUP_BLOCK = 512
 CACHE = 200_000
+#: So many rows of a table of groups are broadcast.
+FEW = 50_000
 SEED = 9
 
 
@@ -221,6 +229,7 @@ def links_in_groups(held: DataFrame, percent: int) -> DataFrame:
 
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs (x, y) whose full sets are similar enough."""
+    texts = texts.hint("merge")
     both = (pairs.join(texts.select(F.col("node").alias("y"), F.col("text").alias("text_y")), "y")
             .join(texts.select(F.col("node").alias("x"), F.col("text").alias("text_x")), "x").select("x", "y", "text_x", "text_y"))
 
@@ -259,9 +268,9 @@ def grouped(docs: DataFrame, id_: str = "doc_id", text: str = "text", percent: i
                    .withColumn("node", F.monotonically_increasing_id()), "classes")
     keys = filed(classes, chunks)
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).where("n > 1")
-    members = kept(keys.join(shared, "key").select("key", "node", "n", "leader"), "members")
+    members = kept(keys.join(shared.hint("merge"), "key").select("key", "node", "n", "leader"), "members")
     first = members.where("node <> leader").groupBy("node").agg(F.min("leader").alias("x")).select("x", F.col("node").alias("y"))
-    sig = classes.select("node", "sig")
+    sig = classes.select("node", "sig").hint("merge")
     near = (first.join(sig.withColumnRenamed("node", "x").withColumnRenamed("sig", "a"), "x")
             .join(sig.withColumnRenamed("node", "y").withColumnRenamed("sig", "b"), "y"))
 
@@ -271,34 +280,35 @@ def grouped(docs: DataFrame, id_: str = "doc_id", text: str = "text", percent: i
             yield batch.select(["x", "y"]).filter(pa.array((a != b).sum(axis=1) <= distance))
 
     first = near.mapInArrow(within, "x long, y long")
-    involved = members.select("node").distinct().join(classes.select("node", "name"), "node")
-    texts = kept(docs.select(_name(text).alias("name"), F.col(text).alias("text")).join(involved, "name")
+    involved = members.select("node").distinct().join(classes.select("node", "name").hint("merge"), "node")
+    texts = kept(docs.select(_name(text).alias("name"), F.col(text).alias("text")).join(involved.hint("merge"), "name")
                  .groupBy("node").agg(F.first("text").alias("text")), "texts")
     links = kept(confirmed(kept(first.distinct(), "first"), texts, percent), "links0")
 
     told = kept(components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))), "told")
-    named = members.join(told, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = members.join(told.hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     # buckets with the same members are one; those of a single component are done
     mixed = (named.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("h1"),
                                       F.bit_xor(F.xxhash64("node", F.lit(1))).alias("h2"),
                                       (F.min("component") < F.max("component")).alias("open"))
              .where("open").groupBy("n", "h1", "h2").agg(F.min("key").alias("key"), F.first("n").alias("members")))
     held = (named.select("key", "node", "component")
-            .join(mixed.select("key", F.ceil(F.col("members") / BLOCK).cast("long").alias("blocks")), "key").join(sig, "node"))
+            .join(mixed.select("key", F.ceil(F.col("members") / BLOCK).cast("long").alias("blocks")).hint("merge"), "key").join(sig, "node"))
     maybe = kept(candidates(held, distance).distinct(), "maybe")
     # a candidate group holds whole components; its texts meet once, in blocks
     whole = told.select(F.col("component").alias("a"), F.col("node").alias("b"))
     joined = kept(components(maybe.select(F.col("x").alias("a"), F.col("y").alias("b")).unionAll(whole)), "joined")
     ends = maybe.select(F.col("x").alias("node")).unionAll(maybe.select(F.col("y").alias("node"))).distinct()
-    open_ = joined.join(ends, "node", "left_semi").select("component").distinct()
-    inside = joined.join(open_, "component", "left_semi").select(F.col("component").alias("grp"), "node")
+    open_ = kept(joined.join(ends.hint("merge"), "node", "left_semi").select("component").distinct(), "open")
+    to_all = F.broadcast if open_.count() <= FEW else lambda table: table.hint("merge")  # a group may be large, so few groups are not dealt by group
+    inside = joined.join(to_all(open_), "component", "left_semi").select(F.col("component").alias("grp"), "node")
     blocks = inside.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / GROUP_BLOCK).cast("long").alias("blocks"))
-    met = (inside.join(blocks, "grp").join(told, "node", "left").withColumn("component", F.coalesce("component", "node"))
-           .join(texts, "node").select("grp", "node", "component", "text", "blocks"))
+    met = (inside.join(to_all(blocks), "grp").join(told.hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+           .join(texts.hint("merge"), "node").select("grp", "node", "component", "text", "blocks"))
     links = links.unionAll(kept(links_in_groups(met, percent), "links1"))
 
     told = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
-    named = classes.select("digest", "node").join(told, "node", "left")
+    named = classes.select("digest", "node").join(told.hint("merge"), "node", "left")
     return rows, kept(named.select("digest", F.coalesce("component", "node").alias("component")), "components")
 
 
@@ -320,11 +330,11 @@ def survivors(docs: DataFrame, id_: str = "doc_id", text: str = "text", percent:
     """
     rows, classes = grouped(docs, id_, text, percent)
     order = F.struct(F.col("id").isNull().alias("none"), "id", "name")
-    chosen = (rows.where("n_shingles > 0").groupBy("digest").agg(F.min(order).alias("first")).join(classes, "digest")
+    chosen = (rows.where("n_shingles > 0").groupBy("digest").agg(F.min(order).alias("first")).join(classes.hint("merge"), "digest")
               .groupBy("component").agg(F.min("first").alias("first"))
               .select(F.col("first.name").alias("_op9_name"), F.col("first.id").alias("_op9_id")))
     empty = rows.where("n_shingles = 0").select(F.col("name").alias("_op9_name"), F.col("id").alias("_op9_id")).distinct()
     stays = chosen.unionAll(empty)
     named = docs.withColumn("_op9_text", _name(text))
     same = (F.col("_op9_text") == F.col("_op9_name")) & F.col(f"`{id_}`").eqNullSafe(F.col("_op9_id"))
-    return named.join(stays, same, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return named.join(stays.hint("merge"), same, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

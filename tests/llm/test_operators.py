@@ -38,6 +38,25 @@ def test_components(spark, seed):
     assert got == {n: c for n, c in roots(used, [e for e in edges if e[0] != e[1]]).items()}
 
 
+@pytest.fixture
+def small_broadcasts(spark):
+    """A broadcast of more than 3 MB fails, as a larger one does in a driver of little memory."""
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "3m")
+    yield
+    spark.conf.unset("spark.sql.maxBroadcastTableSize")
+
+
+@pytest.mark.parametrize("few", [None, 10])
+def test_many_edges_are_not_broadcast(spark, monkeypatch, tmp_path, small_broadcasts, few):
+    """Files of edges are far smaller than the table that a broadcast makes of them."""
+    monkeypatch.setattr(components, "FEW", few or components.FEW)
+    many = 60_000 if few is None else 40
+    edges = spark.range(many).selectExpr("3 * id as a", "3 * id + 1 as b").unionAll(spark.range(many).selectExpr("3 * id + 1 as a", "3 * id + 2 as b"))
+    edges.write.parquet(str(tmp_path / "edges"))
+    got = components.components(spark.read.parquet(str(tmp_path / "edges")))
+    assert got.count() == 3 * many and got.where("component <> node - node % 3").isEmpty()
+
+
 # ---- op1 -------------------------------------------------------------------
 
 def test_surrogates_are_consistent_distinct_and_of_their_type(spark):
@@ -265,6 +284,17 @@ def test_ledger_is_kept_between_runs(spark, tmp_path):
         spark.conf.unset("spark.oreline.ledger")
 
 
+def test_the_ledger_is_not_broadcast(spark, tmp_path):
+    """A blob's collected pairs and spans count as one each in Spark's estimate."""
+    docs, path = documents(spark, SECRET_TEXTS), str(tmp_path / "ledger")
+    versions = secrets.versions_of(docs)
+    ledger = secrets.extended(versions, path, secrets.RULES[:2])
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan(secrets.scan(versions, ledger))
+    hits = plan(secrets.redact(docs))
+    assert hits.count("BroadcastHashJoin") <= 1 <= hits.count("SortMergeJoin")  # the texts may meet few findings in a broadcast
+
+
 def test_redaction(spark):
     rows = {r.doc_id: r.text for r in secrets.redact(documents(spark, SECRET_TEXTS)).collect()}
     for i, t in enumerate(SECRET_TEXTS):
@@ -560,6 +590,29 @@ def test_reach_follows_the_threshold():
     assert hamming.reach(85) == (21, 11) and hamming.reach(80) == (27, 14)
 
 
+def test_filed_chunks_are_not_broadcast(spark, tmp_path, small_broadcasts):
+    """Spark takes the 64 rows that the kernel makes of a class for one."""
+    import corpus_pipeline
+    rng = random.Random(29)
+    texts = [" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(30)) for _ in range(1500)]
+    near = [" ".join(["first", *t.split()]) for t in texts[:200]]
+    documents(spark, texts + near).write.parquet(str(tmp_path / "documents"))
+    kept = corpus_pipeline.keep_one_of_each_group(spark, spark.read.parquet(str(tmp_path / "documents")), "")
+    assert {r.doc_id for r in kept.select("doc_id").collect()} == set(range(1500))
+
+
+@pytest.mark.parametrize("few", [0, 50_000])
+def test_groups_are_joined_alike_broadcast_or_not(spark, monkeypatch, few):
+    monkeypatch.setattr(hamming, "FEW", few)
+    monkeypatch.setattr(components, "FEW", few)
+    rng, texts = random.Random(31), []
+    for _ in range(6):
+        words = [f"w{rng.randrange(10 ** 6)}" for _ in range(120)]
+        texts += [" ".join(words)] + [" ".join(words[:k] + ["other"] + words[k + 1:]) for k in (0, 40, 119)]
+    got = {r.doc_id: r.component_id for r in hamming.near_duplicates(documents(spark, texts)).collect()}
+    assert got == {i: i - i % 4 for i in range(24)}
+
+
 def test_pipeline_stage_takes_similarity_of_80(spark, monkeypatch):
     import corpus_pipeline
     monkeypatch.setattr(hamming, "BLOCK", 5)
